@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .lists import let
+
 INLINE_ROWS = 4096
 GRAM = 3
 
@@ -85,7 +87,8 @@ def with_contained(df: DataFrame, key: str, text: str, dictionary: Dictionary, o
     the text, so collecting them per key is bounded too.
     """
     if dictionary.inline:
-        return df.withColumn(out, F.filter(dictionary.literal(), lambda e: F.contains(F.col(text), e["word"])))
+        hits = lambda t: F.filter(dictionary.literal(), lambda e: F.contains(t, e["word"]))
+        return df.withColumn(out, let(F.col(text), hits))
     hits = (
         contained_pairs(df, key, text, dictionary)
         .groupBy(key)

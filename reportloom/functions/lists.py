@@ -12,6 +12,15 @@ def first_where(items: Column, test, field: str | None = None) -> Column:
     return item[field] if field else item
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once.
+
+    The optimizer may paste a column's whole definition into the place where it
+    is used; inside a lambda it would then run once per array item.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def not_in(items: Column, words) -> Column:
     """Items that are not one of the literal words."""
     return F.filter(items, lambda x: ~x.isin(*words))

@@ -88,7 +88,8 @@ def forecast_consensus(reports: DataFrame, forecasts: DataFrame) -> DataFrame:
     over as many tasks as its rows need.
     """
     keys = ["ticker", "year"]
-    tickers = reports.select("report_id", F.explode("stock_tickers").alias("ticker"))
+    # outer, for otherwise a filter on the tickers is derived and they are computed twice
+    tickers = reports.select("report_id", F.explode_outer("stock_tickers").alias("ticker")).where("ticker is not null")
     counted = (
         forecasts.select("report_id", "year", "sales")
         .where("sales is not null")

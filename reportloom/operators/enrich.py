@@ -47,8 +47,8 @@ def enrich_titles(
                 E.sector_of_names(F.col("_all"), F.col("_lex"), F.col("_words")),
                 S.keyword_sector(t, F.col("_words"), compat),
             ),
-            "_labels": T.matching_labels(t, F.col("_fold"), tag_pack),
-            "_action": T.first_label(t, F.col("_fold"), action_pack),
+            "_labels": T.matching_labels("_t", "_fold", tag_pack),
+            "_action": T.first_label("_t", "_fold", action_pack),
             "_names": T.clip(F.col("_all"), E.MAX_NAMES),
             "_price": P.price_target(t, compat),
         }

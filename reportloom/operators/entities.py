@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions import dictionaries as D
-from ..functions.lists import first_where, not_in
-from ..functions.text import empty_strings, quoted, strip, whole_word
+from ..functions.lists import first_where, let, not_in
+from ..functions.text import empty_strings, strip, whole_word
 
 # Characters of a name, the code after it, and opinion words.
 NAME_CHARS = r"가-힣A-Za-z&0-9\-"
@@ -71,9 +71,10 @@ def with_candidates(df: DataFrame, title: str, lex: D.Dictionary, out: str, key:
     whether it came from a literal or from a join.
     """
     if lex.inline:
-        text = F.col(title)
-        hit = lambda e: F.contains(text, e["word"]) | F.coalesce(F.contains(text, e["code"]), F.lit(False))
-        return df.withColumn(out, F.filter(lex.literal(), hit))
+        hits = lambda t: F.filter(
+            lex.literal(), lambda e: F.contains(t, e["word"]) | F.coalesce(F.contains(t, e["code"]), F.lit(False))
+        )
+        return df.withColumn(out, let(F.col(title), hits))
     # the code is searched like a word; its row carries the real name along
     names = lex.entry.names
     both = lex.table.select("word", F.struct(*names).alias("row")).unionByName(
@@ -135,8 +136,8 @@ def bracket_names(title: Column) -> Column:
 
 def known_names(title: Column, lex: Column, compat: bool = False) -> Column:
     """Dictionary names that stand as whole words in the title, in dictionary order."""
-    hits = F.filter(lex, lambda e: e["rank"].isNotNull() & whole_word(title, e["word"], compat))
-    return F.transform(hits, lambda e: e["word"])
+    hits = lambda t: F.filter(lex, lambda e: e["rank"].isNotNull() & whole_word(t, e["word"], compat))
+    return F.transform(let(title, hits), lambda e: e["word"])
 
 
 def drop_stop_names(names: Column) -> Column:
@@ -159,14 +160,19 @@ def entity_names(title: Column, lex: Column, compat: bool = False) -> Column:
 
 def sector_of_names(names: Column, lex: Column, sector_words: Column) -> Column:
     """The sector of the first name that has one, by name table and then by sector word."""
-    per_name = F.transform(
-        names,
-        lambda n: F.coalesce(
-            first_where(lex, lambda e: (e["word"] == n) & e["sector"].isNotNull(), "sector"),
-            first_where(sector_words, lambda k: k["word"] == n, "sector"),
-        ),
-    )
-    return first_where(per_name, lambda s: s.isNotNull())
+
+
+    def per_name(tables: Column) -> Column:
+        return F.transform(
+            names,
+            lambda n: F.coalesce(
+                first_where(tables["lex"], lambda e: (e["word"] == n) & e["sector"].isNotNull(), "sector"),
+                first_where(tables["words"], lambda k: k["word"] == n, "sector"),
+            ),
+        )
+
+    found = let(F.struct(lex.alias("lex"), sector_words.alias("words")), per_name)
+    return first_where(found, lambda s: s.isNotNull())
 
 
 # ---- DataFrame steps -------------------------------------------------------------

@@ -104,7 +104,8 @@ def match_summaries(
     side = _report_side(reports, compat)
     companies = summaries.where(~is_blank(F.col("company_name"))).select(F.col("company_name").alias("word")).distinct()
     hits = D.with_contained(side, "report_id", "article_title", D.load(companies, inline_rows), "hits")
-    hits = hits.select("report_id", "firm", "day", "writer_key", F.explode("hits.word").alias("company"))
+    # outer, for otherwise a filter on the hits is derived and they are computed twice
+    hits = hits.select("report_id", "firm", "day", "writer_key", F.explode_outer("hits.word").alias("company"))
     joined = hits.join(_summary_side(summaries, side, compat), KEYS)
     return (
         joined.groupBy("report_id")

@@ -53,7 +53,9 @@ def coverage_summary(reports: DataFrame) -> DataFrame:
 
 def tag_topk_delta(before: DataFrame, after: DataFrame, k: int = 20) -> DataFrame:
     """The k most frequent tags with their counts before and after."""
-    count = lambda df, out: df.select(F.explode("tags").alias("tag")).groupBy("tag").agg(F.count("*").alias(out))
+    # outer, for otherwise a filter on the tags is derived and they are computed twice
+    tags = lambda df: df.select(F.explode_outer("tags").alias("tag")).where("tag is not null")
+    count = lambda df, out: tags(df).groupBy("tag").agg(F.count("*").alias(out))
     both = count(before, "n_before").join(count(after, "n_after"), "tag", "full").fillna(0, ["n_before", "n_after"])
     return (
         both.withColumn("change", F.col("n_after") - F.col("n_before"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions import dictionaries as D
+from ..functions.lists import let
 
 WORD_SCHEMA = "word string, sector string, whole boolean"
 # Short Latin words also occur inside longer ones ("ai" in "Daily").
@@ -30,11 +31,8 @@ def keyword_sector(title: Column, words: Column, compat: bool = False) -> Column
     word may also match inside a longer one.
     """
     if not compat:
-        words = F.filter(
-            words,
-            lambda e: ~e["whole"]
-            | F.rlike(title, F.concat(F.lit("(?<![A-Za-z])"), e["word"], F.lit("(?![A-Za-z])"))),
-        )
+        apart = lambda t, w: F.rlike(t, F.concat(F.lit("(?<![A-Za-z])"), w, F.lit("(?![A-Za-z])")))
+        words = let(title, lambda t: F.filter(words, lambda e: ~e["whole"] | apart(t, e["word"])))
     scored = F.transform(words, lambda e: F.struct(F.length(e["word"]).alias("n"), e["sector"].alias("sector")))
     return F.array_max(scored)["sector"]
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.lists import let
 from ..functions.text import contains_any, empty_strings, quoted
 
 # Price, action, opinion, job title and report type patterns.
@@ -130,6 +131,10 @@ def _spans(title: Column, name: Column) -> Column:
 
 def claimed_tickers(title: Column, lex: Column) -> Column:
     """Codes of names that claim a span of the title no longer name has claimed."""
+    return let(title, lambda t: _claims(t, lex))
+
+
+def _claims(title: Column, lex: Column) -> Column:
     present = F.filter(
         lex,
         lambda e: e["ticker_rank"].isNotNull() & e["code"].isNotNull() & F.contains(title, e["word"]),
@@ -165,14 +170,19 @@ def claimed_tickers(title: Column, lex: Column) -> Column:
 
 def entity_tickers(title: Column, names: Column, lex: Column) -> Column:
     """Codes of extracted names that are not written in the title themselves."""
-    hits = F.filter(
-        lex,
-        lambda e: e["ticker_rank"].isNotNull()
-        & e["code"].isNotNull()
-        & ~F.contains(title, e["word"])
-        & F.array_contains(names, e["word"]),
-    )
-    return F.transform(hits, lambda e: e["code"])
+
+
+    def hits(row: Column) -> Column:
+        return F.filter(
+            lex,
+            lambda e: e["ticker_rank"].isNotNull()
+            & e["code"].isNotNull()
+            & ~F.contains(row["title"], e["word"])
+            & F.array_contains(row["names"], e["word"]),
+        )
+
+    found = let(F.struct(title.alias("title"), names.alias("names")), hits)
+    return F.transform(found, lambda e: e["code"])
 
 
 def tickers(title: Column, names: Column, lex: Column) -> Column:

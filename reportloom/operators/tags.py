@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import rules
-from ..functions.text import any_of
+from ..functions.lists import let
 
 # The default company label and the published list lengths.
 COMPANY_LABEL = "기업 분석"
@@ -15,29 +15,39 @@ MAX_TAGS = 8
 _FLAGS = "(?iUd)"
 
 
-def rule_hits(rule: rules.Rule, title: Column, folded: Column) -> Column:
-    """Whether the rule matches; a regex only runs where its literal is present."""
-    tests = [F.contains(folded, F.lit(w)) for w in rule.words]
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def rule_test(rule: rules.Rule, title: str, folded: str) -> str:
+    """SQL: whether the rule matches; a regex only runs where its literal is present."""
+    tests = [f"contains({folded}, {_text(w)})" for w in rule.words]
     by_literal: dict[str, list[str]] = {}
     for literal, piece in rule.gated:
         by_literal.setdefault(literal, []).append(piece)
     for literal, pieces in by_literal.items():
-        match = F.rlike(title, F.lit(_FLAGS + "|".join(pieces)))
-        tests.append(F.contains(folded, F.lit(literal)) & match if literal else match)
-    return any_of(tests)
+        match = f"{title} rlike {_text(_FLAGS + '|'.join(pieces))}"
+        tests.append(f"contains({folded}, {_text(literal)}) and {match}" if literal else match)
+    return " or ".join(f"({t})" for t in tests)
+
+
+def _cases(pack, title: str, folded: str) -> str:
+    return ", ".join(f"case when {rule_test(r, title, folded)} then {_text(r.label)} end" for r in pack)
+
 
+def matching_labels(title: str, folded: str, pack=None) -> Column:
+    """Labels of all matching rules in rule order, each once.
 
-def matching_labels(title: Column, folded: Column, pack=None) -> Column:
-    """Labels of all matching rules in rule order, each once."""
-    pack = rules.tag_rules() if pack is None else pack
-    hits = [F.when(rule_hits(r, title, folded), F.lit(r.label)) for r in pack]
-    return F.array_distinct(F.array_compact(F.array(*hits)))
+    ``title`` and ``folded`` name columns. One SQL text of a hundred rules is
+    parsed much faster than as many Column calls.
+    """
+    cases = _cases(rules.tag_rules() if pack is None else pack, title, folded)
+    return F.expr(f"array_distinct(array_compact(array({cases})))")
 
 
-def first_label(title: Column, folded: Column, pack=None) -> Column:
+def first_label(title: str, folded: str, pack=None) -> Column:
     """Label of the first matching rule, else null."""
-    pack = rules.action_rules() if pack is None else pack
-    return F.coalesce(*[F.when(rule_hits(r, title, folded), F.lit(r.label)) for r in pack])
+    return F.expr(f"coalesce({_cases(rules.action_rules() if pack is None else pack, title, folded)})")
 
 
 def merge_action(tags: Column, action: Column) -> Column:
@@ -51,19 +61,27 @@ def merge_action(tags: Column, action: Column) -> Column:
 
 def suppress_sector_overlap(tags: Column, sector: Column) -> Column:
     """Drop what the sector already says; a longer, more specific tag stays."""
-    kept = F.filter(tags, lambda t: ~((t == sector) | ((F.length(t) >= 2) & F.contains(sector, t))))
-    return F.when(F.coalesce(sector, F.lit("")) == "", tags).otherwise(kept)
+
+    def keep(s: Column) -> Column:
+        return F.filter(tags, lambda t: (s == "") | ~((t == s) | ((F.length(t) >= 2) & F.contains(s, t))))
+
+    return let(F.coalesce(sector, F.lit("")), keep)
 
 
 def suppress_entity_overlap(tags: Column, names: Column) -> Column:
     """Drop tags that equal, contain or are part of a company name."""
-    return F.filter(
-        tags,
-        lambda t: ~F.exists(
-            names,
-            lambda n: (t == n) | ((F.length(t) >= 2) & (F.contains(n, t) | F.contains(t, n))),
-        ),
-    )
+
+
+    def keep(found: Column) -> Column:
+        return F.filter(
+            tags,
+            lambda t: ~F.exists(
+                found,
+                lambda n: (t == n) | ((F.length(t) >= 2) & (F.contains(n, t) | F.contains(t, n))),
+            ),
+        )
+
+    return let(names, keep)
 
 
 def default_company_tag(tags: Column, names: Column) -> Column:

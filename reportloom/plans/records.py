@@ -48,9 +48,9 @@ def _matches(df: DataFrame) -> DataFrame:
     return df.select("report_id", "summary_id", F.col("gap").cast("bigint").alias("gap"), "n_fitting")
 
 
-@query("match_summaries", match_sql(False, "r.reg_dt = '19980616'") + _MATCHED)
+@query("match_summaries", match_sql(False, "r.reg_dt = '20001007'") + _MATCHED)
 def _(t: Tables):
-    return _matches(M.match_summaries(t.reports, t.summaries, "19980616", "19980616"))
+    return _matches(M.match_summaries(t.reports, t.summaries, "20001007", "20001007"))
 
 
 @query("match_summaries_compat", match_sql(True) + _MATCHED)
@@ -207,7 +207,7 @@ def _(t: Tables):
 @query("forecast_consensus", Q.ENTITY_STEPS + Q.TICKERS + _FORECASTS + """
 , one_ticker as (select * from claimed union select * from direct union select * from from_names)
 select k.code as ticker, f.year, count(*) as n_forecasts, round(cast(sum(f.sales) as double) / count(*), 4) as mean_sales,
- round(cast(median(f.sales) as double), 4) as median_sales
+ round(median(cast(f.sales as double)), 4) as median_sales
 from one_ticker k join forecasts f using (report_id) group by k.code, f.year""")
 def _(t: Tables):
     from .titles import with_tickers
@@ -380,9 +380,9 @@ def _(t: Tables):
 
 _REPAIRED = r"""
 , repaired as (
- select answer_no, trim(replace(replace(
+ select answer_no, regexp_replace(replace(replace(
   regexp_replace(regexp_replace(trim(answer), '(?m)^```(?:json)?\s*\n?', '', 'g'), '(?m)\n?```\s*$', '', 'g'),
-  ']' || chr(10) || '[', ',' || chr(10)), '][', ',')) as text from answers
+  ']' || chr(10) || '[', ',' || chr(10)), '][', ','), '^\s+|\s+$', '', 'g') as text from answers
 )
 """
 _PARSED = _REPAIRED + """

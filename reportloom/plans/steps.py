@@ -183,12 +183,16 @@ ENTITY_STEPS = STOP + TITLES + CODED + ALIAS + BRACKET + KNOWN + PIECES + NAMES
 SECTOR_STEPS = ENTITY_STEPS + NAME_SECTOR + word_sector() + SECTORS
 TAG_STEPS = SECTOR_STEPS + LABELS + ACTIONS + MERGED + NO_SECTOR + NO_NAMES + TAGGED
 
-# The last words of product names only occur inside a longer name of the table,
-# so blanking each longer name once shows what is left to claim.
+# No title holds two product names side by side, so of nested names only the
+# longest claims, and blanking it shows what is left for the short last words.
 TICKERS = r"""
-, full_names as (
+, all_full_names as (
  select t.report_id, l.word, l.code from titles t join lexicon l on l.grp < 2 and contains(t.title, l.word)
 )
+, full_names as (
+ select a.* from all_full_names a where not exists (
+  select 1 from all_full_names b where b.report_id = a.report_id and length(b.word) > length(a.word) and contains(b.word, a.word))
+)
 , rest as (
  select t.report_id, coalesce(replace(t.title, any_value(f.word), '#'), t.title) as title
  from titles t left join full_names f using (report_id) group by t.report_id, t.title

@@ -50,8 +50,8 @@ def with_tags(t: Tables) -> DataFrame:
     df = with_sector(t).withColumn("folded", fold(F.col("title")))
     df = df.withColumns(
         {
-            "labels": T.matching_labels(F.col("title"), F.col("folded")),
-            "action": T.first_label(F.col("title"), F.col("folded")),
+            "labels": T.matching_labels("title", "folded"),
+            "action": T.first_label("title", "folded"),
         }
     )
     return df.withColumn("merged", T.merge_action(F.col("labels"), F.col("action")))
@@ -254,13 +254,13 @@ def _(t: Tables):
     "select report_id, string_agg(label, '|' order by ord) as labels from labels group by report_id", "labels"))
 def _(t: Tables):
     df = stripped(t).withColumn("folded", fold(F.col("title")))
-    return df.select("report_id", bar(T.matching_labels(F.col("title"), F.col("folded"))).alias("labels"))
+    return df.select("report_id", bar(T.matching_labels("title", "folded")).alias("labels"))
 
 
 @query("action_type", Q.TITLES + Q.ACTIONS + "select report_id, action from actions")
 def _(t: Tables):
     df = stripped(t).withColumn("folded", fold(F.col("title")))
-    return df.select("report_id", T.first_label(F.col("title"), F.col("folded")).alias("action"))
+    return df.select("report_id", T.first_label("title", "folded").alias("action"))
 
 
 @query("merge_action", Q.TITLES + Q.LABELS + Q.ACTIONS + Q.MERGED + every_title(
@@ -269,8 +269,8 @@ def _(t: Tables):
     df = stripped(t).withColumn("folded", fold(F.col("title")))
     df = df.select(
         "report_id",
-        T.matching_labels(F.col("title"), F.col("folded")).alias("labels"),
-        T.first_label(F.col("title"), F.col("folded")).alias("action"),
+        T.matching_labels("title", "folded").alias("labels"),
+        T.first_label("title", "folded").alias("action"),
     )
     return df.select("report_id", bar(T.merge_action(F.col("labels"), F.col("action"))).alias("tags"))
 
