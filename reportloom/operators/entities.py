@@ -71,9 +71,12 @@ def with_candidates(df: DataFrame, title: str, lex: D.Dictionary, out: str, key:
     whether it came from a literal or from a join.
     """
     if lex.inline:
-        hits = lambda t: F.filter(
+        by_word = lambda t: F.filter(lex.literal(), lambda e: F.contains(t, e["word"]))
+        by_either = lambda t: F.filter(
             lex.literal(), lambda e: F.contains(t, e["word"]) | F.coalesce(F.contains(t, e["code"]), F.lit(False))
         )
+        # codes only count inside parentheses
+        hits = lambda t: F.when(F.contains(t, F.lit("(")), by_either(t)).otherwise(by_word(t))
         return df.withColumn(out, let(F.col(title), hits))
     # the code is searched like a word; its row carries the real name along
     names = lex.entry.names

@@ -135,10 +135,13 @@ def claimed_tickers(title: Column, lex: Column) -> Column:
 
 
 def _claims(title: Column, lex: Column) -> Column:
-    present = F.filter(
-        lex,
-        lambda e: e["ticker_rank"].isNotNull() & e["code"].isNotNull() & F.contains(title, e["word"]),
-    )
+    named = lambda e: e["ticker_rank"].isNotNull() & e["code"].isNotNull() & F.contains(title, e["word"])
+    # a single name meets no rival
+    alone = lambda present: F.when(F.size(present) <= 1, F.transform(present, lambda e: e["code"]))
+    return let(F.filter(lex, named), lambda p: F.coalesce(alone(p), _claims_of(title, p)))
+
+
+def _claims_of(title: Column, present: Column) -> Column:
     longest_first = F.array_sort(
         F.transform(
             present,

@@ -23,6 +23,10 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
+    @property
+    def cores(self) -> int:
+        return self.spark.sparkContext.defaultParallelism
+
     def view(self, name: str) -> DataFrame:
         return A.view(self.spark, self.sf_dir, name)
 

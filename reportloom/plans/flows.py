@@ -41,7 +41,7 @@ _PENDING = Q.ENRICH_STEPS + f"select {ENRICHED_COLUMNS} from enriched where repo
 @query("stream_enrich", _PENDING)
 def _(t: Tables):
     path, checkpoint = _folders(t, "enrich")
-    done = J.stream_enrich(report_stream(t), t.enriched, path, checkpoint, every=None)
+    done = J.stream_enrich(report_stream(t), t.enriched, path, checkpoint, every=None, tasks=t.cores)
     return flat_enriched(_finish(done, t.spark, path))
 
 
@@ -50,7 +50,7 @@ where title <> '' and report_id in (select event_id from events)""")
 def _(t: Tables):
     path, checkpoint = _folders(t, "arrival")
     keys = _stream(t, "events").select(F.concat(F.lit("K"), F.col("event_id").cast("string")).alias("key"))
-    done = J.stream_on_arrival(keys, t.reports, t.enriched, path, checkpoint, every=None)
+    done = J.stream_on_arrival(keys, t.reports, t.enriched, path, checkpoint, every=None, tasks=t.cores)
     # a title of blanks only is stored but has nothing to show
     return flat_enriched(_finish(done, t.spark, path).where("trim(article_title) <> ''"))
 
@@ -65,5 +65,5 @@ def _(t: Tables):
 @query("stream_isolation", Q.ENRICH_STEPS + "select report_id, case when status = 'success' then 'good' else 'quarantine' end as route, note from enriched")
 def _(t: Tables):
     path, checkpoint = _folders(t, "isolation")
-    done = J.stream_isolation(report_stream(t), t.enriched, path, checkpoint, every=None)
+    done = J.stream_isolation(report_stream(t), t.enriched, path, checkpoint, every=None, tasks=t.cores)
     return _finish(done, t.spark, path).select("report_id", F.col("route").cast("string"), "enriched.note")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.lists import bar
+from ..functions.spread import spread
 from ..operators import answers as A
 from ..operators import candidates as C
 from ..operators import dimensions as G
@@ -310,7 +311,7 @@ def stored(df: DataFrame) -> DataFrame:
 
 def updates(t: Tables) -> DataFrame:
     pending = C.pending_reports(t.reports, n=None)
-    return N.flatten(t.enriched(pending))
+    return N.flatten(t.enriched(spread(pending, "report_id")))
 
 
 def applied_sql(new: list[str], base: str = f"select {_STORED} from reports") -> str:
@@ -483,8 +484,6 @@ def _(t: Tables):
 
 def all_enriched(t: Tables) -> DataFrame:
     cols = ["report_id", "firm_nm", "article_title", "tags", "stock_names", "sector"]
-    from ..functions.spread import spread
-
     return t.enriched(spread(t.reports.select(*cols), "report_id"))
 
 

@@ -40,25 +40,41 @@ def _start(writer, checkpoint: str, every: int | None) -> StreamingQuery:
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
+def _dealt(df: DataFrame, tasks: int | None, key: str = "report_id") -> DataFrame:
+    """A micro-batch of few files is dealt out to ``tasks`` tasks by its key."""
+    return df.repartition(tasks, key) if tasks else df
+
+
 def _append(df: DataFrame, path: str, partition_by: str | None = None):
     writer = df.writeStream.format("parquet").outputMode("append").option("path", path)
     return writer.partitionBy(partition_by) if partition_by else writer
 
 
 def stream_enrich(
-    reports: DataFrame, enrich: Enrich, path: str, checkpoint: str, every: int | None = POLL_SECONDS
+    reports: DataFrame,
+    enrich: Enrich,
+    path: str,
+    checkpoint: str,
+    every: int | None = POLL_SECONDS,
+    tasks: int | None = None,
 ) -> StreamingQuery:
     """Enrich the untagged titled reports of a stream into an append-only folder."""
     pending = reports.where(C.untagged(F.col("tags")) & C.titled(F.col("article_title")))
-    return _start(_append(enrich(pending), path), checkpoint, every)
+    return _start(_append(enrich(_dealt(pending, tasks)), path), checkpoint, every)
 
 
 def stream_on_arrival(
-    keys: DataFrame, reports: DataFrame, enrich: Enrich, path: str, checkpoint: str, every: int | None = POLL_SECONDS
+    keys: DataFrame,
+    reports: DataFrame,
+    enrich: Enrich,
+    path: str,
+    checkpoint: str,
+    every: int | None = POLL_SECONDS,
+    tasks: int | None = None,
 ) -> StreamingQuery:
     """Enrich the stored reports whose keys arrive on a stream."""
     titled = reports.where(C.titled(F.col("article_title"))).select("key", "report_id", "firm_nm", "article_title")
-    return _start(_append(enrich(keys.join(titled, "key")), path), checkpoint, every)
+    return _start(_append(enrich(_dealt(keys.join(titled, "key"), tasks)), path), checkpoint, every)
 
 
 def stream_match(
@@ -77,9 +93,14 @@ def stream_match(
 
 
 def stream_isolation(
-    reports: DataFrame, enrich: Enrich, path: str, checkpoint: str, every: int | None = POLL_SECONDS
+    reports: DataFrame,
+    enrich: Enrich,
+    path: str,
+    checkpoint: str,
+    every: int | None = POLL_SECONDS,
+    tasks: int | None = None,
 ) -> StreamingQuery:
     """Rows that cannot be processed go to ``route=quarantine``, the others to ``route=good``."""
-    done = enrich(reports)
+    done = enrich(_dealt(reports, tasks))
     route = F.when(F.col("enriched.status") == "success", "good").otherwise("quarantine")
     return _start(_append(done.withColumn("route", route), path, "route"), checkpoint, every)
