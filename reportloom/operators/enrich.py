@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import rules
 from ..functions import dictionaries as D
-from ..functions.text import fold, strip
+from ..functions.text import strip
 from . import entities as E
 from . import sectors as S
 from . import structured as P
@@ -40,15 +41,18 @@ def enrich_titles(
     work = df.withColumn("_t", F.coalesce(strip(F.col(title)), F.lit("")))
     work = E.with_candidates(work, "_t", lex, "_lex", key)
     work = D.with_contained(work, key, "_t", sector_words, "_words")
-    work = work.withColumns({"_fold": fold(t), "_all": E.entity_names(t, F.col("_lex"), compat)})
+    tag_pack = rules.tag_rules() if tag_pack is None else tag_pack
+    action_pack = rules.action_rules() if action_pack is None else action_pack
+    work = T.with_rule_text(work, "_t", tag_pack, action_pack)
+    work = work.withColumns({"_all": E.entity_names(t, F.col("_lex"), compat)})
     work = work.withColumns(
         {
             "_sector": S.sector(
                 E.sector_of_names(F.col("_all"), F.col("_lex"), F.col("_words")),
                 S.keyword_sector(t, F.col("_words"), compat),
             ),
-            "_labels": T.matching_labels("_t", "_fold", tag_pack),
-            "_action": T.first_label("_t", "_fold", action_pack),
+            "_labels": T.matching_labels("_t", tag_pack),
+            "_action": T.first_label("_t", action_pack),
             "_names": T.clip(F.col("_all"), E.MAX_NAMES),
             "_price": P.price_target(t, compat),
         }
@@ -76,7 +80,7 @@ def enrich_titles(
         F.col("_tickers").alias("stock_tickers"),
     )
     return work.withColumn(out, enriched).drop(
-        "_t", "_lex", "_words", "_fold", "_all", "_sector", "_labels", "_action", "_names", "_price", "_tags", "_tickers"
+        "_t", "_lex", "_words", "_folded", "_pairs", "_all", "_sector", "_labels", "_action", "_names", "_price", "_tags", "_tickers"
     )
 
 

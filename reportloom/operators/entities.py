@@ -37,8 +37,10 @@ def lexicon(table: DataFrame, inline_rows: int = D.INLINE_ROWS) -> D.Dictionary:
     ``rank`` is null for names that are looked up but never searched for;
     ``ticker_rank`` is null for names without a code.
     """
-    # first, so that a large name table does not give up its form to a sort
-    loaded = D.load(table.select("rank", "word", "code", "sector", "ticker_rank"), inline_rows)
+    # whether a proper beginning of the name is also its end
+    ends = F.sequence(F.lit(1), F.greatest(F.length("word") - 1, F.lit(1)))
+    bordered = (F.length("word") > 1) & F.exists(ends, lambda n: F.left("word", n) == F.right("word", n))
+    loaded = D.load(table.select("rank", "word", "code", "sector", "ticker_rank", bordered.alias("bordered")), inline_rows)
     if loaded.inline:
         ordered = sorted(loaded.rows, key=lambda r: (r[0] is None, r[0] or 0))
         return D.Dictionary(loaded.table, loaded.entry, tuple(ordered))

@@ -34,6 +34,9 @@ INDUSTRY_WORDS = (
 MACRO_FALLBACK_WORDS = ("전망", "리뷰", "캘린더")
 LEAST_PRICE = 1000
 
+# Blanks a claimed span; no name contains it.
+CLAIMED = "\0"
+
 
 def price_patterns(compat: bool = False) -> tuple[str, str]:
     """The labelled pattern and the one used only where it does not match."""
@@ -113,20 +116,18 @@ def direct_tickers(title: Column) -> Column:
     return F.regexp_extract_all(title, F.lit(r"(?U)\((\d{6})\)"), F.lit(1))
 
 
-def _spans(title: Column, name: Column) -> Column:
-    """Spans of the name read left to right without overlap with itself."""
+def _starts(title: Column, name: Column) -> Column:
+    """Offsets of the name read left to right without overlap with itself."""
     pieces = F.split(title, quoted(name), -1)
-    width = F.length(name)
-    starts = F.aggregate(
+    return F.aggregate(
         F.slice(pieces, F.lit(1), F.size(pieces) - 1),
         F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("found")),
         lambda s, p: F.struct(
-            (s["at"] + F.length(p) + width).alias("at"),
+            (s["at"] + F.length(p) + F.length(name)).alias("at"),
             F.array_append(s["found"], s["at"] + F.length(p)).alias("found"),
         ),
         lambda s: s["found"],
     )
-    return F.transform(starts, lambda a: F.struct(a.alias("a"), (a + width).alias("b")))
 
 
 def claimed_tickers(title: Column, lex: Column) -> Column:
@@ -150,24 +151,32 @@ def _claims_of(title: Column, present: Column) -> Column:
                 e["ticker_rank"].alias("rank"),
                 e["word"].alias("word"),
                 e["code"].alias("code"),
+                e["bordered"].alias("bordered"),
             ),
         )
     )
 
-    def claim(state: Column, e: Column) -> Column:
-        free = F.filter(
-            _spans(title, e["word"]),
-            lambda o: ~F.exists(state["taken"], lambda z: (o["a"] < z["b"]) & (o["b"] > z["a"])),
-        )
-        first = F.slice(free, 1, 1)
-        return F.struct(
-            F.concat(state["taken"], first).alias("taken"),
-            F.concat(state["codes"], F.transform(first, lambda _: e["code"])).alias("codes"),
-        )
+    def place(left: Column, e: Column) -> Column:
+        """Where the name still stands in what is left of the title, 0 if nowhere."""
+        width = F.length(e["word"])
+        spans = F.filter(_starts(title, e["word"]), lambda a: F.substr(left, a + 1, width) == e["word"])
+        # only a name that can overlap itself depends on how its places are counted
+        return F.when(e["bordered"], F.coalesce(F.get(spans, F.lit(0)) + 1, F.lit(0))).otherwise(F.instr(left, e["word"]))
 
-    start = F.struct(
-        F.array().cast("array<struct<a:int,b:int>>").alias("taken"), empty_strings().alias("codes")
-    )
+    def claim(state: Column, e: Column) -> Column:
+        def step(at: Column) -> Column:
+            blank = F.repeat(F.lit(CLAIMED), F.length(e["word"]))
+            return F.when(
+                at > 0,
+                F.struct(
+                    F.overlay(state["left"], blank, at).alias("left"),
+                    F.array_append(state["codes"], e["code"]).alias("codes"),
+                ),
+            ).otherwise(state)
+
+        return let(place(state["left"], e), step)
+
+    start = F.struct(title.alias("left"), empty_strings().alias("codes"))
     return F.aggregate(longest_first, start, claim, lambda s: s["codes"])
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions.lists import let
+from ..functions.text import empty_strings, fold
 
 # The default company label and the published list lengths.
 COMPANY_LABEL = "기업 분석"
@@ -19,46 +20,67 @@ def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def rule_test(rule: rules.Rule, title: str, folded: str) -> str:
+def _literals(rule: rules.Rule) -> list[str]:
+    return [*rule.words, *(literal for literal, _ in rule.gated)]
+
+
+def with_rule_text(df: DataFrame, title: str, *packs) -> DataFrame:
+    """Add what the rules look at: ``_folded`` and ``_pairs``.
+
+    ``_pairs`` holds hashes of those character pairs of the title that some
+    rule's literal begins with. Most rules are ruled out by one look at these
+    few numbers; what they let through is tested exactly.
+    """
+    packs = packs or (rules.tag_rules(), rules.action_rules())
+    starts = sorted({text[:2] for pack in packs for rule in pack for text in _literals(rule) if len(text) > 1})
+    spots = F.sequence(F.lit(1), F.greatest(F.length("_folded") - 1, F.lit(1)))
+    pairs = F.transform(spots, lambda p: F.substr("_folded", p, F.lit(2)))
+    known = F.filter(pairs, lambda g: g.isin(*starts))
+    return df.withColumn("_folded", fold(F.col(title))).withColumn("_pairs", F.transform(known, lambda g: F.hash(g)))
+
+
+def _has(text: str) -> str:
+    test = f"contains(_folded, {_text(text)})"
+    return f"array_contains(_pairs, hash({_text(text[:2])})) and {test}" if len(text) > 1 else test
+
+
+def rule_test(rule: rules.Rule, title: str) -> str:
     """SQL: whether the rule matches; a regex only runs where its literal is present."""
-    tests = [f"contains({folded}, {_text(w)})" for w in rule.words]
+    tests = [_has(w) for w in rule.words]
     by_literal: dict[str, list[str]] = {}
     for literal, piece in rule.gated:
         by_literal.setdefault(literal, []).append(piece)
     for literal, pieces in by_literal.items():
         match = f"{title} rlike {_text(_FLAGS + '|'.join(pieces))}"
-        tests.append(f"contains({folded}, {_text(literal)}) and {match}" if literal else match)
+        tests.append(f"{_has(literal)} and {match}" if literal else match)
     return " or ".join(f"({t})" for t in tests)
 
 
-def _cases(pack, title: str, folded: str) -> str:
-    return ", ".join(f"case when {rule_test(r, title, folded)} then {_text(r.label)} end" for r in pack)
+def _cases(pack, title: str) -> str:
+    return ", ".join(f"case when {rule_test(r, title)} then {_text(r.label)} end" for r in pack)
 
 
-def matching_labels(title: str, folded: str, pack=None) -> Column:
+def matching_labels(title: str, pack=None) -> Column:
     """Labels of all matching rules in rule order, each once.
 
-    ``title`` and ``folded`` name columns. One SQL text of a hundred rules is
-    parsed much faster than as many Column calls. array_except drops the nulls
-    and repeats in one compiled pass; a lambda around the array would have all
-    the rules interpreted.
+    For a DataFrame that went through ``with_rule_text``; ``title`` names its
+    column. One SQL text of a hundred rules is parsed much faster than as many
+    Column calls. array_except drops the nulls and repeats in one compiled pass;
+    a lambda around the array would have all the rules interpreted.
     """
-    cases = _cases(rules.tag_rules() if pack is None else pack, title, folded)
+    cases = _cases(rules.tag_rules() if pack is None else pack, title)
     return F.expr(f"array_except(array({cases}), array(cast(null as string)))")
 
 
-def first_label(title: str, folded: str, pack=None) -> Column:
+def first_label(title: str, pack=None) -> Column:
     """Label of the first matching rule, else null."""
-    return F.expr(f"coalesce({_cases(rules.action_rules() if pack is None else pack, title, folded)})")
+    return F.expr(f"coalesce({_cases(rules.action_rules() if pack is None else pack, title)})")
 
 
 def merge_action(tags: Column, action: Column) -> Column:
     """The action leads unless the tags already hold it."""
-    led = F.when(
-        action.isNotNull() & ~F.array_contains(tags, F.coalesce(action, F.lit(""))),
-        F.concat(F.array(action), tags),
-    ).otherwise(tags)
-    return F.array_distinct(led)
+    lead = F.when(action.isNotNull(), F.array(action)).otherwise(empty_strings())
+    return F.array_distinct(F.concat(F.array_except(lead, tags), tags))
 
 
 def suppress_sector_overlap(tags: Column, sector: Column) -> Column:
@@ -87,8 +109,8 @@ def suppress_entity_overlap(tags: Column, names: Column) -> Column:
 
 
 def default_company_tag(tags: Column, names: Column) -> Column:
-    missing = (F.size(names) > 0) & ~F.array_contains(tags, F.lit(COMPANY_LABEL))
-    return F.when(missing, F.array_append(tags, F.lit(COMPANY_LABEL))).otherwise(tags)
+    default = F.when(F.size(names) > 0, F.array(F.lit(COMPANY_LABEL))).otherwise(empty_strings())
+    return F.array_distinct(F.concat(tags, default))
 
 
 def clip(items: Column, most: int) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dictionaries as D
 from ..functions.lists import bar
-from ..functions.text import fold, strip
+from ..functions.text import strip
 from ..operators import candidates as C
 from ..operators import entities as E
 from ..operators import sectors as S
@@ -47,11 +47,10 @@ def with_sector(t: Tables, compat: bool = False) -> DataFrame:
 
 
 def with_tags(t: Tables) -> DataFrame:
-    df = with_sector(t).withColumn("folded", fold(F.col("title")))
-    df = df.withColumns(
+    df = T.with_rule_text(with_sector(t), "title").withColumns(
         {
-            "labels": T.matching_labels("title", "folded"),
-            "action": T.first_label("title", "folded"),
+            "labels": T.matching_labels("title"),
+            "action": T.first_label("title"),
         }
     )
     return df.withColumn("merged", T.merge_action(F.col("labels"), F.col("action")))
@@ -253,24 +252,24 @@ def _(t: Tables):
 @query("tag_matches", Q.TITLES + Q.LABELS + every_title(
     "select report_id, string_agg(label, '|' order by ord) as labels from labels group by report_id", "labels"))
 def _(t: Tables):
-    df = stripped(t).withColumn("folded", fold(F.col("title")))
-    return df.select("report_id", bar(T.matching_labels("title", "folded")).alias("labels"))
+    df = T.with_rule_text(stripped(t), "title")
+    return df.select("report_id", bar(T.matching_labels("title")).alias("labels"))
 
 
 @query("action_type", Q.TITLES + Q.ACTIONS + "select report_id, action from actions")
 def _(t: Tables):
-    df = stripped(t).withColumn("folded", fold(F.col("title")))
-    return df.select("report_id", T.first_label("title", "folded").alias("action"))
+    df = T.with_rule_text(stripped(t), "title")
+    return df.select("report_id", T.first_label("title").alias("action"))
 
 
 @query("merge_action", Q.TITLES + Q.LABELS + Q.ACTIONS + Q.MERGED + every_title(
     "select report_id, string_agg(label, '|' order by ord) as tags from merged group by report_id", "tags"))
 def _(t: Tables):
-    df = stripped(t).withColumn("folded", fold(F.col("title")))
+    df = T.with_rule_text(stripped(t), "title")
     df = df.select(
         "report_id",
-        T.matching_labels("title", "folded").alias("labels"),
-        T.first_label("title", "folded").alias("action"),
+        T.matching_labels("title").alias("labels"),
+        T.first_label("title").alias("action"),
     )
     return df.select("report_id", bar(T.merge_action(F.col("labels"), F.col("action"))).alias("tags"))
 

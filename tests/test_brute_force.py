@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from reportloom import rules
 from reportloom.functions import dictionaries as D
-from reportloom.functions.text import fold
 from reportloom.operators import dimensions as G
 from reportloom.operators import entities as E
 from reportloom.operators import matching as M
@@ -35,8 +34,8 @@ def test_rules_equal_plain_regex_search(spark):
     parts = [w for r in ALL_RULES for w in re.findall(r"[가-힣A-Za-z]{2,}", r.pattern)]
     titles = [" ".join(rng.choice(parts) for _ in range(4)).replace(" ", rng.choice(["", " ", " "])) for _ in range(300)]
     titles += ["1Q24 FY25 실적", "EV3 and ev", "(ABC.US) foo", "On-Chain", "AI", "삼성AI전략", "2Q24실적", "ＥＶ", "ſmall cap", "목표가\n상향"]
-    df = spark.createDataFrame(list(enumerate(titles)), "i long, t string").withColumn("f", fold(F.col("t")))
-    got = {r.i: (r.tags, r.action) for r in df.select("i", T.matching_labels("t", "f").alias("tags"), T.first_label("t", "f").alias("action")).collect()}
+    df = T.with_rule_text(spark.createDataFrame(list(enumerate(titles)), "i long, t string"), "t")
+    got = {r.i: (r.tags, r.action) for r in df.select("i", T.matching_labels("t").alias("tags"), T.first_label("t").alias("action")).collect()}
     for i, title in enumerate(titles):
         want = list(dict.fromkeys(r.label for r in rules.tag_rules() if re.search(r.pattern, title, re.I)))
         first = next((r.label for r in rules.action_rules() if re.search(r.pattern, title, re.I)), None)
