@@ -13,4 +13,6 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     left as it was read.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+    # the JVM array is asked for its length only; a long list is not sent to Python
+    files = len(df._jdf.inputFiles())
+    return df.repartition(cores, key) if files < cores else df

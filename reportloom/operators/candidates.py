@@ -86,7 +86,7 @@ def text_candidates(pages: DataFrame, sources: DataFrame, n: int = 100, saved: s
     with a third of all pages sends at most ``n`` rows per task.
     """
     empty = is_blank(F.col("article_text"))
-    hits = pages.where(empty).join(F.broadcast(sources), "firm_nm").where("article_url LIKE url_like")
+    hits = pages.where(empty).join(sources, "firm_nm").where("article_url LIKE url_like")
     newest = W.partitionBy("firm_nm").orderBy(F.desc(saved), F.desc("report_id"))
     return hits.withColumn("rn", F.row_number().over(newest)).where(F.col("rn") <= n)
 

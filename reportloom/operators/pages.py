@@ -51,7 +51,7 @@ def extract_by_source(pages: DataFrame, sources: DataFrame, patterns=CONTAINER_P
     text = F.when(F.col("rule") == "container", container_text(html, patterns)).when(
         F.col("rule") == "blocks", first_long_block(html, block)
     )
-    ruled = pages if "rule" in pages.columns else pages.join(F.broadcast(sources.select("firm_nm", "rule")), "firm_nm")
+    ruled = pages if "rule" in pages.columns else pages.join(sources.select("firm_nm", "rule"), "firm_nm")
     return ruled.select("report_id", "firm_nm", text.alias("article_text"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ..functions.numbering import with_running_sums
 from ..functions.text import is_blank
@@ -64,9 +65,15 @@ def tag_topk_delta(before: DataFrame, after: DataFrame, k: int = 20) -> DataFram
     )
 
 
-def token_counts(df: DataFrame, text: str, script: str) -> DataFrame:
-    words = F.regexp_extract_all(F.col(text), F.lit(SCRIPTS[script]), F.lit(0))
-    return df.select(F.explode(words).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+def token_counts(df: DataFrame, text: str) -> DataFrame:
+    """(script, token, n) over whole texts; both scripts in one scan and one shuffle."""
+
+    def words(script: str) -> Column:
+        found = F.regexp_extract_all(F.col(text), F.lit(SCRIPTS[script]), F.lit(0))
+        return F.transform(found, lambda w: F.struct(F.lit(script).alias("script"), w.alias("token")))
+
+    both = F.concat(*[words(s) for s in SCRIPTS])
+    return df.select(F.explode(both).alias("w")).groupBy("w.script", "w.token").agg(F.count("*").alias("n"))
 
 
 def unclassified(reports: DataFrame) -> DataFrame:
@@ -75,12 +82,14 @@ def unclassified(reports: DataFrame) -> DataFrame:
 
 
 def unclassified_tokens(reports: DataFrame, text: str = "article_title", k: int = 100) -> DataFrame:
-    """The k most frequent words per script among unclassified titles."""
-    tops = [
-        token_counts(reports, text, s).orderBy(F.desc("n"), "token").limit(k).withColumn("script", F.lit(s))
-        for s in SCRIPTS
-    ]
-    return tops[0].unionByName(tops[1])
+    """The k most frequent words per script among unclassified titles.
+
+    The rank filter is applied per task before the shuffle, so of a vocabulary
+    of any size each task passes on k words per script.
+    """
+    frequent = W.partitionBy("script").orderBy(F.desc("n"), "token")
+    ranked = token_counts(reports, text).withColumn("rn", F.row_number().over(frequent))
+    return ranked.where(F.col("rn") <= k).drop("rn")
 
 
 def missing_keywords(tokens: DataFrame, sector_words: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ ALL_RULES = rules.tag_rules() + rules.action_rules()
 
 
 @pytest.mark.parametrize("rule", ALL_RULES, ids=lambda r: f"{r.rank}-{r.label}")
-@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(data=st.data())
 def test_every_match_contains_a_literal(rule, data):
     """The literals tested before a regex never hide a match."""
