@@ -2,8 +2,8 @@
 
 A dictionary is a DataFrame with one distinct ``word`` per row and any payload
 columns. Up to ``INLINE_ROWS`` rows (counted before anything is collected) it
-becomes one literal array and the test is a filter inside the projection: no
-shuffle, no join. A larger dictionary is joined on short pieces of text, so
+becomes one literal map and the test runs inside the projection: no shuffle, no
+join. A larger dictionary is joined on short pieces of text, so
 neither side is ever held whole by a task or by the driver.
 """
 
@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .lists import let
+from .text import sql_text
 
 INLINE_ROWS = 4096
+PAIR = 2
 GRAM = 3
 
 
@@ -34,11 +36,37 @@ class Dictionary:
     def inline(self) -> bool:
         return self.rows is not None
 
-    def literal(self) -> Column:
-        """All entries as one constant array."""
+    def hits(self, text: str, field: str = "word") -> Column:
+        """Entries whose ``field`` occurs in the column named ``text``.
+
+        The pairs of characters that occur in the text select the few entries
+        that begin with one of them; only those are tested.
+        """
         names = self.entry.names
-        payload = json.dumps([dict(zip(names, r)) for r in self.rows], ensure_ascii=False)
-        return F.from_json(F.lit(payload), T.ArrayType(self.entry))
+        by_start: dict[str, list[dict]] = {}
+        for row in self.rows:
+            entry = dict(zip(names, row))
+            if entry[field]:
+                by_start.setdefault(entry[field][:PAIR], []).append(entry)
+        if not by_start:
+            return F.array().cast(T.ArrayType(self.entry))
+        listed = T.MapType(T.StringType(), T.ArrayType(self.entry))
+        table = F.from_json(F.lit(json.dumps(by_start, ensure_ascii=False)), listed)
+        picked = F.transform(F.expr(_starts(text, by_start)), lambda g: F.element_at(table, g))
+        return let(F.col(text), lambda t: F.filter(F.flatten(picked), lambda e: F.contains(t, e[field])))
+
+
+def _starts(text: str, known) -> str:
+    """SQL: the distinct first pairs (or single characters) of ``known`` that the text has.
+
+    One SQL text with an IN list becomes a hash set; thousands of literals as
+    Column calls would take seconds to build.
+    """
+    pairs = f"transform(sequence(1, greatest(length({text}) - 1, 1)), p -> substr({text}, p, {PAIR}))"
+    if any(len(k) < PAIR for k in known):
+        pairs = f"concat({pairs}, split({text}, ''))"
+    words = ", ".join(sql_text(k) for k in known)
+    return f"array_distinct(filter({pairs}, g -> g in ({words})))"
 
 
 def load(table: DataFrame, inline_rows: int = INLINE_ROWS) -> Dictionary:
@@ -63,16 +91,22 @@ def _grams(text: Column, size: int) -> Column:
 def contained_pairs(df: DataFrame, key: str, text: str, dictionary: Dictionary) -> DataFrame:
     """(key, text, entry) for every dictionary word the text contains, by join.
 
-    Both sides meet on the first ``GRAM`` characters of a word (all of it when
-    it is shorter), and the containment test runs inside the join. A frequent
-    piece makes many rows on the text side only; AQE splits such partitions.
+    Every word is keyed by that piece of ``GRAM`` characters (all of it when it
+    is shorter) which the fewest words share, so a beginning common to a third
+    of the words does not matter. The containment test runs inside the join. A
+    piece frequent in texts makes many rows on the text side only; AQE splits
+    such partitions.
     """
     grams = F.array_distinct(F.flatten(F.array(*[_grams(F.col(text), n) for n in range(1, GRAM + 1)])))
     left = df.select(key, text, F.explode(grams).alias("_gram"))
-    right = dictionary.table.select(
-        F.struct(*dictionary.entry.names).alias("entry"),
-        F.substring("word", 1, GRAM).alias("_gram"),
-    ).where(F.length("_gram") > 0)
+    words = dictionary.table.select(F.struct(*dictionary.entry.names).alias("entry")).where("entry.word <> ''")
+    size = F.least(F.length("entry.word"), F.lit(GRAM))
+    spots = F.sequence(F.lit(1), F.length("entry.word") - size + 1)
+    pieces = words.select(
+        "entry", F.explode(F.array_distinct(F.transform(spots, lambda p: F.substr("entry.word", p, size)))).alias("_gram")
+    )
+    shared = pieces.groupBy("_gram").agg(F.count("*").alias("n"))
+    right = pieces.join(shared, "_gram").groupBy("entry").agg(F.min_by("_gram", F.struct("n", "_gram")).alias("_gram"))
     joined = left.join(
         right,
         (left["_gram"] == right["_gram"]) & F.contains(left[text], F.col("entry.word")),
@@ -87,8 +121,7 @@ def with_contained(df: DataFrame, key: str, text: str, dictionary: Dictionary, o
     the text, so collecting them per key is bounded too.
     """
     if dictionary.inline:
-        hits = lambda t: F.filter(dictionary.literal(), lambda e: F.contains(t, e["word"]))
-        return df.withColumn(out, let(F.col(text), hits))
+        return df.withColumn(out, dictionary.hits(text))
     hits = (
         contained_pairs(df, key, text, dictionary)
         .groupBy(key)

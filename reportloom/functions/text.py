@@ -25,6 +25,11 @@ def is_blank(text: Column) -> Column:
     return text.isNull() | (text == F.lit(""))
 
 
+def sql_text(value: str) -> str:
+    """A string literal of SQL."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)
 

@@ -40,11 +40,7 @@ def lexicon(table: DataFrame, inline_rows: int = D.INLINE_ROWS) -> D.Dictionary:
     # whether a proper beginning of the name is also its end
     ends = F.sequence(F.lit(1), F.greatest(F.length("word") - 1, F.lit(1)))
     bordered = (F.length("word") > 1) & F.exists(ends, lambda n: F.left("word", n) == F.right("word", n))
-    loaded = D.load(table.select("rank", "word", "code", "sector", "ticker_rank", bordered.alias("bordered")), inline_rows)
-    if loaded.inline:
-        ordered = sorted(loaded.rows, key=lambda r: (r[0] is None, r[0] or 0))
-        return D.Dictionary(loaded.table, loaded.entry, tuple(ordered))
-    return loaded
+    return D.load(table.select("rank", "word", "code", "sector", "ticker_rank", bordered.alias("bordered")), inline_rows)
 
 
 def seed_lexicon(spark: SparkSession) -> DataFrame:
@@ -73,13 +69,12 @@ def with_candidates(df: DataFrame, title: str, lex: D.Dictionary, out: str, key:
     whether it came from a literal or from a join.
     """
     if lex.inline:
-        by_word = lambda t: F.filter(lex.literal(), lambda e: F.contains(t, e["word"]))
-        by_either = lambda t: F.filter(
-            lex.literal(), lambda e: F.contains(t, e["word"]) | F.coalesce(F.contains(t, e["code"]), F.lit(False))
-        )
+        # in name order, which decides aliases and the order of known names;
         # codes only count inside parentheses
-        hits = lambda t: F.when(F.contains(t, F.lit("(")), by_either(t)).otherwise(by_word(t))
-        return df.withColumn(out, let(F.col(title), hits))
+        names, codes = lex.hits(title), lex.hits(title, "code")
+        either = F.array_distinct(F.concat(names, codes))
+        found = F.when(F.contains(F.col(title), F.lit("(")), either).otherwise(names)
+        return df.withColumn(out, F.array_sort(found))
     # the code is searched like a word; its row carries the real name along
     names = lex.entry.names
     both = lex.table.select("word", F.struct(*names).alias("row")).unionByName(

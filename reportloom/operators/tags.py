@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions.lists import let
-from ..functions.text import empty_strings, fold
+from ..functions.text import empty_strings, fold, sql_text
 
 # The default company label and the published list lengths.
 COMPANY_LABEL = "기업 분석"
@@ -16,10 +16,6 @@ MAX_TAGS = 8
 _FLAGS = "(?iUd)"
 
 
-def _text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _literals(rule: rules.Rule) -> list[str]:
     return [*rule.words, *(literal for literal, _ in rule.gated)]
 
@@ -40,8 +36,8 @@ def with_rule_text(df: DataFrame, title: str, *packs) -> DataFrame:
 
 
 def _has(text: str) -> str:
-    test = f"contains(_folded, {_text(text)})"
-    return f"array_contains(_pairs, hash({_text(text[:2])})) and {test}" if len(text) > 1 else test
+    test = f"contains(_folded, {sql_text(text)})"
+    return f"array_contains(_pairs, hash({sql_text(text[:2])})) and {test}" if len(text) > 1 else test
 
 
 def rule_test(rule: rules.Rule, title: str) -> str:
@@ -51,13 +47,13 @@ def rule_test(rule: rules.Rule, title: str) -> str:
     for literal, piece in rule.gated:
         by_literal.setdefault(literal, []).append(piece)
     for literal, pieces in by_literal.items():
-        match = f"{title} rlike {_text(_FLAGS + '|'.join(pieces))}"
+        match = f"{title} rlike {sql_text(_FLAGS + '|'.join(pieces))}"
         tests.append(f"{_has(literal)} and {match}" if literal else match)
     return " or ".join(f"({t})" for t in tests)
 
 
 def _cases(pack, title: str) -> str:
-    return ", ".join(f"case when {rule_test(r, title)} then {_text(r.label)} end" for r in pack)
+    return ", ".join(f"case when {rule_test(r, title)} then {sql_text(r.label)} end" for r in pack)
 
 
 def matching_labels(title: str, pack=None) -> Column:
