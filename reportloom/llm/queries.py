@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat
+from . import bpe, chat, near_dup
 from .common import read
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -46,3 +46,33 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text")
     )
     return chat.digests(chat.format_turns(own.unionByName(more)))
+
+
+#: Distinct five-word shingles of every document (fewer words: all of them as one); no words: no row.
+SHINGLES_SQL = r"""
+words_of as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents
+), sh as (
+  select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s
+  from words_of
+), sizes as (select doc_id, count(*) as n from sh group by doc_id)
+"""
+
+_OP9 = f"""
+with recursive {SHINGLES_SQL}, links as (
+  select a.doc_id as a, b.doc_id as b from sh a join sh b on a.s = b.s and a.doc_id <> b.doc_id
+  join sizes x on x.doc_id = a.doc_id join sizes y on y.doc_id = b.doc_id
+  group by a.doc_id, b.doc_id having 100 * count(*) >= 85 * (max(x.n) + max(y.n) - count(*))
+), reach as (
+  select doc_id as a, doc_id as b from documents union select r.a, l.b from reach r join links l on r.b = l.a
+), comp as (select a as doc_id, min(b) as component_id from reach group by a)
+select d.doc_id, coalesce(n, 0) as n_shingles, component_id, d.doc_id = component_id as kept
+from documents d join comp using (doc_id) left join sizes using (doc_id)
+"""
+
+
+@query("op9_near_dup", _OP9)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(read(spark, sf_dir, "documents"))
