@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, near_dup
+from . import bpe, chat, lm_score, near_dup
 from .common import read
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -76,3 +76,27 @@ from documents d join comp using (doc_id) left join sizes using (doc_id)
 @query("op9_near_dup", _OP9)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+_OP5 = r"""
+with words_of as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents
+), tokens as (
+  select doc_id, i, w[i] as word, case when i > 1 then w[i - 1] end as before from (select doc_id, w, unnest(range(1, len(w) + 1)) as i from words_of)
+), uni as (select word, count(*) as c from tokens group by word),
+bi as (select before, word, count(*) as c from tokens where before is not null group by all),
+size as (select count(*) as n from tokens),
+scored as (
+  select t.doc_id, case when bi.c >= 2 then ln(bi.c) - ln(p.c) when t.before is not null then ln(0.4) + ln(u.c) - ln(n) else ln(u.c) - ln(n) end as s
+  from tokens t join uni u on u.word = t.word left join uni p on p.word = t.before
+  left join bi on bi.before = t.before and bi.word = t.word, size
+)
+select d.doc_id, count(s.doc_id) as n_words, coalesce(sum(s), 0.0) as log_score, avg(s) as per_word
+from documents d left join scored s using (doc_id) group by d.doc_id
+"""
+
+
+@query("op5_lm_score", _OP5)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(read(spark, sf_dir, "documents"))
