@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, lm_score, near_dup
+from . import bpe, chat, lm_score, near_dup, suffix_dedup
 from .common import read
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -100,3 +100,8 @@ from documents d left join scored s using (doc_id) group by d.doc_id
 @query("op5_lm_score", _OP5)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(read(spark, sf_dir, "documents"))
+
+
+@query("op2_suffix_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(read(spark, sf_dir, "documents"))
