@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, lm_score, near_dup, suffix_dedup
+from . import ann, bpe, chat, decontam, lm_score, near_dup, suffix_dedup
 from .common import read
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -105,3 +105,29 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_suffix_dedup")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(read(spark, sf_dir, "documents"))
+
+
+_OP8 = f"""
+with {SHINGLES_SQL}, item_words as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w
+  from benchmark
+), item_sh as (
+  select distinct item_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s
+  from item_words
+), item_sizes as (select item_id, count(*) as n from item_sh group by item_id)
+select doc_id, item_id, max(n) as n_shingles, count(*) as n_shared, count(*) / max(n) as containment
+from sh join item_sh using (s) join item_sizes using (item_id)
+group by doc_id, item_id having count(*) >= 0.8 * max(n)
+"""
+
+
+@query("op8_decontam", _OP8)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contained_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op1_ann")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = read(spark, sf_dir, "embeddings")
+    return ann.neighbours(own, own.filter("vec_id % 20 = 0"))
