@@ -96,6 +96,35 @@ def confirm(edges: DataFrame, sets: DataFrame, id_col: str, percent: int) -> Dat
     return with_b.select("a", "b", "set_of_a", "set_of_b").mapInArrow(run, "a bigint, b bigint, linked boolean")
 
 
+def shared_counts(sets: DataFrame, id_col: str) -> DataFrame:
+    """(rep, n, c): size of each set, and how many of its shingles another set has too."""
+
+    def run(batches):
+        for batch in batches:
+            for k in range(0, batch.num_rows, 200):
+                some = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(1).slice(k, 200)]
+                ids = np.repeat(np.asarray(batch.column(0).slice(k, 200)), [len(x) for x in some])
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(some))], ["rep", "s"])
+
+    every = sets.select(id_col, "set").mapInArrow(run, "rep bigint, s bigint")
+    twice = every.groupBy("s").agg(F.count("*").alias("m")).filter("m > 1").select("s")
+    common = every.join(twice, "s", "left_semi").groupBy("rep").agg(F.count("*").alias("c"))
+    sizes = sets.select(F.col(id_col).alias("rep"), (F.length("set") / 8).cast("bigint").alias("n"))
+    return sizes.join(common, "rep", "left").select("rep", "n", F.coalesce("c", F.lit(0)).cast("bigint").alias("c"))
+
+
+def may_link(met: DataFrame, percent: int) -> DataFrame:
+    """(key, rep, n, c) without members that cannot be linked inside their bucket.
+
+    Two sets share at most min(c, c') shingles. With any partner of the bucket, of size m or more, a member's similarity is
+    at most c / (n + max(m, c) - c); the bound is exact, so no link is lost. Buckets left with one member go too.
+    """
+    least = met.groupBy("key").agg(F.min("n").alias("m"))
+    able = met.join(least, "key").filter(100 * F.col("c") >= percent * (F.col("n") + F.greatest("m", "c") - F.col("c"))).select("key", "rep", "n", "c")
+    several = able.groupBy("key").agg(F.count("*").alias("k")).filter("k > 1").select("key")
+    return able.join(several, "key", "left_semi")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id (smallest id reachable over links), kept (id = component_id).
 
@@ -107,10 +136,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     1. Documents of the same set are one class; only its smallest id goes on.
     2. Tensored banding in two steps: a half-band of the first collection must be shared at all, then the pair of a half-band
        of each collection is the table key.
-    3. Buckets are never expanded into all pairs. A bucket is compared with a pivot, its smallest member; buckets that are
-       not one component then go on with twice as many pivots each round, against members of other components only, until
-       each bucket is one component or all its members were pivots. So every link between buckets' members is found or implied.
-    4. Candidates are confirmed on the full sets; links become components by label passing in the shared folder.
+    3. Members that by the number of their shingles that any other set has cannot reach the similarity leave the bucket; this
+       takes most false collisions out before any pair is formed.
+    4. Buckets are never expanded into all pairs. A bucket is compared with a pivot; buckets that are not one component go
+       on with eight times as many pivots each round, against members of other components only that the same bound lets
+       pass, until each is one component or all its members were pivots. So links between members are found or implied.
+    5. Candidates are confirmed on the full sets; links become components by label passing in the shared folder.
     """
     sig = staged(signatures(docs, id_col, text_col), "signatures")
     classes = sig.filter("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles").agg(F.min(id_col).alias("rep"))
@@ -125,48 +156,42 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
         .select("rep", "half", F.explode(F.sequence(F.lit(0), F.lit(HALVES * HALVES - 1))).alias("t"))
         .select("rep", F.xxhash64("t", F.expr(f"half[t div {HALVES}]"), F.expr(f"half[{HALVES} + t % {HALVES}]")).alias("key"))
     )
-    full = pairs.groupBy("key").agg(F.min("rep").alias("pivot"), F.count("*").alias("n")).filter("n > 1")
-    members = staged(pairs.join(full, "key").select("key", "rep", "pivot"), "buckets")
+    shared_keys = pairs.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    met = staged(pairs.join(shared_keys, "key", "left_semi"), "buckets")
 
-    wanted = members.select(F.col("rep").alias(id_col)).distinct()
+    wanted = met.select(F.col("rep").alias(id_col)).distinct()
     sets = staged(shingle_sets(docs.select(id_col, text_col).join(wanted, id_col, "left_semi"), id_col, text_col).dropDuplicates([id_col]), "sets")
+    sized = staged(shared_counts(sets, id_col), "sizes")
+    members = staged(may_link(met.join(sized, "rep"), percent), "members")
 
-    edges = members.filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
+    # the first pivot of a bucket: the member with the largest share of shingles that others have too
+    first_pivot = members.groupBy("key").agg(F.max_by("rep", F.struct(F.col("c") / F.col("n"), -F.col("rep"))).alias("p"))
+    edges = members.join(first_pivot, "key").filter("rep <> p").select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")).distinct()
     tested = staged(confirm(edges, sets, id_col, percent), "tested")
-    pivots = 1
+    pivots = 4
     while True:
         labels = components(tested.filter("linked"))
-        placed = members.select("key", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-            "key", "rep", F.coalesce("label", "rep").alias("label")
-        )
+        placed = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
         mixed = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
-        left = staged(placed.join(mixed, "key"), "mixed")
-        # the next pivots of a bucket: its smallest members in an order of its own, twice as many each round
-        rank = F.row_number().over(_by_key())
-        chosen = left.withColumn("rank", rank).filter(F.col("rank") <= pivots)
+        left = placed.join(mixed, "key").withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(F.desc(F.expr("c / n")), "rep")))
+        left = staged(left, "mixed")
+        chosen = left.filter(F.col("rank") <= pivots).select("key", F.col("rep").alias("p"), F.col("label").alias("of_p"), F.col("n").alias("n_p"), F.col("c").alias("c_p"))
+        low = F.least("c", "c_p")
         tries = (
-            left.alias("m")
-            .join(chosen.select("key", F.col("rep").alias("p"), F.col("label").alias("of_p")), "key")
-            .filter("label <> of_p")
+            left.join(chosen, "key")
+            .filter((F.col("label") != F.col("of_p")) & (100 * low >= percent * (F.col("n") + F.col("n_p") - low)))
             .select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b"))
             .distinct()
             .join(tested.select("a", "b"), ["a", "b"], "left_anti")
         )
         more = staged(confirm(tries, sets, id_col, percent), "tested")
-        found = more.agg(F.count("*").alias("n")).first()["n"]
         tested = tested.unionByName(more)
-        if found == 0:
-            most = left.groupBy("key").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-            if pivots >= most:
-                break
-        pivots *= 2
+        if more.isEmpty() and pivots >= (left.agg(F.max("rank")).first()[0] or 0):
+            break
+        pivots *= 8
     reach = labels.withColumnRenamed("node", "rep")
     return (
         named.join(reach, "rep", "left")
         .select(id_col, "n_shingles", F.coalesce("label", "rep", F.col(id_col)).alias("component_id"))
         .withColumn("kept", F.col(id_col) == F.col("component_id"))
     )
-
-
-def _by_key():
-    return Window.partitionBy("key").orderBy(F.xxhash64("rep"), "rep")
