@@ -9,14 +9,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import flat, in_blocks, prefix_hash, span_hash
+from .common import chunks, flat, in_blocks, prefix_hash, span_hash
 
 #: Bytes of an anchor: each repeated string is found by one gram of this size in it.
 GRAM = 24
 #: About so many bytes of text stand for one bucket of anchors.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
+#: Bytes of text in a block of documents.
+BLOCK_BYTES = 2 << 20
 #: Bytes of passages that go into one suffix array; an anchor's passages stay together.
-ARRAY_BYTES = 1 << 20
+ARRAY_BYTES = 1 << 19
 #: An anchor with more different passages than this is decided by window hashes, which are added up before they travel.
 HOT = 4096
 _STEP = 1 << 19
@@ -253,7 +255,7 @@ def dedup(docs: DataFrame, length: int = 100, keep_text: bool = False, hot_passa
     4. Blocks gather the ranges found for their documents.
     """
     ids_type = docs.schema[id_col].dataType.simpleString()
-    blocks = in_blocks(docs.withColumn(id_col, F.col(id_col).cast("bigint")), id_col, text_col)
+    blocks = in_blocks(docs.withColumn(id_col, F.col(id_col).cast("bigint")), id_col, text_col, BLOCK_BYTES)
     total = docs.agg(F.sum(F.octet_length(text_col)).alias("n")).first()["n"] or 0
     buckets = int(total // BUCKET_BYTES + 1)
 
@@ -343,7 +345,10 @@ def dedup(docs: DataFrame, length: int = 100, keep_text: bool = False, hot_passa
         size = x["size"].astype(np.int64)
         begin = np.concatenate(([0], np.cumsum(size)))[:-1]
         # equal passages of different blocks are one passage, at its smallest place
-        name = span_hash(prefix_hash(x["text"]), begin, begin + size)
+        name = np.zeros(len(size), np.uint64)
+        for i, j in chunks(np.append(begin, len(x["text"]))):
+            at = begin[i]
+            name[i:j] = span_hash(prefix_hash(x["text"][at : begin[j - 1] + size[j - 1]]), begin[i:j] - at, begin[i:j] - at + size[i:j])
         order = np.lexsort((x["start"], x["doc"], name, x["anchors"]))
         same = np.zeros(len(order), bool)
         same[1:] = (x["anchors"][order][1:] == x["anchors"][order][:-1]) & (name[order][1:] == name[order][:-1])
