@@ -92,11 +92,11 @@ def span_hash(sums: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarra
     return mix((sums[end] - sums[begin]) * _grown("i", _PI, len(sums))[begin] + (end - begin).astype(np.uint64))
 
 
-def words(data: np.ndarray, at: np.ndarray, lower: bool = True):
-    """Hash, document row, begin and end of every word ``[^\\x20\\x09-\\x0D]+``; A-Z lower-cased if asked for."""
+def words(data: np.ndarray, at: np.ndarray, lower: bool = True, inside: np.ndarray = ~_SPACE):
+    """Hash, row, begin and end of every word: a run of bytes of the class ``inside``, ``[^\\x20\\x09-\\x0D]`` if not given."""
     if len(data) == 0:
         return np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3))
-    inner = ~_SPACE[data]
+    inner = inside[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[at] = True
     before = np.concatenate(([False], inner[:-1]))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, decontam, lm_score, near_dup, suffix_dedup
+from . import ann, bpe, chat, decontam, lm_score, near_dup, quality, suffix_dedup, toxicity
 from .common import read
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -131,3 +131,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = read(spark, sf_dir, "embeddings")
     return ann.neighbours(own, own.filter("vec_id % 20 = 0"))
+
+
+@query("op4_quality")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op6_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
