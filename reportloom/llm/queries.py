@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, decontam, lm_score, near_dup, quality, suffix_dedup, toxicity
+from . import ann, bpe, chat, decontam, html_main, lm_score, near_dup, quality, suffix_dedup, toxicity
 from .common import read
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -141,3 +141,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_toxicity")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op3_html")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract(read(spark, sf_dir, "pages"))
