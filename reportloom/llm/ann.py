@@ -85,7 +85,7 @@ def neighbours(
 
     ``queries`` are rows of the same table; a query is not its own candidate. Scores are inner products in double
     precision of the original vectors. Null or zero vectors, and such with null or non-finite components, take no part, nor
-    do those whose length is not the commonest. Rows of one id with the same vector count once. Other columns are not
+    do those whose length is not the commonest, nor those without id. Rows of one id with the same vector count once. Other columns are not
     read; empty tables give an empty result; with fewer candidates than ``k`` all are returned.
 
     1. A vector x becomes (x, sqrt(M - |x|^2)) and a query (q, 0), M being the largest |x|^2: larger inner products are
@@ -107,7 +107,7 @@ def neighbours(
     if row is None:
         return spark.createDataFrame([], schema)
     dims = int(row["d"])
-    clean = lambda df: df.filter(usable & (F.size(vec_col) == dims)).select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
+    clean = lambda df: df.filter(usable & (F.size(vec_col) == dims) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
     own = clean(vectors)
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     top = own.agg(F.max(norm).alias("m"), F.count("*").alias("n")).first()

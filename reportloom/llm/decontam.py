@@ -52,8 +52,8 @@ def contained_items(
     """(doc_id, item_id, n_shingles, n_shared, containment) of items of which a document holds ``threshold`` or more.
 
     Containment is the share of the item's distinct shingles of ``size`` words that the document has too (A-Z lower-cased;
-    fewer words make one shingle). Null or empty texts contain nothing and are contained in nothing. Rows of the same id
-    are judged each, and the larger share counts. Other columns are not read; an empty side gives an empty result.
+    fewer words make one shingle). Null or empty texts contain nothing and are contained in nothing. Rows without id
+    are left out; rows of one document are judged each, and the larger share counts; of rows of one item any one is taken. Other columns are not read; an empty side gives an empty result.
 
     A document's sketch has one minimum for each of as many bins as it has shingles, up to a power of two: its size class.
     Items are sketched once for every class, since a short item keeps its minima only against bins as fine as the
@@ -61,6 +61,7 @@ def contained_items(
     more, so an item with ten shared shingles is missed less than once in 10,000. Candidates are confirmed on the whole
     sets of both sides as strings. Documents are exploded only into their sketch and never meet each other.
     """
+    docs, items = docs.filter(F.col(doc_id).isNotNull()), items.filter(F.col(item_id).isNotNull())
     own_items = items.select(item_id, text).dropDuplicates([item_id])
     for_class = hashed_shingles(own_items, text, size).withColumn("c", F.explode(F.sequence(F.lit(1), F.lit(CLASSES))))
     wanted = for_class.select("c", item_id, F.explode(_sketch(F.col("c"))).alias("h"))

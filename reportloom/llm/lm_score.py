@@ -50,7 +50,7 @@ def score(docs: DataFrame, order: int = 2, backoff: float = 0.4, min_count: int
     Words are ``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased. Counts are taken over all documents. Higher orders keep n-grams
     of ``min_count`` and more, as pruned tables do. S(w | v) = c(v w) / c(v) if c(v w) is kept, else backoff * S(w | v
     without its first word); at the end c(w) / N. Empty and null text: no words, score 0. Repeated rows are documents of
-    their own; other columns are not read; an empty table gives an empty result.
+    their own, a null id is an id; other columns are not read; an empty table gives an empty result.
 
     Documents lie in blocks of a few MB. A block sends each distinct n-gram once with its count, to the bucket of its
     hash; the bucket's table adds them up and answers each block with the totals, in the block's order; the block joins

@@ -130,8 +130,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
 
     Two documents are linked when 100 * |intersection| >= percent * |union| of their sets of distinct five-word shingles
     (A-Z lower-cased; fewer words: the whole sequence is the one shingle; no words, empty or null text: an empty set,
-    linked with nothing). Rows with the same id count as one document only if their texts agree. Other columns are not
-    read. An empty table gives an empty result.
+    linked with nothing). Rows without id are left out. Rows of one id are one document: each is
+    returned, and the smallest id of what any of them is linked with is its component. Other columns are not read. An empty
+    table gives an empty result.
 
     1. Documents of the same set are one class; only its smallest id goes on.
     2. Tensored banding in two steps: a half-band of the first collection must be shared at all, then the pair of a half-band
@@ -143,6 +144,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
        pass, until each is one component or all its members were pivots. So links between members are found or implied.
     5. Candidates are confirmed on the full sets; links become components by label passing in the shared folder.
     """
+    docs = docs.filter(F.col(id_col).isNotNull())
     sig = staged(signatures(docs, id_col, text_col), "signatures")
     classes = sig.filter("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles").agg(F.min(id_col).alias("rep"))
     named = sig.join(classes, ["set_a", "set_b", "n_shingles"], "left")

@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import chunks, flat, words
 from .labelled import remainder, training_rows
@@ -181,15 +182,8 @@ def train(x: np.ndarray, row: np.ndarray, size: np.ndarray, y: np.ndarray, round
     return own
 
 
-def score(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, cut: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, held_out, score (0 to 1, higher: likelier good), predicted (score >= ``cut``).
-
-    A conditional random field labels the lines of a text good or bad from their own features and those of the lines
-    beside them; forward-backward marginals, weighted by line length, make the document's share of good text, and a
-    logistic curve makes that a score. Trained on up to ``TRAIN_ROWS`` labelled documents of up to ``TRAIN_BYTES`` bytes
-    whose crc32(id as text) modulo ``folds`` is not ``fold``; every whole text is scored. A null or empty text is one
-    empty line. Without training rows all scores are 0.5. Repeated rows are scored each; other columns are not read.
-    """
+def fitted(docs: DataFrame, labels: DataFrame, folds: int, fold: int, id_col: str, text_col: str) -> Field:
+    """A field trained on up to ``TRAIN_ROWS`` labelled documents outside ``fold``, of up to ``TRAIN_BYTES`` bytes each."""
     sample = training_rows(docs, labels, "quality", remainder(id_col, folds) != fold, TRAIN_ROWS, TRAIN_BYTES, id_col, text_col)
 
     def features(batches):
@@ -205,25 +199,51 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, cut
                 )
 
     rows = sample.select(text_col, "quality").mapInArrow(features, "x binary, size binary, y int").collect()
-    field = Field()
-    if rows:
-        x = [np.frombuffer(r["x"], np.float32).reshape(-1, N_FEATURES) for r in rows]
-        row = np.repeat(np.arange(len(rows)), [len(v) for v in x])
-        size = np.concatenate([np.frombuffer(r["size"], np.int64) for r in rows])
-        field = train(np.concatenate(x).astype(float), row, size, np.array([r["y"] for r in rows], float))
+    if not rows:
+        return Field()
+    x = [np.frombuffer(r["x"], np.float32).reshape(-1, N_FEATURES) for r in rows]
+    row = np.repeat(np.arange(len(rows)), [len(v) for v in x])
+    size = np.concatenate([np.frombuffer(r["size"], np.int64) for r in rows])
+    return train(np.concatenate(x).astype(float), row, size, np.array([r["y"] for r in rows], float))
+
+
+def with_score(docs: DataFrame, field: Field, name: str, text_col: str = "text") -> DataFrame:
+    """All rows and columns of ``docs`` and the score of the whole text as ``name``; nothing is shuffled."""
     model = docs.sparkSession.sparkContext.broadcast(field)  # a few hundred numbers
-    schema = f"{id_col} {docs.schema[id_col].dataType.simpleString()}, score double"
+    place = docs.columns.index(text_col)
 
     def run(batches):
         for batch in batches:
-            data, at = flat(batch.column(1))
+            data, at = flat(batch.column(place))
             for i, j in chunks(at):
                 x, row, size = line_features(data[at[i] : at[j]], at[i : j + 1] - at[i])
                 got = model.value.score(model.value.share(x, row, size, j - i))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(got)], [id_col, "score"])
+                part = batch.slice(i, j - i)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(got)], [*part.schema.names, name])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
-    return (
-        docs.select(id_col, text_col)
-        .mapInArrow(run, schema)
-        .select(id_col, (remainder(id_col, folds) == fold).alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
+
+def score(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, cut: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: id, held_out, score (0 to 1, higher: likelier good), predicted (score >= ``cut``).
+
+    A conditional random field labels the lines of a text good or bad from their own features and those of the lines
+    beside them; forward-backward marginals, weighted by line length, make the document's share of good text, and a
+    logistic curve makes that a score. Trained on up to ``TRAIN_ROWS`` labelled documents of up to ``TRAIN_BYTES`` bytes
+    whose crc32(id as text) modulo ``folds`` is not ``fold``; every whole text is scored. A null or empty text is one
+    empty line; a row without id is scored and not held out. Without training rows all scores are 0.5. Repeated rows are
+    scored each; other columns are not read; an empty table gives an empty result.
+    """
+    field = fitted(docs, labels, folds, fold, id_col, text_col)
+    held = F.coalesce(remainder(id_col, folds) == fold, F.lit(False))
+    return with_score(docs.select(id_col, text_col), field, "score", text_col).select(
+        id_col, held.alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted")
     )
+
+
+def accepted(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, cut: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with a score of ``cut`` or more, with all their columns."""
+    name = "score__"
+    while name in docs.columns:
+        name += "_"
+    return with_score(docs, fitted(docs, labels, folds, fold, id_col, text_col), name, text_col).filter(F.col(name) >= cut).drop(name)

@@ -242,7 +242,7 @@ def dedup(docs: DataFrame, length: int = 100, keep_text: bool = False, hot_passa
     Texts are UTF-8 bytes (null: empty). A byte goes if a ``length``-byte string over it also starts earlier: in a
     document of smaller id, or earlier in the same one. Strings are judged on the input and never cross documents;
     spans are maximal runs of bytes that go. Rows of one id are at equal places: neither is earlier than the other. The
-    kept text is decoded without characters that were cut in two. Other columns are not read; an empty table gives an
+    kept text is decoded without characters that were cut in two. Rows without id are left out. Other columns are not read; an empty table gives an
     empty result.
 
     1. Winnowing: each window of ``length`` bytes has one anchor. Blocks of documents send their distinct anchors to
@@ -254,6 +254,7 @@ def dedup(docs: DataFrame, length: int = 100, keep_text: bool = False, hot_passa
        distinct windows, spread by hash, and their smallest place decides.
     4. Blocks gather the ranges found for their documents.
     """
+    docs = docs.filter(F.col(id_col).isNotNull())
     ids_type = docs.schema[id_col].dataType.simpleString()
     blocks = in_blocks(docs.withColumn(id_col, F.col(id_col).cast("bigint")), id_col, text_col, BLOCK_BYTES)
     total = docs.agg(F.sum(F.octet_length(text_col)).alias("n")).first()["n"] or 0

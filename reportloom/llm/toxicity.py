@@ -109,8 +109,8 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = 3, fold: int = 1, cut
 
     Trained on up to ``TRAIN_ROWS`` labelled documents of up to ``TRAIN_BYTES`` bytes whose crc32(id as text) modulo
     ``folds`` is not ``fold``; every whole text is scored. Inputs are the text's terms alone: words of letters and digits
-    in lower case, and beginnings of words. Null and empty texts have no terms and get the score of the bias. Without any
-    training row all scores are 0.5. Repeated rows are scored each; other columns are not read.
+    in lower case, and beginnings of words. Null and empty texts have no terms and get the score of the bias; a row without id
+    is scored and not held out. Without any training row all scores are 0.5. Repeated rows are scored each; other columns are not read.
     """
     sample = training_rows(docs, labels, "toxic", remainder(id_col, folds) != fold, TRAIN_ROWS, TRAIN_BYTES, id_col, text_col)
 
@@ -146,5 +146,5 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = 3, fold: int = 1, cut
     return (
         docs.select(id_col, text_col)
         .mapInArrow(run, schema)
-        .select(id_col, (remainder(id_col, folds) == fold).alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
+        .select(id_col, F.coalesce(remainder(id_col, folds) == fold, F.lit(False)).alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
     )
