@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, flat, in_blocks, prefix_hash, span_hash
+from .common import chunks, flat, in_blocks, mix, prefix_hash, span_hash
 
 #: Bytes of an anchor: each repeated string is found by one gram of this size in it.
 GRAM = 24
@@ -194,7 +194,8 @@ def passages(data: np.ndarray, at: np.ndarray, length: int):
         row.append(r[first])
         lo.append(s[first] + begin)
         hi.append(s[last] + begin)
-        anchor.append(grams[p[first]])
+        # least hashes crowd at zero; mixed again, they fill equal ranges equally
+        anchor.append(mix(grams[p[first]] + np.uint64(1)))
         own.append(span_hash(sums, s[first], s[last] + length))
     if not row:
         return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
