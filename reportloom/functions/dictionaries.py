@@ -88,17 +88,18 @@ def _grams(text: Column, size: int) -> Column:
     return F.when(last >= 1, F.array_distinct(pieces)).otherwise(F.array().cast("array<string>"))
 
 
-def contained_pairs(df: DataFrame, key: str, text: str, dictionary: Dictionary) -> DataFrame:
-    """(key, text, entry) for every dictionary word the text contains, by join.
+def nominated(df: DataFrame, key: str, text: str, dictionary: Dictionary, out: str) -> DataFrame:
+    """(key, out): per text the entries that share their piece with it; whether they occur whole is tested by the caller.
 
     Every word is keyed by that piece of ``GRAM`` characters (all of it when it
     is shorter) which the fewest words share, so a beginning common to a third
-    of the words does not matter. The containment test runs inside the join. A
-    piece frequent in texts makes many rows on the text side only; AQE splits
-    such partitions.
+    of the words does not matter. A text sends its key and its pieces, never
+    itself. ``key`` must be unique. The join is a merge join by hint: exploded
+    pieces have no honest size estimate and must not be broadcast; AQE splits
+    pieces that many texts have.
     """
     grams = F.array_distinct(F.flatten(F.array(*[_grams(F.col(text), n) for n in range(1, GRAM + 1)])))
-    left = df.select(key, text, F.explode(grams).alias("_gram"))
+    left = df.select(key, F.explode(grams).alias("_gram"))
     words = dictionary.table.select(F.struct(*dictionary.entry.names).alias("entry")).where("entry.word <> ''")
     size = F.least(F.length("entry.word"), F.lit(GRAM))
     spots = F.sequence(F.lit(1), F.length("entry.word") - size + 1)
@@ -107,11 +108,7 @@ def contained_pairs(df: DataFrame, key: str, text: str, dictionary: Dictionary)
     )
     shared = pieces.groupBy("_gram").agg(F.count("*").alias("n"))
     right = pieces.join(shared, "_gram").groupBy("entry").agg(F.min_by("_gram", F.struct("n", "_gram")).alias("_gram"))
-    joined = left.join(
-        right,
-        (left["_gram"] == right["_gram"]) & F.contains(left[text], F.col("entry.word")),
-    )
-    return joined.select(left[key], left[text], "entry")
+    return left.join(right.hint("merge"), "_gram").groupBy(key).agg(F.collect_list("entry").alias(out))
 
 
 def with_contained(df: DataFrame, key: str, text: str, dictionary: Dictionary, out: str) -> DataFrame:
@@ -122,10 +119,7 @@ def with_contained(df: DataFrame, key: str, text: str, dictionary: Dictionary, o
     """
     if dictionary.inline:
         return df.withColumn(out, dictionary.hits(text))
-    hits = (
-        contained_pairs(df, key, text, dictionary)
-        .groupBy(key)
-        .agg(F.collect_list("entry").alias(out))
-    )
     empty = F.array().cast(T.ArrayType(dictionary.entry))
-    return df.join(hits, key, "left").withColumn(out, F.coalesce(F.col(out), empty))
+    some = df.join(nominated(df, key, text, dictionary, "_some"), key, "left")
+    whole = let(F.col(text), lambda t: F.filter(F.coalesce("_some", empty), lambda e: F.contains(t, e["word"])))
+    return some.withColumn(out, whole).drop("_some")

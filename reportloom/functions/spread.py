@@ -5,14 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deal the rows out by ``key`` when the input has fewer files than there are cores.
+def spread(df: DataFrame, key: str, tasks: int | None) -> DataFrame:
+    """Deal the rows out to ``tasks`` tasks by ``key``; with None the rows stay as they were read.
 
     Title work is heavy on CPU and light on bytes, so one narrow shuffle pays
-    for a table of one file. A large table has more files than cores and is
-    left as it was read.
+    for a table of one file. The caller knows its tables: one of more files than
+    cores is best left alone.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    # the JVM array is asked for its length only; a long list is not sent to Python
-    files = len(df._jdf.inputFiles())
-    return df.repartition(cores, key) if files < cores else df
+    return df.repartition(tasks, key) if tasks else df

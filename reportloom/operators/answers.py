@@ -64,14 +64,22 @@ def parse_answers(answers: DataFrame, text: str = "answer", order: str = "answer
 
 
 def coerce_tags(value: Column) -> Column:
-    """A list stays, a scalar becomes a list of one, nothing or an empty value an empty list."""
-    as_list = F.try_variant_get(value, "$", "array<string>")
+    """A list stays; any other value becomes a list of one; no value, "", 0, false and {} give an empty list.
+
+    The kind of the value decides: the text "0" is a tag, the number 0 is none.
+    """
+    kind = F.schema_of_variant(value)
     as_text = F.try_variant_get(value, "$", "string")
-    return (
-        F.when(as_list.isNotNull(), as_list)
-        .when(as_text.isNull() | as_text.isin("", "0", "false"), empty_strings())
-        .otherwise(F.array(as_text))
+    as_json = F.to_json(value)
+    one = (
+        F.when(value.isNull() | (kind == "VOID"), None)
+        .when(kind == "STRING", F.nullif(as_text, F.lit("")))
+        .when(kind == "BOOLEAN", F.when(F.try_variant_get(value, "$", "boolean"), "True"))
+        .when(F.startswith(kind, F.lit("OBJECT")), F.nullif(as_json, F.lit("{}")))
+        .when(F.try_variant_get(value, "$", "double") != 0, as_text)
     )
+    as_list = F.try_variant_get(value, "$", "array<string>")
+    return F.when(F.startswith(kind, F.lit("ARRAY")), as_list).when(one.isNotNull(), F.array(one)).otherwise(empty_strings())
 
 
 def latest_answer_per_id(parsed: DataFrame, order: str = "answer_no") -> DataFrame:

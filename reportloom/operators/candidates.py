@@ -40,9 +40,9 @@ def not_yet_processed(reports: DataFrame, ledger: DataFrame, rule_version: str)
 
 
 def pending_reports(
-    reports: DataFrame, n: int | None = 100, ledger: DataFrame | None = None, rule_version: str | None = None
+    reports: DataFrame, n: int | None = None, ledger: DataFrame | None = None, rule_version: str | None = None
 ) -> DataFrame:
-    """Untagged titled reports, newest id first; ``n=None`` gives all of them unsorted."""
+    """All untagged titled reports, or with ``n`` the newest ones by id."""
     rows = _untagged_titles(reports)
     if ledger is not None:
         rows = not_yet_processed(rows, ledger, rule_version)
@@ -50,16 +50,18 @@ def pending_reports(
 
 
 def backlog_reports(reports: DataFrame, batch_size: int = 5000, max_batches: int = 0) -> DataFrame:
-    """The whole backlog, oldest first, with the number of its batch.
+    """The whole backlog, oldest first, with the number of its batch; with ``max_batches`` the first ones.
 
     The batch number only labels rows for progress figures: the backlog is
-    enriched as one job. Without it ``pending_reports(n=None)`` is the cheaper scan.
+    enriched as one job. Without it ``pending_reports`` is the cheaper scan.
+    Ids alone are numbered; titles meet their number in one join.
     """
     rows = _untagged_titles(reports)
+    numbered = with_row_number(rows.select("report_id"), [F.col("report_id")])
+    batches = numbered.select("report_id", (F.floor((F.col("rn") - 1) / batch_size) + 1).alias("batch_no"))
     if max_batches > 0:
-        rows = rows.orderBy("report_id").limit(batch_size * max_batches)
-    numbered = with_row_number(rows, [F.col("report_id")])
-    return numbered.withColumn("batch_no", F.floor((F.col("rn") - 1) / batch_size) + 1).drop("rn")
+        batches = batches.where(F.col("batch_no") <= max_batches)
+    return rows.join(batches, "report_id")
 
 
 def reports_by_keys(reports: DataFrame, keys: DataFrame) -> DataFrame:
@@ -79,14 +81,26 @@ def latest_sample(reports: DataFrame, n: int = 10) -> DataFrame:
     return reports.where(titled(F.col("article_title"))).select(*cols).orderBy(F.desc("report_id")).limit(n)
 
 
-def text_candidates(pages: DataFrame, sources: DataFrame, n: int = 100, saved: str = "save_time") -> DataFrame:
-    """Per source firm the ``n`` newest pages without body text.
+def text_candidates(
+    pages: DataFrame,
+    sources: DataFrame,
+    n: int | None = None,
+    saved: str = "save_time",
+    ledger: DataFrame | None = None,
+    rule_version: str | None = None,
+) -> DataFrame:
+    """All pages of source firms without body text, or with ``n`` the newest ones of each firm and their rank.
 
     The rank filter is pushed below the shuffle as a per-task limit, so a firm
-    with a third of all pages sends at most ``n`` rows per task.
+    with a third of all pages sends at most ``n`` rows per task. A ledger keeps
+    pages that never give a text from being taken again.
     """
     empty = is_blank(F.col("article_text"))
     hits = pages.where(empty).join(sources, "firm_nm").where("article_url LIKE url_like")
+    if ledger is not None:
+        hits = not_yet_processed(hits, ledger, rule_version)
+    if n is None:
+        return hits
     newest = W.partitionBy("firm_nm").orderBy(F.desc(saved), F.desc("report_id"))
     return hits.withColumn("rn", F.row_number().over(newest)).where(F.col("rn") <= n)
 
@@ -98,13 +112,19 @@ def sources_for(sources: DataFrame, alias: str, aliases: dict[str, str] | None =
 
 
 def text_candidates_for(
-    pages: DataFrame, sources: DataFrame, alias: str, n: int = 100, aliases=None, saved: str = "save_time"
+    pages: DataFrame, sources: DataFrame, alias: str, n: int | None = None, aliases=None, saved: str = "save_time", **ledger
 ) -> DataFrame:
-    return text_candidates(pages, sources_for(sources, alias, aliases), n, saved)
+    return text_candidates(pages, sources_for(sources, alias, aliases), n, saved, **ledger)
 
 
-def model_candidates(reports: DataFrame, cutoff: str = MODEL_CUTOFF, n: int | None = 500) -> DataFrame:
-    """Recent untagged reports without sector that are linked or typed, linked ones first."""
+def model_candidates(
+    reports: DataFrame,
+    cutoff: str = MODEL_CUTOFF,
+    n: int | None = None,
+    ledger: DataFrame | None = None,
+    rule_version: str | None = None,
+) -> DataFrame:
+    """Recent untagged reports without sector that are linked or typed; with ``n`` linked ones first."""
     rows = reports.where(
         untagged(F.col("tags"))
         & titled(F.col("article_title"))
@@ -112,6 +132,8 @@ def model_candidates(reports: DataFrame, cutoff: str = MODEL_CUTOFF, n: int | No
         & (F.col("linked_summary_id").isNotNull() | F.col("report_type").isNotNull())
         & is_blank(F.col("sector"))
     ).select("report_id", "article_title", "linked_summary_id")
+    if ledger is not None:
+        rows = not_yet_processed(rows, ledger, rule_version)
     return rows if n is None else rows.orderBy(*model_order()).limit(n)
 
 
@@ -119,7 +141,8 @@ def model_order() -> list[Column]:
     return [F.desc_nulls_last("linked_summary_id"), F.desc("report_id")]
 
 
-def summaries_missing_url(summaries: DataFrame, n: int | None = 500) -> DataFrame:
+def summaries_missing_url(summaries: DataFrame, n: int | None = None) -> DataFrame:
+    """Ids of all summaries without URL, or of the ``n`` lowest."""
     ids = summaries.where(is_blank(F.col("pdf_url"))).select("summary_id")
     return ids if n is None else ids.orderBy("summary_id").limit(n)
 

@@ -19,7 +19,7 @@ def _next_ids(rows: DataFrame, existing: DataFrame, id_column: str, order: list[
     """Number new rows on from the highest id in use."""
     highest = existing.agg(F.max(id_column)).scalar()
     numbered = with_row_number(rows, [F.col(c) for c in order])
-    return numbered.withColumn(id_column, (F.coalesce(highest, F.lit(0)) + F.col("rn")).cast("int")).drop("rn")
+    return numbered.withColumn(id_column, (F.coalesce(highest, F.lit(0)) + F.col("rn")).cast("bigint")).drop("rn")
 
 
 def upsert_analysts(reports: DataFrame, firms: DataFrame, analysts: DataFrame) -> DataFrame:

@@ -31,6 +31,9 @@ def enrich_titles(
 ) -> DataFrame:
     """Add ``out``, the enrichment of every title.
 
+    ``tags`` and ``stock_names`` have the published length; ``all_tags`` and
+    ``all_names`` are the same lists uncut.
+
     With dictionaries that fit inline this is projections only: no shuffle, no
     join, no Python. A blank title gives the empty result with a note; a null
     title gives status ``error``. ``compat`` keeps four known oddities of the
@@ -60,13 +63,13 @@ def enrich_titles(
     tags = T.merge_action(F.col("_labels"), F.col("_action"))
     tags = T.suppress_sector_overlap(tags, F.col("_sector"))
     tags = T.suppress_entity_overlap(tags, F.col("_all"))
-    tags = T.clip(T.default_company_tag(tags, F.col("_all")), T.MAX_TAGS)
+    tags = T.default_company_tag(tags, F.col("_all"))
     work = work.withColumns({"_tags": tags, "_tickers": P.tickers(t, F.col("_names"), F.col("_lex"))})
 
     given = F.col(title).isNotNull()
     titled = t != ""
     enriched = F.struct(
-        F.col("_tags").alias("tags"),
+        T.clip(F.col("_tags"), T.MAX_TAGS).alias("tags"),
         F.col("_names").alias("stock_names"),
         F.col("_sector").alias("sector"),
         F.col("_action").alias("action_type"),
@@ -78,6 +81,8 @@ def enrich_titles(
         P.rating(t).alias("rating"),
         P.report_type(t, F.col("_tickers")).alias("report_type"),
         F.col("_tickers").alias("stock_tickers"),
+        F.col("_tags").alias("all_tags"),
+        F.col("_all").alias("all_names"),
     )
     return work.withColumn(out, enriched).drop(
         "_t", "_lex", "_words", "_folded", "_pairs", "_all", "_sector", "_labels", "_action", "_names", "_price", "_tags", "_tickers"

@@ -81,13 +81,8 @@ def with_candidates(df: DataFrame, title: str, lex: D.Dictionary, out: str, key:
         lex.table.where("code is not null").select(F.col("code").alias("word"), F.struct(*names).alias("row"))
     )
     probe = D.Dictionary(both, both.schema, None)
-    hits = (
-        D.contained_pairs(df, key, title, probe)
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_set("entry.row")).alias(out))
-    )
-    none = F.array().cast(f"array<struct<{', '.join(f.name + ':' + f.dataType.simpleString() for f in lex.entry)}>>")
-    return df.join(hits, key, "left").withColumn(out, F.coalesce(F.col(out), none))
+    hits = D.with_contained(df, key, title, probe, "_probed")
+    return hits.withColumn(out, F.array_sort(F.array_distinct(F.transform("_probed", lambda e: e["row"])))).drop("_probed")
 
 
 # ---- column steps --------------------------------------------------------------

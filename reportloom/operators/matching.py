@@ -132,13 +132,17 @@ def link_reports(reports: DataFrame, matches: DataFrame) -> DataFrame:
     return reports.join(found, "report_id", "left").select(*cols)
 
 
-def propagate_pdf_url(summaries: DataFrame, reports: DataFrame, n: int | None = 500) -> DataFrame:
-    """Fill an empty ``pdf_url`` of the ``n`` lowest such summaries from a linked report.
+def propagate_pdf_url(summaries: DataFrame, reports: DataFrame, n: int | None = None) -> DataFrame:
+    """Fill every empty ``pdf_url`` that a linked report can give; with ``n`` only the lowest such summaries.
 
     The newest linked report wins. Reports are reduced to one URL per summary
-    before they meet the summaries.
+    before they meet the summaries. With ``n`` only fillable summaries count, so
+    that those without a report never block the rest.
     """
-    targets = summaries_missing_url(summaries, n)
+    targets = summaries_missing_url(summaries)
+    if n is not None:
+        able = reports.where(~is_blank(F.col("telegram_url"))).select(F.col("linked_summary_id").alias("summary_id"))
+        targets = targets.join(able, "summary_id", "left_semi").orderBy("summary_id").limit(n)
     urls = (
         reports.where(F.col("linked_summary_id").isNotNull() & ~is_blank(F.col("telegram_url")))
         .select(F.col("linked_summary_id").alias("summary_id"), "report_id", "telegram_url")

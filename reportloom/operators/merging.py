@@ -22,9 +22,12 @@ def apply_updates(base: DataFrame, updates: DataFrame, columns: list[str], key:
     """Overwrite ``columns`` of the rows named in ``updates``; other rows stay as they are.
 
     One left join on the key: a small update set is broadcast by its size, a
-    large one is shuffled once with the base. ``updates`` holds a key once.
+    large one is shuffled once with the base. Should ``updates`` hold a key more
+    than once, the row with the greatest values, in the order of ``columns``, is
+    taken, so that no row of the base is doubled; a row without key is ignored.
     """
-    new = updates.select(key, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in columns])
+    one = updates.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.struct(*columns)).alias("_new"))
+    new = one.select(key, F.lit(True).alias("_hit"), *[F.col(f"_new.{c}").alias(f"_new_{c}") for c in columns])
     types = {f.name: f.dataType for f in base.schema}
 
     def pick(c: str):

@@ -21,35 +21,37 @@ def clean_markup(html: Column) -> Column:
     return F.trim(F.regexp_replace(bare, r"(?U)[\s\x1c-\x1f]+", " "))
 
 
-def text_gates(text: Column, least: int = CONTAINER_LEAST, most: int = MOST) -> Column:
-    """Null unless longer than ``least``; cut to ``most`` characters."""
-    return F.when(F.length(text) > least, F.left(text, F.lit(most)))
+def text_gates(text: Column, least: int = CONTAINER_LEAST, most: int | None = None) -> Column:
+    """Null unless longer than ``least``; whole, or with ``most`` (``MOST`` in the established jobs) cut to so many characters."""
+    return F.when(F.length(text) > least, text if most is None else F.left(text, F.lit(most)))
 
 
 def container_html(html: Column, patterns=CONTAINER_PATTERNS) -> Column:
     """Inner HTML by the first pattern that matches; null where none does."""
-    found = [
-        F.when(F.rlike(html, F.lit(f"(?s){p}")), F.regexp_extract(html, f"(?s){p}", 1)) for p in patterns
-    ]
+    # one scan a pattern; an absent match has no first element, an empty one has
+    found = [F.get(F.regexp_extract_all(html, F.lit(f"(?s){p}"), F.lit(1)), F.lit(0)) for p in patterns]
     return F.coalesce(*found)
 
 
-def container_text(html: Column, patterns=CONTAINER_PATTERNS) -> Column:
-    return text_gates(clean_markup(container_html(html, patterns)), CONTAINER_LEAST)
+def container_text(html: Column, patterns=CONTAINER_PATTERNS, most: int | None = None) -> Column:
+    return text_gates(clean_markup(container_html(html, patterns)), CONTAINER_LEAST, most)
 
 
-def first_long_block(html: Column, pattern: str = BLOCK_PATTERN) -> Column:
+def first_long_block(html: Column, pattern: str = BLOCK_PATTERN, most: int | None = None) -> Column:
     """The first block whose clean text is longer than the block gate."""
-    blocks = F.transform(F.regexp_extract_all(html, F.lit(f"(?s){pattern}"), F.lit(1)), clean_markup)
-    first = F.get(F.filter(blocks, lambda b: F.length(b) > BLOCK_LEAST), F.lit(0))
-    return text_gates(first, BLOCK_LEAST)
+    # a block that is short as it stands is short when cleaned
+    raw = F.filter(F.regexp_extract_all(html, F.lit(f"(?s){pattern}"), F.lit(1)), lambda b: F.length(b) > BLOCK_LEAST)
+    first = F.get(F.filter(F.transform(raw, clean_markup), lambda b: F.length(b) > BLOCK_LEAST), F.lit(0))
+    return text_gates(first, BLOCK_LEAST, most)
 
 
-def extract_by_source(pages: DataFrame, sources: DataFrame, patterns=CONTAINER_PATTERNS, block: str = BLOCK_PATTERN) -> DataFrame:
+def extract_by_source(
+    pages: DataFrame, sources: DataFrame, patterns=CONTAINER_PATTERNS, block: str = BLOCK_PATTERN, most: int | None = None
+) -> DataFrame:
     """(report_id, firm_nm, article_text) by the rule of the page's firm."""
     html = F.col("html")
-    text = F.when(F.col("rule") == "container", container_text(html, patterns)).when(
-        F.col("rule") == "blocks", first_long_block(html, block)
+    text = F.when(F.col("rule") == "container", container_text(html, patterns, most)).when(
+        F.col("rule") == "blocks", first_long_block(html, block, most)
     )
     ruled = pages if "rule" in pages.columns else pages.join(sources.select("firm_nm", "rule"), "firm_nm")
     return ruled.select("report_id", "firm_nm", text.alias("article_text"))

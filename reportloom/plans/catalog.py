@@ -20,8 +20,12 @@ from ..sources import adapters as A
 class Tables:
     """The views of one scale factor, built when first asked for."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, inline_rows: int = D.INLINE_ROWS):
+        self.spark, self.sf_dir, self.inline_rows = spark, sf_dir, inline_rows
+
+    def joined(self) -> Tables:
+        """The same views with dictionaries that are joined, as those beyond ``INLINE_ROWS`` are."""
+        return Tables(self.spark, self.sf_dir, 0)
 
     @property
     def cores(self) -> int:
@@ -47,15 +51,15 @@ class Tables:
         table = self.view("lexicon").select(
             searched.alias("rank"), "word", "code", "sector", F.col("pos").alias("ticker_rank")
         )
-        return E.lexicon(table)
+        return E.lexicon(table, self.inline_rows)
 
     @cached_property
     def sector_words(self) -> D.Dictionary:
-        return S.sector_dictionary(self.view("sector_words"))
+        return S.sector_dictionary(self.view("sector_words"), self.inline_rows)
 
     @cached_property
     def titles(self) -> DataFrame:
-        return spread(self.reports.select("report_id", "firm_nm", "article_title"), "report_id")
+        return spread(self.reports.select("report_id", "firm_nm", "article_title"), "report_id", self.cores)
 
     def enriched(self, df: DataFrame | None = None, **options) -> DataFrame:
         df = self.titles if df is None else df

@@ -55,6 +55,37 @@ def _(t: Tables):
     return flat_enriched(_finish(done, t.spark, path).where("trim(article_title) <> ''"))
 
 
+@query("stream_enrich_joined", _PENDING)
+def _(t: Tables):
+    path, checkpoint = _folders(t, "enrich-joined")
+    done = J.stream_enrich(report_stream(t), t.joined().enriched, path, checkpoint, every=None, tasks=t.cores)
+    return flat_enriched(_finish(done, t.spark, path))
+
+
+@query("stream_on_arrival_joined", Q.ENRICH_STEPS + f"""select {ENRICHED_COLUMNS} from enriched
+where title <> '' and report_id in (select event_id from events)""")
+def _(t: Tables):
+    path, checkpoint = _folders(t, "arrival-joined")
+    keys = _stream(t, "events").select(F.concat(F.lit("K"), F.col("event_id").cast("string")).alias("key"))
+    done = J.stream_on_arrival(keys, t.reports, t.joined().enriched, path, checkpoint, every=None, tasks=t.cores)
+    return flat_enriched(_finish(done, t.spark, path).where("trim(article_title) <> ''"))
+
+
+@query("stream_match_late", R.match_sql(False) + "select report_id, summary_id, gap, n_fitting from matched where i = 1")
+def _(t: Tables):
+    path, checkpoint = _folders(t, "match-late")
+    late = A.view(t.spark, t.sf_dir, "summaries", orders=_stream(t, "orders"))
+    done = J.stream_match_late(late, t.reports, path, checkpoint, every=None)
+    return R._matches(_finish(done, t.spark, path))
+
+
+@query("stream_isolation_joined", Q.ENRICH_STEPS + "select report_id, case when status = 'success' then 'good' else 'quarantine' end as route, note from enriched")
+def _(t: Tables):
+    path, checkpoint = _folders(t, "isolation-joined")
+    done = J.stream_isolation(report_stream(t), t.joined().enriched, path, checkpoint, every=None, tasks=t.cores)
+    return _finish(done, t.spark, path).select("report_id", F.col("route").cast("string"), "enriched.note")
+
+
 @query("stream_match", R.match_sql(False) + "select report_id, summary_id, gap, n_fitting from matched where i = 1")
 def _(t: Tables):
     path, checkpoint = _folders(t, "match")

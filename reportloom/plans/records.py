@@ -69,8 +69,16 @@ def _(t: Tables):
     return _matches(M.match_backlog(t.reports, t.summaries, today="20010803"))
 
 
+@query("link_reports", match_sql(False) + """
+select r.report_id, coalesce(r.linked_summary_id, m.summary_id) as linked_summary_id
+from reports r left join (select report_id, summary_id from matched where i = 1) m using (report_id)""")
+def _(t: Tables):
+    found = M.match_summaries(t.reports, t.summaries)
+    return M.link_reports(t.reports, found).select("report_id", "linked_summary_id")
+
+
 @query("propagate_pdf_url", """
-, targets as (select summary_id from summaries where pdf_url is null or pdf_url = '' order by summary_id limit 500)
+, targets as (select summary_id from summaries where pdf_url is null or pdf_url = '')
 , urls as (
  select linked_summary_id as summary_id, arg_max(telegram_url, report_id) as url from reports
  where linked_summary_id in (select summary_id from targets) and telegram_url is not null and telegram_url <> '' group by 1
@@ -90,7 +98,7 @@ _KNOWN_ANALYSTS = """
   from summaries s join firms f on f.firm_nm = s.provider)
 )
 , old_analysts as (
- select cast(row_number() over (order by name, sec_firm_order) as int) as analyst_id, name, sec_firm_order from known_people
+ select cast(row_number() over (order by name, sec_firm_order) as bigint) as analyst_id, name, sec_firm_order from known_people
 )
 """
 _ANALYSTS = SPLIT_SQL + _KNOWN_ANALYSTS + """
@@ -113,7 +121,7 @@ def old_analysts(t: Tables) -> DataFrame:
     names = F.explode(F.split(F.split("author", " ")[0], "\\."))
     people = t.summaries.select(F.col("provider").alias("firm_nm"), names.alias("name"))
     people = people.join(t.view("firms"), "firm_nm").select("name", "sec_firm_order").distinct()
-    none = t.spark.createDataFrame([], "analyst_id int, name string, sec_firm_order int")
+    none = t.spark.createDataFrame([], "analyst_id bigint, name string, sec_firm_order int")
     return G._next_ids(people, none, "analyst_id", ["name", "sec_firm_order"]).select("analyst_id", "name", "sec_firm_order")
 
 
@@ -122,7 +130,7 @@ def all_analysts(t: Tables) -> DataFrame:
 
 
 def full_bridge(t: Tables, analysts: DataFrame) -> DataFrame:
-    none = t.spark.createDataFrame([], "report_id bigint, analyst_id int")
+    none = t.spark.createDataFrame([], "report_id bigint, analyst_id bigint")
     first = G.report_analyst_bridge(t.reports.where("reg_dt like '1998%'"), t.view("firms"), analysts, none)
     return G.report_analyst_bridge(t.reports, t.view("firms"), analysts, first)
 
@@ -165,7 +173,7 @@ _FORECASTS = """
  from forecast_lines
 )
 , old_forecasts as (
- select cast(row_number() over (order by report_id, year) as int) as forecast_id, report_id, year, max_sales as sales from (
+ select cast(row_number() over (order by report_id, year) as bigint) as forecast_id, report_id, year, max_sales as sales from (
   select report_id, year, max(sales) as max_sales from forecast_lines where line = 1 group by report_id, year)
 )
 , forecasts as (
@@ -180,7 +188,7 @@ _VALUES = ["sales", "operating_profit", "net_income"]
 
 def old_forecasts(t: Tables) -> DataFrame:
     first = t.view("forecast_lines").where("line = 1").groupBy("report_id", "year").agg(F.max("sales").alias("sales"))
-    none = t.spark.createDataFrame([], "forecast_id int")
+    none = t.spark.createDataFrame([], "forecast_id bigint")
     numbered = G._next_ids(first, none, "forecast_id", ["report_id", "year"])
     return numbered.select(
         "forecast_id", "report_id", "year", F.col("sales").cast("decimal(30,4)").alias("sales"),
@@ -227,14 +235,14 @@ _CONTAINER = "case " + " ".join(
 _CONTAINERS = f"""
 , inner_html as (select report_id, firm_nm, html, {_CONTAINER} as inner_text from report_pages)
 , containers as (
- select report_id, firm_nm, html, case when length(c) > 30 then left(c, 10000) end as text
+ select report_id, firm_nm, html, case when length(c) > 30 then c end as text
  from (select report_id, firm_nm, html, {_CLEAN.format(x="inner_text")} as c from inner_html)
 )
 """
 _BLOCK = r"<p>(.*?)</p>"
 _BLOCKS = rf"""
 , blocks as (
- select report_id, left(arg_min(c, k), 10000) as text from (
+ select report_id, arg_min(c, k) as text from (
   select report_id, k, {_CLEAN.format(x="block")} as c from (
    select report_id, unnest(regexp_extract_all(html, '(?s){_BLOCK}', 1)) as block,
     generate_subscripts(regexp_extract_all(html, '(?s){_BLOCK}', 1), 1) as k from report_pages)
@@ -258,7 +266,12 @@ def _(t: Tables):
     return t.view("report_pages").select("report_id", H.clean_markup(F.col("html")).alias("text"))
 
 
-@query("text_gates", "select doc_id as report_id, case when length(text) > 200 then left(text, 10000) end as text from documents")
+@query("text_gates_published", "select doc_id as report_id, case when length(text) > 200 then left(text, 10000) end as text from documents")
+def _(t: Tables):
+    return t.base("documents").select(F.col("doc_id").alias("report_id"), H.text_gates(F.col("text"), 200, H.MOST).alias("text"))
+
+
+@query("text_gates", "select doc_id as report_id, case when length(text) > 200 then text end as text from documents")
 def _(t: Tables):
     return t.base("documents").select(F.col("doc_id").alias("report_id"), H.text_gates(F.col("text"), 200).alias("text"))
 
@@ -311,7 +324,7 @@ def stored(df: DataFrame) -> DataFrame:
 
 def updates(t: Tables) -> DataFrame:
     pending = C.pending_reports(t.reports, n=None)
-    return N.flatten(t.enriched(spread(pending, "report_id")))
+    return N.flatten(t.enriched(spread(pending, "report_id", t.cores)))
 
 
 def applied_sql(new: list[str], base: str = f"select {_STORED} from reports") -> str:
@@ -396,7 +409,10 @@ _PARSED = _REPAIRED + """
  select answer_no, cast(pos as int) as pos, cast(json_extract_string(item, '$.id') as bigint) as id,
   case when coalesce(json_type(item, '$.tags'), 'NULL') = 'NULL' then ''
        when json_type(item, '$.tags') = 'ARRAY' then array_to_string(cast(json_extract(item, '$.tags') as varchar[]), '|')
-       else case when json_extract_string(item, '$.tags') in ('0', 'false') then '' else json_extract_string(item, '$.tags') end end as tags,
+       when json_type(item, '$.tags') = 'BOOLEAN' then case when cast(json_extract(item, '$.tags') as boolean) then 'True' else '' end
+       when json_type(item, '$.tags') = 'VARCHAR' then json_extract_string(item, '$.tags')
+       when json_type(item, '$.tags') = 'OBJECT' then cast(json_extract(item, '$.tags') as varchar)
+       when cast(json_extract(item, '$.tags') as double) = 0 then '' else json_extract_string(item, '$.tags') end as tags,
   coalesce(json_extract_string(item, '$.sector'), '') as sector,
   coalesce(array_to_string(cast(json_extract(item, '$.stock_names') as varchar[]), '|'), '') as stock_names,
   coalesce(json_extract_string(item, '$.report_type'), '') as report_type
@@ -484,7 +500,7 @@ def _(t: Tables):
 
 def all_enriched(t: Tables) -> DataFrame:
     cols = ["report_id", "firm_nm", "article_title", "tags", "stock_names", "sector"]
-    return t.enriched(spread(t.reports.select(*cols), "report_id"))
+    return t.enriched(spread(t.reports.select(*cols), "report_id", t.cores))
 
 
 _DIFF = Q.ENRICH_STEPS + f"""

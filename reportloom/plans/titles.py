@@ -58,11 +58,51 @@ def with_tags(t: Tables) -> DataFrame:
 
 # ---- candidates ------------------------------------------------------------------
 
-@query("pending_reports", f"select report_id, firm_nm, article_title from reports where {UNTAGGED} order by report_id desc limit 100")
+@query("pending_reports", f"select report_id, firm_nm, article_title from reports where {UNTAGGED}")
 def _(t: Tables):
     return C.pending_reports(t.reports)
 
 
+def _seen(t: Tables) -> DataFrame:
+    """A ledger of rule version v2 with every third report, and of v1 with all."""
+    ids = t.reports.select("report_id")
+    return ids.where("report_id % 3 = 0").withColumn("rule_version", F.lit("v2")).unionByName(ids.withColumn("rule_version", F.lit("v1")))
+
+
+@query("pending_reports_with_ledger", f"select report_id, firm_nm, article_title from reports where {UNTAGGED} and report_id % 3 <> 0")
+def _(t: Tables):
+    return C.pending_reports(t.reports, ledger=_seen(t), rule_version="v2")
+
+
+@query(
+    "pending_reports_newest",
+    f"select report_id, firm_nm, article_title from reports where {UNTAGGED} and report_id % 3 <> 0 order by report_id desc limit 100",
+)
+def _(t: Tables):
+    return C.pending_reports(t.reports, 100, _seen(t), "v2")
+
+
+@query("model_candidates_with_ledger", f"select report_id, article_title, linked_summary_id from reports where {UNTAGGED} and reg_dt >= '19970101'"
+    " and (linked_summary_id is not null or report_type is not null) and (sector is null or sector = '') and report_id % 3 <> 0")
+def _(t: Tables):
+    return C.model_candidates(t.reports, cutoff="19970101", ledger=_seen(t), rule_version="v2")
+
+
+@query(
+    "text_candidates_newest",
+    ", sources as (select * from (values ('FIRM00', '%page=%', 'container'), ('FIRM01', 'http://%', 'blocks')) s(firm_nm, url_like, rule))"
+    " select report_id, firm_nm, save_rank, rn from (select p.report_id, p.firm_nm, p.save_rank,"
+    " row_number() over (partition by p.firm_nm order by p.save_rank desc, p.report_id desc) as rn"
+    " from report_pages p join sources s on s.firm_nm = p.firm_nm and p.article_url like s.url_like"
+    " where (p.article_text is null or p.article_text = '') and p.report_id % 3 <> 0) where rn <= 20",
+)
+def _(t: Tables):
+    pages = t.view("report_pages")
+    seen = pages.where("report_id % 3 = 0").select("report_id", F.lit("v2").alias("rule_version"))
+    found = C.text_candidates(pages, sources(t), 20, "save_rank", seen, "v2")
+    return found.select("report_id", "firm_nm", "save_rank", F.col("rn").cast("bigint").alias("rn"))
+
+
 @query(
     "backlog_reports",
     f"select report_id, firm_nm, article_title, (row_number() over (order by report_id) - 1) // 5000 + 1 as batch_no from reports where {UNTAGGED}",
@@ -104,12 +144,12 @@ def _(t: Tables):
 _SOURCES = [("FIRM00", "%page=%", "container"), ("FIRM01", "http://%", "blocks")]
 _SOURCES_SQL = ", sources as (select * from (values ('FIRM00', '%page=%', 'container'), ('FIRM01', 'http://%', 'blocks')) s(firm_nm, url_like, rule))"
 _TEXT_SQL = """
-select report_id, firm_nm, article_url, save_rank, rule, rn from (
+select report_id, firm_nm, article_url, save_rank, rule from (
  select p.report_id, p.firm_nm, p.article_url, p.save_rank, s.rule,
   row_number() over (partition by p.firm_nm order by p.save_rank desc, p.report_id desc) as rn
  from report_pages p join sources s on s.firm_nm = p.firm_nm and p.article_url like s.url_like
  where p.article_text is null or p.article_text = ''
-) where rn <= 20
+) where true
 """
 
 
@@ -118,17 +158,17 @@ def sources(t: Tables) -> DataFrame:
 
 
 def _text_columns(df: DataFrame) -> DataFrame:
-    return df.select("report_id", "firm_nm", "article_url", "save_rank", "rule", F.col("rn").cast("bigint").alias("rn"))
+    return df.select("report_id", "firm_nm", "article_url", "save_rank", "rule")
 
 
 @query("text_candidates", _SOURCES_SQL + _TEXT_SQL)
 def _(t: Tables):
-    return _text_columns(C.text_candidates(t.view("report_pages"), sources(t), 20, "save_rank"))
+    return _text_columns(C.text_candidates(t.view("report_pages"), sources(t), saved="save_rank"))
 
 
 @query("text_candidates_for", _SOURCES_SQL + _TEXT_SQL + " and firm_nm = 'FIRM01'")
 def _(t: Tables):
-    found = C.text_candidates_for(t.view("report_pages"), sources(t), "one", 20, {"one": "FIRM01"}, "save_rank")
+    found = C.text_candidates_for(t.view("report_pages"), sources(t), "one", aliases={"one": "FIRM01"}, saved="save_rank")
     return _text_columns(found)
 
 
@@ -137,8 +177,7 @@ _MODEL_WHERE = f"{UNTAGGED} and reg_dt >= '19970101' and (linked_summary_id is n
 
 @query(
     "model_candidates",
-    f"select report_id, article_title, linked_summary_id from reports where {_MODEL_WHERE}"
-    " order by linked_summary_id desc nulls last, report_id desc limit 500",
+    f"select report_id, article_title, linked_summary_id from reports where {_MODEL_WHERE}",
 )
 def _(t: Tables):
     return C.model_candidates(t.reports, cutoff="19970101")
@@ -146,7 +185,7 @@ def _(t: Tables):
 
 @query(
     "summaries_missing_url",
-    "select summary_id from summaries where pdf_url is null or pdf_url = '' order by summary_id limit 500",
+    "select summary_id from summaries where pdf_url is null or pdf_url = ''",
 )
 def _(t: Tables):
     return C.summaries_missing_url(t.summaries)
@@ -218,6 +257,13 @@ def _(t: Tables):
     return found.select("report_id", bar(F.col("stock_names")).alias("stock_names"))
 
 
+@query("entity_mentions_joined", Q.ENTITY_STEPS + every_title(
+    "select report_id, string_agg(name, '|' order by i) as stock_names from names group by report_id", "stock_names"))
+def _(t: Tables):
+    found = E.entity_mentions(t.titles.fillna("", ["article_title"]), t.joined().lexicon)
+    return found.select("report_id", bar(F.col("stock_names")).alias("stock_names"))
+
+
 # ---- sectors ---------------------------------------------------------------------
 
 @query("sector_by_entity", Q.ENTITY_STEPS + Q.NAME_SECTOR + every_title("select report_id, sector from name_sector", "sector", "null"))
@@ -315,6 +361,16 @@ def _(t: Tables):
     )
 
 
+@query("full_lists", Q.TAG_STEPS + """
+select t.report_id,
+ coalesce((select string_agg(label, '|' order by i) from tagged g where g.report_id = t.report_id), '') as tags,
+ coalesce((select string_agg(name, '|' order by i) from names n where n.report_id = t.report_id), '') as names
+from titles t""")
+def _(t: Tables):
+    e = F.col("enriched")
+    return t.enriched().select("report_id", bar(e["all_tags"]).alias("tags"), bar(e["all_names"]).alias("names"))
+
+
 ENRICHED_COLUMNS = (
     "report_id, tags, stock_names, sector, action_type, status, model, note, target_price, revision_type, rating, report_type, stock_tickers"
 )
@@ -333,6 +389,11 @@ def _(t: Tables):
     return flat_enriched(t.enriched())
 
 
+@query("enrich_titles_joined", Q.ENRICH_STEPS + f"select {ENRICHED_COLUMNS} from enriched")
+def _(t: Tables):
+    return flat_enriched(t.joined().enriched())
+
+
 @query("badge_tags", """
 select report_id, coalesce((select string_agg(x, '|' order by i) from (select unnest(tags) as x, generate_subscripts(tags, 1) as i)
  where x <> coalesce(sector, '') and not coalesce(list_contains(stock_names, x), false)), '') as badges

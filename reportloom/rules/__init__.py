@@ -106,12 +106,6 @@ def stop_names() -> tuple[str, ...]:
     return tuple(w.strip() for ln in _lines("stop_names.txt") for w in ln.split(","))
 
 
-@cache
-def sector_words() -> tuple[tuple[str, str], ...]:
-    """(word, sector) pairs of the starter pack."""
-    return tuple((w.strip(), sector) for sector, words in _pairs("sector_words.tsv") for w in words.split(","))
-
-
 @cache
 def ticker_seeds() -> tuple[tuple[str, str], ...]:
     return tuple(_pairs("ticker_seeds.tsv"))

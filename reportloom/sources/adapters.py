@@ -11,8 +11,6 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .. import rules
-
 BASE_TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
@@ -75,7 +73,8 @@ _ANSWERS = """
 select doc_id as answer_no, case when doc_id % 4 = 0 then repeat(chr(96), 3) || 'json' || chr(10) else '' end
  || case when doc_id % 7 = 0 then chr(123) || '"results":' else '' end
  || '[' || chr(123) || '"id":' || cast(doc_id as $text) || ',"tags":'
- || case cast(doc_id % 5 as int) when 0 then '["a","b"]' when 1 then '"a"' when 2 then '7' when 3 then '""' else 'null' end
+ || case cast(doc_id % 11 as int) when 0 then '["a","b"]' when 1 then '"a"' when 2 then '7' when 3 then '""' when 4 then '"0"' when 5 then '"false"'
+      when 6 then 'true' when 7 then 'false' when 8 then '0' when 9 then chr(123) || '"k":1' || chr(125) else 'null' end
  || ',"sector":"s' || cast(quality as $text) || '","stock_names":["n' || cast(toxic as $text) || '"],"report_type":"MACRO"' || chr(125)
  || case when doc_id % 3 = 0 then ']' || chr(10) || '[' else ',' end
  || chr(123) || '"id":' || cast(doc_id - doc_id % 2 as $text) || ',"tags":["late"],"sector":"t' || cast(doc_id % 3 as $text) || '"' || chr(125) || ',' || chr(123) || '"id":0,"tags":["x"]' || chr(125) || ']'
@@ -109,7 +108,7 @@ select word, max(sector) as sector from (
  select split_part(p_name, ' ', 2) as word, 'GOODS ' || split_part(p_name, ' ', 2) as sector
  from {part} group by split_part(p_name, ' ', 2)
  union all
- select * from (values $starter) s(word, sector)
+ select * from (values ('FOMC', 'TEST RATES'), ('금리', 'TEST RATES AND MORE'), ('ai', 'TEST SHORT'), ('vs', 'TEST SHORT')) s(word, sector)
 ) w group by word
 """
 
@@ -144,12 +143,8 @@ VIEWS = {
 }
 
 
-def _starter_values() -> str:
-    return ", ".join(f"('{w}', '{s}')" for w, s in rules.sector_words())
-
-
 def _spell(name: str, spelling: dict[str, str]) -> str:
-    text = VIEWS[name].replace("$starter", _starter_values())
+    text = VIEWS[name]
     for token, local in spelling.items():
         text = text.replace(token, local)
     return text

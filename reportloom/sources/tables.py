@@ -33,10 +33,10 @@ REPORTS = T.StructType(
 )
 
 SUMMARIES = "summary_id bigint, provider string, report_date string, company_name string, author string, pdf_url string"
-ANALYSTS = "analyst_id int, name string, sec_firm_order int, created_at timestamp"
-REPORT_ANALYSTS = "report_id bigint, analyst_id int, assigned_at timestamp"
+ANALYSTS = "analyst_id bigint, name string, sec_firm_order int, created_at timestamp"
+REPORT_ANALYSTS = "report_id bigint, analyst_id bigint, assigned_at timestamp"
 FORECASTS = (
-    "forecast_id int, report_id bigint, year int, sales decimal(18,2), operating_profit decimal(18,2), "
+    "forecast_id bigint, report_id bigint, year int, sales decimal(18,2), operating_profit decimal(18,2), "
     "net_income decimal(18,2)"
 )
 
@@ -73,6 +73,24 @@ def read_sector_words(spark: SparkSession, path: str) -> DataFrame:
     return table.groupBy("word").agg(F.max("sector").alias("sector"))
 
 
+def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
+    """A name table for ``entities.lexicon`` from a CSV file of (word, code, sector, searched), in the order of ``rank``.
+
+    ``rank`` is the place of a name among equals; rows with ``searched`` false are looked up but never searched for.
+    Of repeated names the first is kept. Names without a code give no ticker.
+    """
+    table = read_files(spark, path, "csv", "rank int, word string, code string, sector string, searched boolean")
+    row = F.struct("rank", "code", "sector", "searched")
+    kept = table.where(F.coalesce(F.col("word"), F.lit("")) != "").groupBy("word").agg(F.min(row).alias("row"))
+    return kept.select(
+        F.when(F.coalesce("row.searched", F.lit(True)), F.col("row.rank")).alias("rank"),
+        "word",
+        "row.code",
+        "row.sector",
+        F.when(F.col("row.code").isNotNull(), F.col("row.rank")).alias("ticker_rank"),
+    )
+
+
 def list_from_json(text: Column) -> Column:
     """A JSON array column of a text schema as an array."""
     return F.from_json(text, _LIST)

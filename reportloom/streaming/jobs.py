@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -45,9 +46,17 @@ def _dealt(df: DataFrame, tasks: int | None, key: str = "report_id") -> DataFram
     return df.repartition(tasks, key) if tasks else df
 
 
-def _append(df: DataFrame, path: str, partition_by: str | None = None):
-    writer = df.writeStream.format("parquet").outputMode("append").option("path", path)
-    return writer.partitionBy(partition_by) if partition_by else writer
+def _by_batch(stream: DataFrame, make: Callable[[DataFrame], DataFrame], path: str, partition_by: str | None = None):
+    """Each micro-batch writes what ``make`` gives for it to a folder of its own, and overwrites that when it is run again.
+
+    ``make`` sees a table, not a stream, so it may join and group freely: any form of a dictionary works.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        writer = make(batch).write.mode("overwrite")
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(f"{path}/batch={number}")
+
+    return stream.writeStream.foreachBatch(write)
 
 
 def stream_enrich(
@@ -58,9 +67,9 @@ def stream_enrich(
     every: int | None = POLL_SECONDS,
     tasks: int | None = None,
 ) -> StreamingQuery:
-    """Enrich the untagged titled reports of a stream into an append-only folder."""
+    """Enrich the untagged titled reports of a stream, a folder per micro-batch."""
     pending = reports.where(C.untagged(F.col("tags")) & C.titled(F.col("article_title")))
-    return _start(_append(enrich(_dealt(pending, tasks)), path), checkpoint, every)
+    return _start(_by_batch(pending, lambda batch: enrich(_dealt(batch, tasks)), path), checkpoint, every)
 
 
 def stream_on_arrival(
@@ -71,27 +80,45 @@ def stream_on_arrival(
     checkpoint: str,
     every: int | None = POLL_SECONDS,
     tasks: int | None = None,
+    month: str | None = None,
 ) -> StreamingQuery:
-    """Enrich the stored reports whose keys arrive on a stream."""
-    titled = reports.where(C.titled(F.col("article_title"))).select("key", "report_id", "firm_nm", "article_title")
-    return _start(_append(enrich(_dealt(keys.join(titled, "key"), tasks)), path), checkpoint, every)
+    """Enrich the stored reports whose keys arrive on a stream.
+
+    With ``month``, a partition column that both sides have, a micro-batch reads
+    the months it names and no others (dynamic partition pruning).
+    """
+    on = ["key", month] if month else ["key"]
+    titled = reports.where(C.titled(F.col("article_title"))).select(*on, "report_id", "firm_nm", "article_title")
+    return _start(_by_batch(keys, lambda batch: enrich(_dealt(batch.join(titled, on), tasks)), path), checkpoint, every)
 
 
 def stream_match(
     reports: DataFrame, summaries: DataFrame, path: str, checkpoint: str, every: int | None = POLL_SECONDS, **options
 ) -> StreamingQuery:
-    """Match each micro-batch of reports against the summary table.
+    """Match each micro-batch of reports against the summary table; see ``stream_match_late`` for summaries that come later.
 
-    A batch writes its own folder and overwrites it when it is run again.
+    A batch writes its own folder and overwrites it when it is run again. It is
+    used twice, for titles and for writers, and kept meanwhile.
     """
 
     def match(batch: DataFrame, number: int) -> None:
-        found = M.match_summaries(batch, summaries, **options)
-        found.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        batch = batch.persist(StorageLevel.DISK_ONLY)
+        M.match_summaries(batch, summaries, **options).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        batch.unpersist()
 
     return _start(reports.writeStream.foreachBatch(match), checkpoint, every)
 
 
+def stream_match_late(
+    summaries: DataFrame, reports: DataFrame, path: str, checkpoint: str, every: int | None = POLL_SECONDS, **options
+) -> StreamingQuery:
+    """Match the stored, still unlinked reports against each micro-batch of summaries.
+
+    Together with ``stream_match`` every pair is met, whichever side comes first.
+    """
+    return _start(_by_batch(summaries, lambda batch: M.match_summaries(reports, batch, **options), path), checkpoint, every)
+
+
 def stream_isolation(
     reports: DataFrame,
     enrich: Enrich,
@@ -100,7 +127,7 @@ def stream_isolation(
     every: int | None = POLL_SECONDS,
     tasks: int | None = None,
 ) -> StreamingQuery:
-    """Rows that cannot be processed go to ``route=quarantine``, the others to ``route=good``."""
-    done = enrich(_dealt(reports, tasks))
+    """Rows that cannot be processed go to ``route=quarantine`` of their batch, the others to ``route=good``."""
     route = F.when(F.col("enriched.status") == "success", "good").otherwise("quarantine")
-    return _start(_append(done.withColumn("route", route), path, "route"), checkpoint, every)
+    routed = lambda batch: enrich(_dealt(batch, tasks)).withColumn("route", route)
+    return _start(_by_batch(reports, routed, path, "route"), checkpoint, every)

@@ -25,6 +25,8 @@ NAMES = [
     ("한미반도체", None, "반도체"),
 ]
 
+WORDS = [("반도체", "반도체"), ("2차전지", "2차전지"), ("자동차", "자동차"), ("ai", "IT/SW"), ("은행", "은행"), ("조선", "조선")]
+
 
 def lexicon(spark, inline_rows=D.INLINE_ROWS):
     rows = [(i if c else None, n, c, s, i if c else None) for i, (n, c, s) in enumerate(NAMES)]
@@ -34,7 +36,7 @@ def lexicon(spark, inline_rows=D.INLINE_ROWS):
 
 def enriched(spark, titles, compat=False, inline_rows=D.INLINE_ROWS):
     df = spark.createDataFrame(list(enumerate(titles)), "report_id long, article_title string")
-    words = S.sector_dictionary(S.starter_words(spark), inline_rows)
+    words = S.sector_dictionary(spark.createDataFrame(WORDS, "word string, sector string"), inline_rows)
     out = N.enrich_titles(df, lexicon(spark, inline_rows), words, compat=compat)
     return [r.enriched.asDict() for r in out.orderBy("report_id").collect()]
 

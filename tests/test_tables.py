@@ -10,9 +10,11 @@ from reportloom.functions.text import strip
 from reportloom.operators import answers as A
 from reportloom.operators import candidates as C
 from reportloom.operators import dimensions as G
+from reportloom.operators import enrich as N
 from reportloom.operators import matching as M
 from reportloom.operators import merging as U
 from reportloom.operators import pages as H
+from reportloom.operators import sectors as Z
 from reportloom.operators import structured as P
 from reportloom.session import shared_dir
 from reportloom.sources import tables as S
@@ -117,8 +119,100 @@ def test_numbering_is_global(spark):
 def test_url_propagation(spark):
     s = spark.createDataFrame([(1, ""), (2, None), (3, "kept"), (4, None)], "summary_id long, pdf_url string")
     r = spark.createDataFrame([(10, 1, "old"), (11, 1, "new"), (12, 3, "other"), (13, 4, "late"), (14, 2, "")], "report_id long, linked_summary_id long, telegram_url string")
-    got = {x.summary_id: x.pdf_url for x in M.propagate_pdf_url(s, r, n=2).collect()}
-    assert got == {1: "new", 2: None, 3: "kept", 4: None}
+    get = lambda n: {x.summary_id: x.pdf_url for x in M.propagate_pdf_url(s, r, n).collect()}
+    assert get(None) == {1: "new", 2: None, 3: "kept", 4: "late"}
+    assert get(1) == {1: "new", 2: None, 3: "kept", 4: None}
+    # summary 2 cannot be filled and does not stand in the way of 4
+    assert get(2) == get(None)
+
+
+def test_merge_takes_one_row_per_key(spark):
+    base = spark.createDataFrame([(1, "a"), (2, "b")], "report_id long, sector string")
+    new = spark.createDataFrame([(1, "x"), (1, "y"), (None, "z"), (9, "w")], "report_id long, sector string")
+    assert sorted(tuple(r) for r in U.apply_updates(base, new, ["sector"]).collect()) == [(1, "y"), (2, "b")]
+
+
+def test_links_stay_and_json_report_reads_back(spark):
+    reports = spark.createDataFrame([(1, None), (2, 7), (3, None)], "report_id long, linked_summary_id long")
+    found = spark.createDataFrame([(1, 5), (2, 6)], "report_id long, summary_id long")
+    linked = M.link_reports(reports, found)
+    assert {r.report_id: r.linked_summary_id for r in linked.collect()} == {1: 5, 2: 7, 3: None}
+    path = f"{shared_dir(spark)}/json-{uuid.uuid4().hex}"
+    S.write_json_report(linked.withColumn("tags", F.array(F.lit("매수 의견"), F.lit('a"b'))), path)
+    back = S.read_files(spark, path, "json", "report_id long, linked_summary_id long, tags array<string>").orderBy("report_id").collect()
+    assert [tuple(r) for r in back] == [(i, s, ["매수 의견", 'a"b']) for i, s in ((1, 5), (2, 7), (3, None))]
+
+
+def test_name_and_word_tables_from_files(spark):
+    base = f"{shared_dir(spark)}/names-{uuid.uuid4().hex}"
+    rows = [(1, "AA", "000001", "S", True), (2, "AA", "000002", "T", True), (3, "BB", None, None, True), (4, "CC", "000003", None, False), (5, None, "x", None, True)]
+    spark.createDataFrame(rows, "rank int, word string, code string, sector string, searched boolean").write.option("header", "true").csv(f"{base}/names")
+    got = {r.word: (r.rank, r.code, r.sector, r.ticker_rank) for r in S.read_lexicon(spark, f"{base}/names").collect()}
+    assert got == {"AA": (1, "000001", "S", 1), "BB": (3, None, None, None), "CC": (None, "000003", None, 4)}
+    spark.createDataFrame([("w", "A"), ("w", "B")], "word string, sector string").write.option("header", "true").csv(f"{base}/words")
+    assert [tuple(r) for r in S.read_sector_words(spark, f"{base}/words").collect()] == [("w", "B")]
+
+
+def test_answer_tags_by_kind(spark):
+    cases = {'["a","b"]': ["a", "b"], '"0"': ["0"], '"false"': ["false"], '""': [], "0": [], "7": ["7"], "true": ["True"], "false": [], "null": [], "{}": [], '{"k":1}': ['{"k":1}']}
+    df = spark.createDataFrame(list(enumerate(cases)), "i int, j string").withColumn("v", F.parse_json("j"))
+    got = df.select("i", A.coerce_tags(F.col("v")).alias("t")).orderBy("i").collect()
+    assert [r.t for r in got] == list(cases.values())
+
+
+def test_texts_are_whole_unless_asked(spark):
+    page = '<section id="bo_v_con">' + "x y " * 5000 + "</div></section>"
+    df = spark.createDataFrame([(page,)], "html string")
+    assert len(df.select(H.container_text(F.col("html"))).first()[0]) == 19_999
+    assert len(df.select(H.container_text(F.col("html"), most=H.MOST)).first()[0]) == 10_000
+
+
+def test_six_names_are_kept_whole(spark):
+    from tests.test_golden_titles import enriched
+
+    got = enriched(spark, ["삼성전자 SK하이닉스 현대차 카카오 네이버 기아 고려아연 비교"])[0]
+    assert len(got["stock_names"]) == 5 and len(got["all_names"]) > 5 and got["all_names"][:5] == got["stock_names"]
+
+
+@pytest.mark.parametrize("inline_rows", [4096, 0])
+def test_streams_enrich_with_any_dictionary(spark, inline_rows):
+    from tests.test_golden_titles import lexicon
+
+    base = f"{shared_dir(spark)}/real-{uuid.uuid4().hex}"
+    rows = [(1, "K1", "F", "삼성전자 (005930): 목표가 110,000원 상향", None), (2, "K2", "F", "은행 산업 동향", None), (3, "K3", "F", None, None)]
+    spark.createDataFrame(rows, "report_id long, key string, firm_nm string, article_title string, tags array<string>").write.parquet(f"{base}/in")
+    words = Z.sector_dictionary(spark.createDataFrame([("은행", "은행")], "word string, sector string"), inline_rows)
+    real = lambda df: N.enrich_titles(df, lexicon(spark, inline_rows), words)
+    stored = spark.read.parquet(f"{base}/in")
+    for name, start in {
+        "all": lambda s, *a: J.stream_enrich(s, real, *a),
+        "keys": lambda s, *a: J.stream_on_arrival(s.select("key"), stored, real, *a),
+        "split": lambda s, *a: J.stream_isolation(s, real, *a),
+    }.items():
+        start(J.file_stream(spark, f"{base}/in", stored.schema), f"{base}/{name}", f"{base}/{name}-ck", None).awaitTermination()
+        got = {r.report_id: r.enriched for r in spark.read.parquet(f"{base}/{name}").collect()}
+        assert got[1].stock_names[0] == "삼성전자" and got[1].target_price == 110000 and got[2].sector == "은행"
+        assert sorted(got) == ([1, 2, 3] if name == "split" else [1, 2])
+
+
+def test_a_summary_that_comes_later_is_matched(spark):
+    base = f"{shared_dir(spark)}/late-{uuid.uuid4().hex}"
+    reports = spark.createDataFrame(
+        [(1, "F", "Alpha raises", "", "20260105", None), (2, "F", "Beta", "", "20260105", None)],
+        "report_id long, firm_nm string, article_title string, writer string, reg_dt string, linked_summary_id long",
+    )
+    schema = "summary_id long, provider string, report_date string, company_name string, author string"
+    first = spark.createDataFrame([(8, "F", "2026.01.05", "Beta", "")], schema)
+    first.coalesce(1).write.parquet(f"{base}/in")
+    assert [r.report_id for r in M.match_summaries(reports, first).collect()] == [2]
+    run = lambda: J.stream_match_late(J.file_stream(spark, f"{base}/in", first.schema, files_per_trigger=1), reports, f"{base}/out", f"{base}/ck", None).awaitTermination()
+    run()
+    spark.createDataFrame([(9, "F", "2026.01.07", "Alpha", "")], schema).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    run()
+    found = spark.read.parquet(f"{base}/out").select("report_id", "summary_id")
+    assert sorted(tuple(r) for r in found.collect()) == [(1, 9), (2, 8)]
+    linked = M.link_reports(reports, found)
+    assert {r.report_id: r.linked_summary_id for r in linked.collect()} == {1: 9, 2: 8}
 
 
 def test_strip_every_space(spark):
