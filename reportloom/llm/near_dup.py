@@ -120,11 +120,17 @@ def may_link(met: DataFrame, percent: int) -> DataFrame:
     at most c / (n + max(m, c) - c); the bound is exact, so no link is lost. Buckets left with one member go too.
     """
     least = met.groupBy("key").agg(F.min("n").alias("m"))
-    able = met.join(least, "key").filter(100 * F.col("c") >= percent * (F.col("n") + F.greatest("m", "c") - F.col("c"))).select("key", "rep", "n", "c")
+    able = met.join(least, "key").filter(100 * F.col("c") >= percent * (F.col("n") + F.greatest("m", "c") - F.col("c"))).drop("m")
     several = able.groupBy("key").agg(F.count("*").alias("k")).filter("k > 1").select("key")
     return able.join(several, "key", "left_semi")
 
 
+#: Whether table t is the first that both members of a pair share: no smaller half-band of either collection is equal.
+_FIRST_TABLE = " and ".join(
+    f"not (t div {HALVES} > {k} and half[{k}] = half_p[{k}]) and not (t % {HALVES} > {k} and half[{HALVES + k}] = half_p[{HALVES + k}])" for k in range(HALVES - 1)
+)
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id (smallest id reachable over links), kept (id = component_id).
 
@@ -139,9 +145,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
        of each collection is the table key.
     3. Members that by the number of their shingles that any other set has cannot reach the similarity leave the bucket; this
        takes most false collisions out before any pair is formed.
-    4. Buckets are never expanded into all pairs. A bucket is compared with a pivot; buckets that are not one component go
-       on with eight times as many pivots each round, against members of other components only that the same bound lets
-       pass, until each is one component or all its members were pivots. So links between members are found or implied.
+    4. A bucket is compared with one pivot, so a group of any size that hangs together costs one comparison a member.
+       Buckets that are not one component go on with further pivots, sixteen times as many each round, against members of
+       other components only that the same bound lets pass, and each pair only in the first table that both share, until a
+       bucket is one component or all its members were pivots. So links between members are found or implied.
     5. Candidates are confirmed on the full sets; links become components by label passing in the shared folder.
     """
     docs = docs.filter(F.col(id_col).isNotNull())
@@ -156,7 +163,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     pairs = (
         reps.join(alive, "rep", "left_semi")
         .select("rep", "half", F.explode(F.sequence(F.lit(0), F.lit(HALVES * HALVES - 1))).alias("t"))
-        .select("rep", F.xxhash64("t", F.expr(f"half[t div {HALVES}]"), F.expr(f"half[{HALVES} + t % {HALVES}]")).alias("key"))
+        .select("rep", "t", F.xxhash64("t", F.expr(f"half[t div {HALVES}]"), F.expr(f"half[{HALVES} + t % {HALVES}]")).alias("key"))
     )
     shared_keys = pairs.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     met = staged(pairs.join(shared_keys, "key", "left_semi"), "buckets")
@@ -170,27 +177,28 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     first_pivot = members.groupBy("key").agg(F.max_by("rep", F.struct(F.col("c") / F.col("n"), -F.col("rep"))).alias("p"))
     edges = members.join(first_pivot, "key").filter("rep <> p").select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")).distinct()
     tested = staged(confirm(edges, sets, id_col, percent), "tested")
-    pivots = 4
+    halves = reps.select("rep", "half")
+    done, pivots = 0, 4
     while True:
         labels = components(tested.filter("linked"))
         placed = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
         mixed = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
-        left = placed.join(mixed, "key").withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(F.desc(F.expr("c / n")), "rep")))
-        left = staged(left, "mixed")
-        chosen = left.filter(F.col("rank") <= pivots).select("key", F.col("rep").alias("p"), F.col("label").alias("of_p"), F.col("n").alias("n_p"), F.col("c").alias("c_p"))
+        ranked = placed.join(mixed, "key").withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(F.desc(F.expr("c / n")), "rep")))
+        left = staged(ranked.join(halves, "rep"), "mixed")
+        # the last of a bucket has been compared with all before it
+        if done + 1 >= (left.agg(F.max("rank")).first()[0] or 0):
+            break
+        chosen = left.filter((F.col("rank") > done) & (F.col("rank") <= pivots)).select("key", *[F.col(c).alias(f"{c}_p") for c in ("rep", "label", "n", "c", "rank", "half")])
         low = F.least("c", "c_p")
+        fits = (F.col("label") != F.col("label_p")) & (F.col("rank") > F.col("rank_p")) & (100 * low >= percent * (F.col("n") + F.col("n_p") - low))
         tries = (
             left.join(chosen, "key")
-            .filter((F.col("label") != F.col("of_p")) & (100 * low >= percent * (F.col("n") + F.col("n_p") - low)))
-            .select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b"))
-            .distinct()
+            .filter(fits & F.expr(_FIRST_TABLE))
+            .select(F.least("rep", "rep_p").alias("a"), F.greatest("rep", "rep_p").alias("b"))
             .join(tested.select("a", "b"), ["a", "b"], "left_anti")
         )
-        more = staged(confirm(tries, sets, id_col, percent), "tested")
-        tested = tested.unionByName(more)
-        if more.isEmpty() and pivots >= (left.agg(F.max("rank")).first()[0] or 0):
-            break
-        pivots *= 8
+        tested = tested.unionByName(staged(confirm(tries, sets, id_col, percent), "tested"))
+        done, pivots = pivots, pivots * 16
     reach = labels.withColumnRenamed("node", "rep")
     return (
         named.join(reach, "rep", "left")
