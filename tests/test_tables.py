@@ -254,3 +254,26 @@ def test_query_equals_its_sql(spark, sf_dir, name):
     from tests.compare import compare
 
     assert compare(spark, sf_dir, name) is None
+
+
+def test_cycle_replaces_touched_months_alone(spark):
+    import os
+
+    from reportloom.operators.cycle import run_cycle
+    from tests.test_golden_titles import lexicon
+
+    base = f"{shared_dir(spark)}/cycle-{uuid.uuid4().hex}".removeprefix("file:")
+    rows = [(1, "F", "삼성전자 (005930): 목표가 110,000원 상향", "20260105", None), (2, "F", "nothing to find", "20260106", None), (3, "F", "삼성전자", "20260210", ["done"])]
+    table = spark.createDataFrame(rows, "report_id long, firm_nm string, article_title string, reg_dt string, tags array<string>")
+    wide = table.withColumns({"stock_names": F.lit(None).cast("array<string>"), "sector": F.lit(None).cast("string")})
+    S.write_by_month(U.add_premium_columns(wide), f"{base}/reports")
+    files = lambda: sorted(f"{d}/{f}" for d, _, names in os.walk(f"{base}/reports/reg_month=202602") for f in names)
+    before = files()
+    words = Z.sector_dictionary(spark.createDataFrame([("은행", "은행")], "word string, sector string"))
+    run = lambda version: run_cycle(spark, f"{base}/reports", f"{base}/ledger", lambda df: N.enrich_titles(df, lexicon(spark), words), version)
+    assert run("v1") == 2 and run("v1") == 0
+    assert before and files() == before
+    got = {r.report_id: (r.tags, r.target_price) for r in spark.read.parquet(f"{base}/reports").collect()}
+    assert got[1][1] == 110000 and got[1][0] and got[3][0] == ["done"] and len(got) == 3
+    # new rules look again at what stayed empty
+    assert run("v2") == 1
