@@ -147,10 +147,10 @@ def _(t: Tables):
 
 @query("report_analysts_read", _BRIDGE + """
 select b.report_id, string_agg(distinct a.name, '|' order by a.name) as names
-from bridge b join analysts a using (analyst_id) where b.report_id in (select report_id from reports where sector = 'ECONOMY') group by b.report_id""")
+from bridge b join analysts a using (analyst_id) where b.report_id in (select report_id from reports) group by b.report_id""")
 def _(t: Tables):
     analysts = all_analysts(t)
-    read = M.report_analysts_read(full_bridge(t, analysts), analysts, t.reports.where("sector = 'ECONOMY'"))
+    read = M.report_analysts_read(full_bridge(t, analysts), analysts, t.reports)
     return read.select("report_id", bar(F.col("names")).alias("names"))
 
 
@@ -207,9 +207,9 @@ def _(t: Tables):
 
 
 @query("report_forecasts_read", _FORECASTS + """
-select report_id, year, cast(sales as double) as sales from forecasts where report_id in (select report_id from reports where sector = 'ECONOMY')""")
+select report_id, year, cast(sales as double) as sales from forecasts where report_id in (select report_id from reports)""")
 def _(t: Tables):
-    read = M.report_forecasts_read(all_forecasts(t), t.reports.where("sector = 'ECONOMY'"))
+    read = M.report_forecasts_read(all_forecasts(t), t.reports)
     return read.select("report_id", "year", F.col("sales").cast("double").alias("sales"))
 
 

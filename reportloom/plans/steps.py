@@ -6,6 +6,7 @@ from __future__ import annotations
 import re
 
 from .. import rules
+from ..operators import structured as P
 from ..operators.entities import OPINION_WORDS
 
 _NAME = r"가-힣A-Za-z&0-9\-"
@@ -218,9 +219,8 @@ TICKERS = r"""
 
 
 def price(compat: bool = False) -> str:
-    p = r"\d{1,2}\s*만|\d{1,3}(?:,\d{3})*|\d{4,6}" if compat else r"\d{1,2}\s*만|\d{4,6}|\d{1,3}(?:,\d{3})*"
-    a = "상향|하향|유지|신규|제시|상향조정|하향조정"
-    labelled = rf"(?:목표(?:주)?가|목표가격|적정(?:주)?가)\s*[:：]?\s*({p})\s*원?\s*(?:으로\s*)?\s*({a})?"
+    p, a = P.PRICE_COMPAT if compat else P.PRICE_FIXED, P.ACTION
+    labelled = rf"{P.PRICE_LABEL}({p})\s*원?\s*(?:으로\s*)?\s*({a})?"
     bare = rf"({p})\s*원\s*(?:으로\s*)?\s*({a})"
     return rf"""
 , price as (
@@ -242,21 +242,30 @@ def price(compat: bool = False) -> str:
 """
 
 
-RATING = """
+def _among(words) -> str:
+    return ", ".join(f"'{w}'" for w in words)
+
+
+RATING = f"""
 , ratings as (
- select report_id, case when w in ('HOLD', '중립', 'NEUTRAL') then 'HOLD' when w in ('SELL', '매도', 'UNDERPERFORM') then 'SELL' else 'BUY' end as rating
- from (select report_id, upper(regexp_extract(title, '(?i)(BUY|HOLD|SELL|OUTPERFORM|NEUTRAL|UNDERPERFORM|매수|중립|매도|시장상회)', 1)) as w from titles)
+ select report_id, case when w in ({_among(P.RATINGS["HOLD"])}) then 'HOLD' when w in ({_among(P.RATINGS["SELL"])}) then 'SELL' else 'BUY' end as rating
+ from (select report_id, upper(regexp_extract(title, '(?i)({P.OPINION})', 1)) as w from titles)
 )
 """
 
-REPORT_TYPE = """
+
+def _has(words) -> str:
+    return f"regexp_matches(u, '{'|'.join(words)}')"
+
+
+REPORT_TYPE = f"""
 , report_types as (
  select t.report_id, case
   when coalesce(k.n, 0) > 0 then 'COMPANY'
-  when regexp_matches(u, '금리|환율|FOMC|매크로|인플레|CPI|연준|채권|외환|시황|전망|지수|전략|자산배분|퀀트|파생')
-  then case when regexp_matches(u, '퀀트|계량|시뮬레이션|파생') then 'QUANT' when regexp_matches(u, '전략|배분|포트폴리오') then 'STRATEGY' else 'MACRO' end
-  when regexp_matches(u, '반도체|바이오|헬스케어|디스플레이|2차전지|배터리|인터넷|게임|플랫폼|금융|자동차|전기차|철강|화학|정유|엔터|미디어|화장품|유통|조선|해운|건설') then 'INDUSTRY'
-  when regexp_matches(u, '전망|리뷰|캘린더') then 'MACRO' else 'INDUSTRY' end as report_type
+  when {_has(P.MACRO_WORDS)}
+  then case when {_has(P.QUANT_WORDS)} then 'QUANT' when {_has(P.STRATEGY_WORDS)} then 'STRATEGY' else 'MACRO' end
+  when {_has(P.INDUSTRY_WORDS)} then 'INDUSTRY'
+  when {_has(P.MACRO_FALLBACK_WORDS)} then 'MACRO' else 'INDUSTRY' end as report_type
  from (select *, upper(title) as u from titles) t left join ticker_lists k using (report_id)
 )
 """

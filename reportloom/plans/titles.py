@@ -437,11 +437,11 @@ def _(t: Tables):
 
 
 @query("merge_lexicons", """
-, promo as (select p_name as word, 'P' || cast(min(p_partkey) as varchar) as code from part where p_type = 'PROMO' and p_brand < 'Brand#15' group by p_name)
+, promo as (select p_name as word, 'P' || cast(min(p_partkey) as varchar) as code from part group by p_name)
 select word, code, 0 as source from promo union all
 select word, code, 1 as source from lexicon where word not in (select word from promo)""")
 def _(t: Tables):
-    promo = t.base("part").where("p_type = 'PROMO' and p_brand < 'Brand#15'").groupBy(F.col("p_name").alias("word"))
+    promo = t.base("part").groupBy(F.col("p_name").alias("word"))
     first = promo.agg(F.concat(F.lit("P"), F.min("p_partkey").cast("string")).alias("code")).withColumn("rank", F.lit(0))
     second = t.view("lexicon").select(F.col("pos").alias("rank"), "word", "code")
     return E.merge_lexicons(first, second).select("word", "code", "source")

@@ -20,6 +20,7 @@ def build_session(app: str = "reportloom", master: str | None = None, **conf: st
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # the JVM never compiles methods beyond 8000 bytes; such a stage is better split
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
