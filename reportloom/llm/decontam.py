@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import staged
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Size classes: class c has documents of up to 2 ** c shingles.
 CLASSES = 40
@@ -70,7 +72,8 @@ def contained_items(
         "c", F.least(F.lit(CLASSES), F.greatest(F.lit(1), F.ceil(F.log2(F.greatest(F.size("sh"), F.lit(1)))))).cast("int")
     )
     minima = sketched.select(doc_id, "c", F.explode(_sketch(F.col("c"))).alias("h"))
-    found = minima.join(F.broadcast(wanted) if few else wanted, ["c", "h"]).select(doc_id, item_id).distinct()
+    # written, since both uses would sketch every document again
+    found = staged(minima.join(F.broadcast(wanted) if few else wanted, ["c", "h"]).select(doc_id, item_id).distinct(), "candidates")
 
     full = string_shingles(docs.select(doc_id, text).join(found.select(doc_id).distinct(), doc_id, "left_semi"), text, size, "in_doc")
     short = string_shingles(own_items, text, size, "in_item")
