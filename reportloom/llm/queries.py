@@ -92,14 +92,15 @@ scored as (
   from tokens t join uni u on u.word = t.word left join uni p on p.word = t.before
   left join bi on bi.before = t.before and bi.word = t.word, size
 )
-select d.doc_id, count(s.doc_id) as n_words, coalesce(sum(s), 0.0) as log_score, avg(s) as per_word
+select d.doc_id, count(s.doc_id) as n_words, round(coalesce(sum(s), 0.0), 6) as log_score, round(avg(s), 6) as per_word
 from documents d left join scored s using (doc_id) group by d.doc_id
 """
 
 
 @query("op5_lm_score", _OP5)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_score.score(read(spark, sf_dir, "documents"))
+    # sums of doubles depend on their order in the last places
+    return lm_score.score(read(spark, sf_dir, "documents")).withColumns({c: F.round(c, 6) for c in ("log_score", "per_word")})
 
 
 @query("op2_suffix_dedup")
