@@ -178,15 +178,17 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     edges = members.join(first_pivot, "key").filter("rep <> p").select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")).distinct()
     tested = staged(confirm(edges, sets, id_col, percent), "tested")
     halves = reps.select("rep", "half")
-    done, pivots = 0, 4
+    done, pivots, left = 0, 4, None
     while True:
-        labels = components(tested.filter("linked"))
-        placed = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-        mixed = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
-        ranked = placed.join(mixed, "key").withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(F.desc(F.expr("c / n")), "rep")))
-        left = staged(ranked.join(halves, "rep"), "mixed")
+        if left is None:  # there are new links
+            labels = components(tested.filter("linked"))
+            placed = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+            mixed = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
+            ranked = placed.join(mixed, "key").withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(F.desc(F.expr("c / n")), "rep")))
+            left = staged(ranked.join(halves, "rep"), "mixed")
+            longest = left.agg(F.max("rank")).first()[0] or 0
         # the last of a bucket has been compared with all before it
-        if done + 1 >= (left.agg(F.max("rank")).first()[0] or 0):
+        if done + 1 >= longest:
             break
         chosen = left.filter((F.col("rank") > done) & (F.col("rank") <= pivots)).select("key", *[F.col(c).alias(f"{c}_p") for c in ("rep", "label", "n", "c", "rank", "half")])
         low = F.least("c", "c_p")
@@ -197,7 +199,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
             .select(F.least("rep", "rep_p").alias("a"), F.greatest("rep", "rep_p").alias("b"))
             .join(tested.select("a", "b"), ["a", "b"], "left_anti")
         )
-        tested = tested.unionByName(staged(confirm(tries, sets, id_col, percent), "tested"))
+        more = staged(confirm(tries, sets, id_col, percent), "tested")
+        tested = tested.unionByName(more)
+        if not more.filter("linked").isEmpty():
+            left = None
         done, pivots = pivots, pivots * 16
     reach = labels.withColumnRenamed("node", "rep")
     return (
