@@ -61,11 +61,9 @@ class Machine:
 
 
 def _informative(bins: np.ndarray, row: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Bins whose presence has a log-likelihood ratio of ``SCREEN`` or more with the label."""
-    cell = np.unique(row * (1 << BITS) + bins)
-    r, t = cell >> BITS, cell & ((1 << BITS) - 1)
-    a = np.bincount(t, weights=y[r], minlength=1 << BITS)
-    n = np.bincount(t, minlength=1 << BITS)
+    """Bins whose presence has a log-likelihood ratio of ``SCREEN`` or more with the label; a row has a bin once."""
+    a = np.bincount(bins, weights=y[row], minlength=1 << BITS)
+    n = np.bincount(bins, minlength=1 << BITS)
     some = np.flatnonzero(n > 0)
     a, n = a[some], n[some]
     pos, total = y.sum(), len(y)
@@ -79,7 +77,7 @@ def _informative(bins: np.ndarray, row: np.ndarray, y: np.ndarray) -> np.ndarray
     return some[2 * (part(a, n) + rest - part(np.array([pos]), total)) >= SCREEN]
 
 
-def train(bins: np.ndarray, row: np.ndarray, y: np.ndarray, rounds: int = 200, rate: float = 0.05, l2: float = 1e-3, seed: int = 3) -> Machine:
+def train(bins: np.ndarray, row: np.ndarray, y: np.ndarray, rounds: int = 200, rate: float = 0.05, l2: float = 1e-4, seed: int = 3) -> Machine:
     """Full-batch Adam on the logistic loss of the screened terms."""
     chosen = _informative(bins, row, y)
     y = y.astype(np.float32)
@@ -87,14 +85,14 @@ def train(bins: np.ndarray, row: np.ndarray, y: np.ndarray, rounds: int = 200, r
     own = m.place[bins]
     x = np.zeros((len(y), len(chosen)), np.float32)
     x[row[own >= 0], own[own >= 0]] = 1
-    rate_of = y.mean() if len(y) else 0.5
-    base = float(np.log(max(rate_of, 1e-3) / max(1 - rate_of, 1e-3)))
-    par = [np.array([base], np.float32), np.zeros(len(chosen), np.float32), np.random.default_rng(seed).normal(0, 0.05, (len(chosen), FACTORS)).astype(np.float32)]
+    # both labels weigh the same in sum, however rare one is
+    weight = np.where(y > 0, 0.5 / max(1.0, float(y.sum())), 0.5 / max(1.0, float(len(y) - y.sum()))).astype(np.float32)
+    par = [np.array([-1.0], np.float32), np.zeros(len(chosen), np.float32), np.random.default_rng(seed).normal(0, 0.05, (len(chosen), FACTORS)).astype(np.float32)]
     one, two = [np.zeros_like(p) for p in par], [np.zeros_like(p) for p in par]
     for t in range(1, rounds + 1):
         s = x @ par[2]
         z = par[0] + x @ par[1] + 0.5 * ((s * s).sum(axis=1) - x @ (par[2] ** 2).sum(axis=1))
-        g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / max(1, len(y))
+        g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * weight
         grads = [np.array([g.sum()], np.float32), x.T @ g + l2 * par[1] * 0.1, x.T @ (g[:, None] * s) - par[2] * (x.T @ g)[:, None] + l2 * par[2]]
         for k in range(3):
             one[k] = 0.9 * one[k] + 0.1 * grads[k]
@@ -130,8 +128,10 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = 3, fold: int = 1, cut
     machine = Machine(np.zeros(0, np.int64), 0.0, np.zeros(0), np.zeros((0, FACTORS)))
     if rows:
         own = [np.frombuffer(r["bins"], np.int32) for r in rows]
-        row = np.repeat(np.arange(len(rows)), [len(x) for x in own])
-        machine = train(np.concatenate(own).astype(np.int64), row, np.array([r["y"] for r in rows], float))
+        y = np.array([r["y"] for r in rows], float)
+        del rows
+        row = np.repeat(np.arange(len(own), dtype=np.int32), [len(x) for x in own])
+        machine = train(np.concatenate(own), row, y)
     model = docs.sparkSession.sparkContext.broadcast(machine)  # 4 MB of places and a few thousand weights
     schema = f"{id_col} {docs.schema[id_col].dataType.simpleString()}, score double"
 
