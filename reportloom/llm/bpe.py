@@ -12,7 +12,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import mix
+from .common import mix, parts
 
 #: Pieces longer than this are merged with a heap: a matrix row costs the square of its length.
 MATRIX_MOST = 256
@@ -200,7 +200,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
     def run(batches):
         own = codec(blob.value, pattern)
-        for batch in batches:
+        for batch in parts(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for k in range(0, max(1, len(texts)), 500):
                 some = texts[k : k + 500]

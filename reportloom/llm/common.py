@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 
-#: Bytes of text that numpy code works on at once; its temporaries take about fifty times as much.
-CHUNK_BYTES = 1 << 20
+#: Bytes of text that numpy code works on at once; its temporaries take about a hundred times as much.
+CHUNK_BYTES = 1 << 18
+#: Rows that are taken out of an Arrow batch at once.
+PART_ROWS = 500
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _PI = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -56,6 +58,13 @@ def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
+def parts(batches) -> Iterator:
+    """Arrow batches in slices of ``PART_ROWS`` rows, so that copies of their texts stay small."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, PART_ROWS):
+            yield batch.slice(k, PART_ROWS)
+
+
 def chunks(at: np.ndarray, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``most`` bytes each; a longer text is a range of its own."""
     row, n = 0, len(at) - 1

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, components, flat, mix, shingles, signed, staged, words
+from .common import chunks, components, flat, mix, parts, shingles, signed, staged, words
 
 #: Half-bands in each of the two collections, and minhashes in a half-band. A table key is a pair of half-bands, one of
 #: each collection: HALVES ** 2 tables of 2 * ROWS minhashes from 2 * HALVES * ROWS minhashes (64 tables from 48, not 384).
@@ -35,7 +35,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     schema = f"{id_col} bigint, n_shingles bigint, set_a bigint, set_b bigint, half array<bigint>"
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             data, at = flat(batch.column(1))
             for i, j in chunks(at):
                 part, own = data[at[i] : at[j]], at[i : j + 1] - at[i]
@@ -63,7 +63,7 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, set): sorted distinct shingle hashes as bytes."""
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             data, at = flat(batch.column(1))
             for i, j in chunks(at):
                 h, row, _, _ = words(data[at[i] : at[j]], at[i : j + 1] - at[i])
@@ -80,7 +80,7 @@ def confirm(edges: DataFrame, sets: DataFrame, id_col: str, percent: int) -> Dat
     with_b = with_a.join(sets.select(F.col(id_col).alias("b"), F.col("set").alias("set_of_b")), "b")
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             ok = []
             for x, y in zip(batch.column(2), batch.column(3)):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
@@ -100,7 +100,7 @@ def shared_counts(sets: DataFrame, id_col: str) -> DataFrame:
     """(rep, n, c): size of each set, and how many of its shingles another set has too."""
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             for k in range(0, batch.num_rows, 200):
                 some = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(1).slice(k, 200)]
                 ids = np.repeat(np.asarray(batch.column(0).slice(k, 200)), [len(x) for x in some])

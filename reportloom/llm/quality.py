@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, flat, words
+from .common import chunks, flat, parts, words
 from .labelled import remainder, training_rows
 
 #: Bound of the training sample: labelled documents, and bytes of one.
@@ -187,7 +187,7 @@ def fitted(docs: DataFrame, labels: DataFrame, folds: int, fold: int, id_col: st
     sample = training_rows(docs, labels, "quality", remainder(id_col, folds) != fold, TRAIN_ROWS, TRAIN_BYTES, id_col, text_col)
 
     def features(batches):
-        for batch in batches:
+        for batch in parts(batches):
             data, at = flat(batch.column(0))
             y = batch.column(1).to_pylist()
             for i, j in chunks(at):
@@ -213,7 +213,7 @@ def with_score(docs: DataFrame, field: Field, name: str, text_col: str = "text")
     place = docs.columns.index(text_col)
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             data, at = flat(batch.column(place))
             for i, j in chunks(at):
                 x, row, size = line_features(data[at[i] : at[j]], at[i : j + 1] - at[i])

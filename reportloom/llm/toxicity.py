@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, flat, mix, words, prefix_hash, span_hash
+from .common import chunks, flat, mix, parts, prefix_hash, span_hash, words
 from .labelled import remainder, training_rows
 
 #: Bits of the hashed term space, latent dimensions, and the length of word beginnings that are terms too.
@@ -113,7 +113,7 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = 3, fold: int = 1, cut
     sample = training_rows(docs, labels, "toxic", remainder(id_col, folds) != fold, TRAIN_ROWS, TRAIN_BYTES, id_col, text_col)
 
     def features(batches):
-        for batch in batches:
+        for batch in parts(batches):
             data, at = flat(lowered(batch.column(0)))
             y = batch.column(1).to_pylist()
             for i, j in chunks(at):
@@ -136,7 +136,7 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = 3, fold: int = 1, cut
     schema = f"{id_col} {docs.schema[id_col].dataType.simpleString()}, score double"
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             data, at = flat(lowered(batch.column(1)))
             for i, j in chunks(at):
                 bins, row = terms(data[at[i] : at[j]], at[i : j + 1] - at[i])
