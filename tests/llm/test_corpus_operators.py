@@ -113,6 +113,26 @@ def test_containment(spark, odd_docs, no_docs):
     assert "Python" not in decontam.contained_items(one, two)._jdf.queryExecution().toString()
 
 
+@pytest.mark.parametrize("broadcast_rows", [decontam.BROADCAST_ROWS, 200, 0])
+def test_short_items_in_long_documents(spark, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(decontam, "BROADCAST_ROWS", broadcast_rows)
+    rnd = random.Random(5)
+    # of 5 to 10 words, and some that meet sketches
+    sizes = [3] * 2 + [5, 6, 7, 8, 9, 10] * 8 + [15, 60] * 2
+    items = [(i, " ".join(f"i{i}w{k}" for k in range(n))) for i, n in enumerate(sizes)]
+    docs = []
+    for d in range(27):
+        w = [rnd.choice(VOCAB) + str(rnd.randrange(10**6)) for _ in range(rnd.choice([1000, 2500, 4000]))]
+        at = rnd.randrange(len(w))
+        docs.append((d, " ".join([*w[:at], items[2 * d][1], *w[at:], items[2 * d + 1][1]])))
+    one, two = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id): (r.n_shingles, r.n_shared) for r in decontam.contained_items(one, two).collect()}
+    want = contained(docs, items)
+    # three words are a shingle of their own, which no longer document has
+    assert len(want) == len(items) - 2
+    assert got == want
+
+
 def brute_nearest(rows, q, k):
     found = sorted(((-float(np.dot(np.array(v, float), np.array(q[1], float))), i) for i, v in rows if i != q[0]))[:k]
     return [(i, -s) for s, i in found]
