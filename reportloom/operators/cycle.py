@@ -41,6 +41,7 @@ def run_cycle(
     these are read, merged and replaced, so the cost follows the new rows and
     not the table. The ledger is written last: a cycle that breaks off is done
     again with the same result, and rows that stay empty are not taken twice.
+    Reports without a date are a month of their own, the null partition.
     """
     work = f"{shared_dir(spark)}/cycle-{uuid.uuid4().hex}"
     reports = spark.read.parquet(reports_path)
@@ -52,9 +53,13 @@ def run_cycle(
     touched = [r[MONTH] for r in updates.select(MONTH).distinct().collect()]
     if not touched:
         return 0
-    merged = U.apply_enrichment(reports.where(F.col(MONTH).isin(touched)), updates.drop(MONTH))
+    dated = [m for m in touched if m is not None]
+    within = F.col(MONTH).isin(dated) if len(dated) == len(touched) else F.col(MONTH).isNull() | F.col(MONTH).isin(dated)
+    merged = U.apply_enrichment(reports.where(within), updates.drop(MONTH))
     merged.write.parquet(f"{work}/merged")
     merged = spark.read.schema(merged.schema).parquet(f"{work}/merged")
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(reports_path)
-    U.processed_ledger(updates, rule_version).write.mode("append").parquet(ledger_path)
-    return updates.count()
+    # only what the merged rows hold counts as processed
+    stored = updates.join(merged.select("report_id"), "report_id", "left_semi")
+    U.processed_ledger(stored, rule_version).write.mode("append").parquet(ledger_path)
+    return stored.count()

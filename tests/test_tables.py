@@ -277,3 +277,22 @@ def test_cycle_replaces_touched_months_alone(spark):
     assert got[1][1] == 110000 and got[1][0] and got[3][0] == ["done"] and len(got) == 3
     # new rules look again at what stayed empty
     assert run("v2") == 1
+
+
+@pytest.mark.parametrize("dates", [(None, "", "20260105"), (None, "", None)])
+def test_cycle_stores_reports_without_date(spark, dates):
+    from reportloom.operators.cycle import run_cycle
+    from tests.test_golden_titles import lexicon
+
+    base = f"{shared_dir(spark)}/cycle-{uuid.uuid4().hex}".removeprefix("file:")
+    rows = [(i, "F", "삼성전자 (005930): 목표가 110,000원 상향", d, None) for i, d in enumerate(dates)] + [(9, "F", "삼성전자", "20260210", ["done"])]
+    table = spark.createDataFrame(rows, "report_id long, firm_nm string, article_title string, reg_dt string, tags array<string>")
+    wide = table.withColumns({"stock_names": F.lit(None).cast("array<string>"), "sector": F.lit(None).cast("string")})
+    S.write_by_month(U.add_premium_columns(wide), f"{base}/reports")
+    words = Z.sector_dictionary(spark.createDataFrame([("은행", "은행")], "word string, sector string"))
+    run = lambda: run_cycle(spark, f"{base}/reports", f"{base}/ledger", lambda df: N.enrich_titles(df, lexicon(spark), words), "v1")
+    assert run() == 3
+    got = {r.report_id: (r.tags, r.target_price) for r in spark.read.parquet(f"{base}/reports").collect()}
+    assert len(got) == 4 and got[9][0] == ["done"]
+    assert all(got[i][0] and got[i][1] == 110000 for i in range(3))
+    assert run() == 0
