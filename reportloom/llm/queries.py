@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, decontam, html_main, lm_score, near_dup, quality, suffix_dedup, toxicity
+from . import ann, bpe, chat, decontam, filter_audit, html_main, lm_score, near_dup, pieces, quality, suffix_dedup, toxicity
 from .common import read
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -147,3 +147,52 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_html")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main.extract(read(spark, sf_dir, "pages"))
+
+
+_OP11 = r"""
+with recursive of_id as (
+  select doc_id, arg_min({'text': coalesce(text, ''), 'part': coalesce(source, '')}, {'d': sha256(coalesce(text, '')), 'p': coalesce(source, '')}) as d
+  from documents where doc_id is not null group by doc_id
+), words_of as (
+  select doc_id, d.text as text, d.part as part, regexp_extract_all(d.text, '[^\x20\x09-\x0D]+') as w from of_id
+), judged as (
+  select doc_id, part, (len(w) < 50)::int as a, (100 * list_unique(w) < 65 * len(w))::int as b,
+    (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text))::int as c, regexp_matches(text, '[#$%&*|]')::int as d,
+    (doc_id > min(doc_id) over (partition by text))::int as e
+  from words_of
+), flags as (
+  select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels group by doc_id
+), cells as (
+  select part, a + 2 * b + 4 * c + 8 * d + 16 * e as mask, count(*) as n, coalesce(sum(good), 0) as good, coalesce(sum(toxic), 0) as toxic
+  from judged left join flags using (doc_id) group by all
+), orders as (
+  select '' as filter_order union all select filter_order || x from orders, (select unnest(['A', 'B', 'C', 'D', 'E']) as x) where not contains(filter_order, x) and length(filter_order) < 5
+), steps as (
+  select filter_order, s::int as step, 1 << (ascii(substr(filter_order, s, 1)) - 65) as f,
+    list_sum(list_transform(range(1, s), lambda i: 1 << (ascii(substr(filter_order, i, 1)) - 65))) as before
+  from (select filter_order, unnest(range(1, 6)) as s from orders where length(filter_order) = 5)
+), counted as (
+  select part, filter_order, step, f,
+    sum(n) filter ((mask & (coalesce(before, 0)::int | f)) = 0) as kept,
+    sum(n) filter ((mask & f) > 0 and (mask & coalesce(before, 0)::int) = 0) as removed,
+    sum(n) filter ((mask & f) > 0 and (mask & coalesce(before, 0)::int) > 0) as redundant,
+    sum(n) filter (mask = f) as unique_fails,
+    sum(good) filter ((mask & f) > 0 and (mask & coalesce(before, 0)::int) = 0) as good_lost,
+    sum(toxic) filter ((mask & f) > 0 and (mask & coalesce(before, 0)::int) = 0) as toxic_lost
+  from cells, steps group by all
+)
+select part, filter_order, step, coalesce(kept, 0)::bigint as kept, coalesce(removed, 0)::bigint as removed, coalesce(redundant, 0)::bigint as redundant,
+  coalesce(unique_fails, 0)::bigint as unique_fails, coalesce(good_lost, 0)::bigint as good_lost, coalesce(toxic_lost, 0)::bigint as toxic_lost,
+  coalesce(sum(removed) over (partition by part, f), 0)::bigint as shapley
+from counted
+"""
+
+
+@query("op11_filter_audit", _OP11)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op13_pieces")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), keep_ids=False)
