@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, decontam, filter_audit, html_main, lm_score, near_dup, pieces, quality, suffix_dedup, toxicity
+from . import ann, bpe, chat, conv_repair, decontam, filter_audit, html_main, lm_score, near_dup, pieces, quality, suffix_dedup, toxicity
 from .common import read
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -193,6 +193,68 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+#: crc32 of ASCII strings, and the cheapest repair row by row: the best (cost, audit, lines) to each state.
+_OP12 = r"""
+with recursive spoilt as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    xor(4294967295, list_reduce(list_concat([4294967295::bigint], list_transform(string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''), lambda ch: ascii(ch)::bigint)),
+      lambda c, b: list_reduce(list_concat([xor(c, b)], [0::bigint, 0, 0, 0, 0, 0, 0, 0]), lambda x, z: xor(x >> 1, 3988292384 * (x & 1))))) % 20 as k
+  from conversations
+), rows as (
+  select conv_id, turn, case when k = 4 then 'user' else role end as role,
+    case when k = 1 then '' when k = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text, unnest(case when k = 3 then [0, 1] else [0] end) as copy
+  from spoilt where k <> 0
+), placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(length(role) || ':' || role || text), copy) as i from rows
+), noted as (
+  select *, row_number() over (partition by conv_id, role, text order by i) > 1 as again, regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) as lastc,
+    left(role, 1) as r from placed
+), judged as (
+  select *, case when lastc = '' then 'blank' when again then 'duplicate' when not regexp_matches(lastc, '[.!?]') then 'truncated' else '' end as fault,
+    lag(r) over (partition by conv_id order by i) as before from noted
+), faults as (
+  select conv_id, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 'blank') as blank,
+    count(*) filter (fault = 'duplicate') as duplicate, count(*) filter (fault = 'truncated') as truncated,
+    count(*) filter (before is not null and before || r not in ('su', 'ua', 'au')) as illegal
+  from judged group by conv_id
+), best as (
+  select conv_id, 0::bigint as i, '0' as q, {'cost': 0, 'audit': '', 'lines': ''} as w from faults
+  union all
+  select * from (
+    with once as (
+      select conv_id, i, q, w from best
+      union all select conv_id, i, case when q = 'u' then 'a' else 'u' end, {'cost': w.cost + 3, 'audit': w.audit || 'I', 'lines': w.lines || chr(10) || case when q = 'u' then 'assistant:' else 'user:' end} from best
+    ), twice as (
+      select * from once
+      union all select conv_id, i, case when q = 'u' then 'a' else 'u' end, {'cost': w.cost + 3, 'audit': w.audit || 'I', 'lines': w.lines || chr(10) || case when q = 'u' then 'assistant:' else 'user:' end} from once
+    ), moved as (
+      select t.conv_id, j.i, t.q, {'cost': w.cost + 4, 'audit': w.audit || 'D', 'lines': w.lines} as w from twice t join judged j on j.conv_id is not distinct from t.conv_id and j.i = t.i + 1
+      union all
+      select t.conv_id, j.i, case when q = 'u' then 'a' else 'u' end, {'cost': w.cost + case when fault = '' then 3 else 6 end, 'audit': w.audit || 'R',
+        'lines': w.lines || chr(10) || case when q = 'u' then 'assistant:' else 'user:' end || text} from twice t join judged j on j.conv_id is not distinct from t.conv_id and j.i = t.i + 1 where fault in ('', 'truncated')
+      union all
+      select t.conv_id, j.i, r, {'cost': w.cost + case when fault = '' then 0 else 3 end, 'audit': w.audit || 'K', 'lines': w.lines || chr(10) || role || ':' || text}
+      from twice t join judged j on j.conv_id is not distinct from t.conv_id and j.i = t.i + 1 where fault in ('', 'truncated') and q || r in ('0s', '0u', 'su', 'ua', 'au')
+    )
+    select conv_id, i, q, min(w) as w from moved group by conv_id, i, q
+  )
+), ended as (
+  select b.conv_id, q, w from best b join faults f on f.conv_id is not distinct from b.conv_id and f.n = b.i
+  union all select b.conv_id, 'a', {'cost': w.cost + 3, 'audit': w.audit || 'I', 'lines': w.lines || chr(10) || 'assistant:'} from best b join faults f on f.conv_id is not distinct from b.conv_id and f.n = b.i where q = 'u'
+  union all select b.conv_id, 'a', {'cost': w.cost + 6, 'audit': w.audit || 'II', 'lines': w.lines || chr(10) || 'user:' || chr(10) || 'assistant:'} from best b join faults f on f.conv_id is not distinct from b.conv_id and f.n = b.i where q in ('0', 's')
+), done as (select conv_id, min(w) as w from ended where q in ('0', 'a') group by conv_id)
+select c.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate, coalesce(truncated, 0)::bigint as truncated,
+  coalesce(illegal, 0)::bigint as illegal, coalesce(w.cost, 0)::bigint as cost, coalesce(w.audit, '') as audit, sha256(coalesce(substr(w.lines, 2), '')) as repaired_sha256
+from (select distinct conv_id from conversations) c left join faults f on f.conv_id is not distinct from c.conv_id left join done d on d.conv_id is not distinct from c.conv_id
+"""
+
+
+@query("op12_conv_repair", _OP12)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = read(spark, sf_dir, "conversations")
+    return conv_repair.repair(conv_repair.damage(own), own)
+
+
 @query("op13_pieces")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), keep_ids=False)

@@ -21,7 +21,7 @@ def test_query_equals_its_sql(spark, sf_dir, name):
 
 def test_all_operators_are_registered():
     named = entry.queries()
-    assert all(sum(q.startswith(f"op{n}_") for q in named) == 1 for n in range(1, 11)) and "pipeline" in named
+    assert all(sum(q.startswith(f"op{n}_") for q in named) == 1 for n in range(1, 14)) and "pipeline" in named
 
 
 def test_pipeline(spark, sf_dir):
