@@ -71,7 +71,8 @@ def contained_items(
 
     Containment is the share of the item's distinct shingles of ``size`` words that the document has too (A-Z lower-cased;
     fewer words make one shingle). Null or empty texts contain nothing and are contained in nothing. Rows without id
-    are left out; rows of one document are judged each, and the larger share counts; of rows of one item any one is taken. Other columns are not read; an empty side gives an empty result.
+    are left out; rows of one document are judged each, and the larger share counts; of rows of one item the least text is taken.
+    Other columns are not read; an empty side gives an empty result.
 
     Items of fewer than ``SHORT`` distinct shingles meet every distinct shingle hash of the documents; shared ones are
     counted per document and item, so none is missed. Longer items meet sketches. A document's sketch has one minimum for
@@ -82,8 +83,9 @@ def contained_items(
     sides as strings. Documents never meet each other. Hashes have 64 bits.
     """
     docs, items = docs.filter(F.col(doc_id).isNotNull()), items.filter(F.col(item_id).isNotNull())
-    own_items = items.select(item_id, text).dropDuplicates([item_id])
-    hashed = hashed_shingles(own_items, text, size).withColumn("n", F.size(_distinct()))
+    own_items = items.groupBy(item_id).agg(F.min(F.coalesce(text, F.lit(""))).alias(text))
+    # written, since the filters below would otherwise hash an item again for each of its shingles
+    hashed = staged(hashed_shingles(own_items, text, size), "items").withColumn("n", F.size(_distinct()))
     every = hashed.filter(F.col("n") < SHORT).select(F.lit(0).alias("c"), item_id, F.explode(_distinct()).alias("h"), "n")
     for_class = hashed.filter(F.col("n") >= SHORT).withColumn("c", F.explode(F.sequence(F.lit(1), F.lit(CLASSES))))
     minima = for_class.select("c", item_id, F.explode(_sketch(F.col("c"))).alias("h"), F.lit(None).cast("int").alias("n"))
