@@ -36,7 +36,17 @@ def staged(df: DataFrame, what: str, by: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
     df.write.parquet(path, partitionBy=by)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_in = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Remove what ``staged`` wrote for tables that nothing will read again."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.staged_in)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 # ---- flat views ------------------------------------------------------------------------------------------------------
@@ -176,7 +186,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both = staged(both, "links")
-    state = staged(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")), "labels")
+    before = state = staged(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")), "labels")
     while True:
         near = (
             both.join(state.withColumnRenamed("node", "b").withColumnRenamed("label", "of_b"), "b")
@@ -190,6 +200,8 @@ def components(links: DataFrame) -> DataFrame:
             "node", F.coalesce(F.least("low", "up"), "low").alias("label"), (F.coalesce(F.least("low", "up"), "low") != F.col("label")).alias("moved")
         )
         jumped = staged(jumped, "labels")
-        state = jumped.select("node", "label")
+        dropped(before)
+        before, state = jumped, jumped.select("node", "label")
         if jumped.filter("moved").isEmpty():
+            dropped(both)
             return state

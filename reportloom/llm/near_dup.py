@@ -7,12 +7,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, components, flat, mix, parts, shingles, signed, staged, words
+from .common import chunks, components, dropped, flat, mix, parts, shingles, signed, staged, words
 
 #: Half-bands in each of the two collections, and minhashes in a half-band. A table key is a pair of half-bands, one of
 #: each collection: HALVES ** 2 tables of 2 * ROWS minhashes from 2 * HALVES * ROWS minhashes (64 tables from 48, not 384).
 HALVES, ROWS = 8, 3
 
+#: Bits of a set's parity map: bit k is set if an odd number of its shingles hash to k.
+PARITY_BITS = 1024
+#: A class of exact copies with more than this share of all rows is hot; there are fewer than HOT_CLASSES of them.
+HOT_CLASSES = 1000
+
 _rng = np.random.default_rng(20240229)
 _XOR = _rng.integers(0, 1 << 63, 2 * HALVES * ROWS, dtype=np.uint64)
 _ODD = _rng.integers(0, 1 << 63, 2 * HALVES * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -59,8 +64,16 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
+def parity_map(sh: np.ndarray, row: np.ndarray, n_rows: int) -> np.ndarray:
+    """(rows, PARITY_BITS / 64) parity maps; two of them differ in at most as many bits as their sets in shingles."""
+    out = np.zeros((n_rows, PARITY_BITS // 64), np.uint64)
+    at = mix(sh ^ np.uint64(0x5DEECE66D)) % np.uint64(PARITY_BITS)
+    np.bitwise_xor.at(out, (row, (at >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (at & np.uint64(63)))
+    return out
+
+
 def shingle_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, set): sorted distinct shingle hashes as bytes."""
+    """(id, set, parity): sorted distinct shingle hashes as bytes, and the parity map."""
 
     def run(batches):
         for batch in parts(batches):
@@ -69,9 +82,11 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 h, row, _, _ = words(data[at[i] : at[j]], at[i : j + 1] - at[i])
                 sh, ends = shingles(h, row, j - i)
                 some = [sh[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i).cast(pa.int64()), pa.array(some, pa.binary())], [id_col, "set"])
+                bits = parity_map(sh, np.repeat(np.arange(j - i), np.diff(ends)), j - i)
+                maps = pa.FixedSizeListArray.from_arrays(pa.array(signed(bits.ravel())), PARITY_BITS // 64).cast(pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i).cast(pa.int64()), pa.array(some, pa.binary()), maps], [id_col, "set", "parity"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"{id_col} bigint, set binary")
+    return docs.select(id_col, text_col).mapInArrow(run, f"{id_col} bigint, set binary, parity array<bigint>")
 
 
 def confirm(edges: DataFrame, sets: DataFrame, id_col: str, percent: int) -> DataFrame:
@@ -131,6 +146,23 @@ _FIRST_TABLE = " and ".join(
 )
 
 
+#: Bits in which the parity maps of a pair differ: no more than the shingles that only one of both has.
+_APART = " + ".join(f"bit_count(parity[{k}] ^ parity_p[{k}])" for k in range(PARITY_BITS // 64))
+
+
+def expanded(docs: DataFrame, classes: DataFrame, n_docs: int) -> DataFrame:
+    """Rows of ``docs`` with what ``classes`` (set_a, set_b, n_shingles, copies, ...) says of their set, if anything.
+
+    Classes with a thousandth of all rows or more are broadcast: there are at most a thousand, so that a class with a third of
+    all rows is met where its rows lie. The others are shuffled.
+    """
+    name = ["set_a", "set_b", "n_shingles"]
+    hot = F.col("copies") * HOT_CLASSES >= n_docs
+    large, small = F.broadcast(classes.filter(hot)), classes.filter(~hot)
+    few = docs.join(large.select(*name), name, "left_anti").join(small, name, "left")
+    return docs.join(large, name).unionByName(few)
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id (smallest id reachable over links), kept (id = component_id).
 
@@ -147,15 +179,16 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
        takes most false collisions out before any pair is formed.
     4. A bucket is compared with one pivot, so a group of any size that hangs together costs one comparison a member.
        Buckets that are not one component go on with further pivots, sixteen times as many each round, against members of
-       other components only that the same bound lets pass, and each pair only in the first table that both share, until a
-       bucket is one component or all its members were pivots. So links between members are found or implied.
+       other components only, and each pair only in the first table that both share, until a bucket is one component or all
+       its members were pivots. So links between members are found or implied. A pair leaves the join only if the same bound
+       and its parity maps let it pass: maps differ in no more bits than the sets in shingles, so near misses, which differ in
+       more than the limit, go inside the join and no link is lost.
     5. Candidates are confirmed on the full sets; links become components by label passing in the shared folder.
     """
     docs = docs.filter(F.col(id_col).isNotNull())
     sig = staged(signatures(docs, id_col, text_col), "signatures")
-    classes = sig.filter("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles").agg(F.min(id_col).alias("rep"))
-    named = sig.join(classes, ["set_a", "set_b", "n_shingles"], "left")
-    reps = named.filter(F.col(id_col) == F.col("rep")).select("rep", "half").dropDuplicates(["rep"])
+    classes = staged(sig.filter("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles").agg(F.min(id_col).alias("rep"), F.count("*").alias("copies")), "classes")
+    reps = sig.join(classes.select(F.col("rep").alias(id_col)), id_col, "left_semi").select(F.col(id_col).alias("rep"), "half").dropDuplicates(["rep"])
 
     first = reps.select("rep", F.posexplode(F.slice("half", 1, HALVES)).alias("i", "key"))
     shared = first.groupBy("i", "key").agg(F.count("*").alias("n")).filter("n > 1").select("i", "key")
@@ -177,7 +210,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     first_pivot = members.groupBy("key").agg(F.max_by("rep", F.struct(F.col("c") / F.col("n"), -F.col("rep"))).alias("p"))
     edges = members.join(first_pivot, "key").filter("rep <> p").select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")).distinct()
     tested = staged(confirm(edges, sets, id_col, percent), "tested")
-    halves = reps.select("rep", "half")
+    halves, maps = reps.select("rep", "half"), sets.select(F.col(id_col).alias("rep"), "parity")
     done, pivots, left = 0, 4, None
     while True:
         if left is None:  # there are new links
@@ -185,17 +218,17 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
             placed = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
             mixed = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
             ranked = placed.join(mixed, "key").withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(F.desc(F.expr("c / n")), "rep")))
-            left = staged(ranked.join(halves, "rep"), "mixed")
+            left = staged(ranked.join(halves, "rep").join(maps, "rep"), "mixed")
             longest = left.agg(F.max("rank")).first()[0] or 0
         # the last of a bucket has been compared with all before it
         if done + 1 >= longest:
             break
-        chosen = left.filter((F.col("rank") > done) & (F.col("rank") <= pivots)).select("key", *[F.col(c).alias(f"{c}_p") for c in ("rep", "label", "n", "c", "rank", "half")])
+        chosen = left.filter((F.col("rank") > done) & (F.col("rank") <= pivots)).select("key", *[F.col(c).alias(f"{c}_p") for c in ("rep", "label", "n", "c", "rank", "half", "parity")])
         low = F.least("c", "c_p")
         fits = (F.col("label") != F.col("label_p")) & (F.col("rank") > F.col("rank_p")) & (100 * low >= percent * (F.col("n") + F.col("n_p") - low))
         tries = (
             left.join(chosen, "key")
-            .filter(fits & F.expr(_FIRST_TABLE))
+            .filter(fits & F.expr(_FIRST_TABLE) & (F.expr(_APART) * (100 + percent) <= (F.col("n") + F.col("n_p")) * (100 - percent)))
             .select(F.least("rep", "rep_p").alias("a"), F.greatest("rep", "rep_p").alias("b"))
             .join(tested.select("a", "b"), ["a", "b"], "left_anti")
         )
@@ -204,9 +237,6 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
         if not more.filter("linked").isEmpty():
             left = None
         done, pivots = pivots, pivots * 16
-    reach = labels.withColumnRenamed("node", "rep")
-    return (
-        named.join(reach, "rep", "left")
-        .select(id_col, "n_shingles", F.coalesce("label", "rep", F.col(id_col)).alias("component_id"))
-        .withColumn("kept", F.col(id_col) == F.col("component_id"))
-    )
+    of_class = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("set_a", "set_b", "n_shingles", "copies", F.coalesce("label", "rep").alias("component_id"))
+    rows = expanded(sig.select(id_col, "set_a", "set_b", "n_shingles"), of_class, sig.count())
+    return rows.select(id_col, "n_shingles", F.coalesce("component_id", F.col(id_col)).alias("component_id")).withColumn("kept", F.col(id_col) == F.col("component_id"))
