@@ -56,6 +56,44 @@ def test_near_duplicates_of_odd_rows(odd_docs, no_docs):
     assert near_dup.near_duplicates(no_docs).count() == 0
 
 
+def test_parity_maps_never_differ_more_than_their_sets():
+    rnd = np.random.default_rng(2)
+    sets = [np.sort(rnd.choice(1 << 40, rnd.integers(0, 900), replace=False)).astype(np.uint64) for _ in range(40)]
+    sets += [np.union1d(x[::2], y[:5]) for x, y in zip(sets, sets[1:])]
+    rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    maps = near_dup.parity_map(np.concatenate(sets), rows, len(sets))
+    apart = lambda a, b: sum(int(x).bit_count() for x in maps[a] ^ maps[b])
+    for a in range(len(sets)):
+        for b in range(a):
+            differ = len(np.setxor1d(sets[a], sets[b]))
+            assert apart(a, b) <= differ and (differ > 100 or apart(a, b) >= differ * 0.7)
+
+
+def test_near_misses_of_a_large_group_leave_inside_the_join(spark, monkeypatch):
+    """Copies with three own words each are close to 80 % and mostly below: confirmed pairs stay near the number of members."""
+    tested = []
+    confirm = near_dup.confirm
+    monkeypatch.setattr(near_dup, "confirm", lambda edges, *a: tested.append(edges.count()) or confirm(edges, *a))
+    counts = {}
+    for size in (150, 300):
+        rnd = random.Random(size)
+        base = [rnd.choice(VOCAB) for _ in range(120)]
+        rows = [(i, " ".join(changed(base, 3, rnd))) for i in range(size)]
+        tested.clear()
+        got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), 80)
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == near(rows, 80)
+        counts[size] = sum(tested[1:])  # the rounds after the first pivot
+    assert counts[300] <= 300
+
+
+@pytest.mark.parametrize("hot", [1, 3, 1000])
+def test_classes_of_any_size_reach_their_rows(spark, monkeypatch, hot):
+    monkeypatch.setattr(near_dup, "HOT_CLASSES", hot)
+    rows = [(i, "the same text in a third of all rows of it" if i % 3 == 0 else f"text number {i % 11} of several that are told often {i % 11}" if i % 3 == 1 else "") for i in range(60)]
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5), 85)
+    assert sorted((r.doc_id, (r.n_shingles, r.component_id)) for r in got.collect()) == sorted(near(rows, 85).items())
+
+
 @pytest.mark.parametrize("alphabet,depth", [(1, 20), (2, 40), (3, 33), (26, 8), (256, 100)])
 def test_suffix_array(alphabet, depth):
     rnd = np.random.default_rng(alphabet)
@@ -113,6 +151,28 @@ def test_containment(spark, odd_docs, no_docs):
     assert "Python" not in decontam.contained_items(one, two)._jdf.queryExecution().toString()
 
 
+def test_a_long_item_and_repeated_items(spark):
+    long = " ".join(f"w{k % 700}x{k}" for k in range(2000))
+    items = spark.createDataFrame([(1, long), (2, "z y x w v u t"), (2, "a b c d e f g h"), (3, None), (3, "one two three four five six")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"before {long} after"), (2, "a b c d e f g h"), (3, "z y x w v u t"), (4, "one two three four five six")], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.n_shingles for r in decontam.contained_items(docs, items).collect()}
+    # of the rows of one item the least text is taken, an empty one before others
+    assert got == {(1, 1): 1996, (2, 2): 4}
+
+
+def test_items_are_hashed_once(spark, monkeypatch):
+    """No filter pulls the hashing of an item into itself: it stands in the plan that is stored, and in no other."""
+    plans = []
+    staged = decontam.staged
+    monkeypatch.setattr(decontam, "staged", lambda df, what: plans.append((what, df._jdf.queryExecution().optimizedPlan().toString())) or staged(df, what))
+    items = spark.createDataFrame([(1, "a b c d e f g h"), (2, " ".join(f"w{k}" for k in range(60)))], "item_id long, text string")
+    decontam.contained_items(items.withColumnRenamed("item_id", "doc_id"), items).collect()
+    (stored,) = [p for what, p in plans if what == "items"]
+    assert stored.count("xxhash64") >= 2
+    for what, plan in plans:
+        assert not any("xxhash64" in line for line in plan.splitlines() if "Filter" in line and "item_id" in line), what
+
+
 @pytest.mark.parametrize("broadcast_rows", [decontam.BROADCAST_ROWS, 200, 0])
 def test_short_items_in_long_documents(spark, monkeypatch, broadcast_rows):
     monkeypatch.setattr(decontam, "BROADCAST_ROWS", broadcast_rows)
