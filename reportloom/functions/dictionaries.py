@@ -4,24 +4,52 @@ A dictionary is a DataFrame with one distinct ``word`` per row and any payload
 columns. Up to ``INLINE_ROWS`` rows (counted before anything is collected) it
 becomes one literal map and the test runs inside the projection: no shuffle, no
 join. A larger dictionary is joined on short pieces of text, so
-neither side is ever held whole by a task or by the driver.
+neither side is ever held whole by a task or by the driver. Its words lie under
+one piece each; a Bloom filter of these pieces, of bounded size, keeps all other
+pieces of a text from leaving it.
 """
 
 from __future__ import annotations
 
 import json
 from dataclasses import dataclass
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import shared_dir
 from .lists import let
 from .text import sql_text
 
 INLINE_ROWS = 4096
 PAIR = 2
 GRAM = 3
+#: Bits of the filter: so many per piece, a power of two, and never more than 512 KB of the plan.
+BITS_PER_PIECE = 16
+LEAST_BITS, MOST_BITS = 1 << 10, 1 << 22
+
+
+@dataclass(frozen=True)
+class Anchors:
+    """The entries of a large dictionary, each under one piece of its word, and what a task needs to tell such pieces."""
+
+    table: DataFrame
+    sizes: tuple[int, ...]
+    words: tuple[int, ...]
+
+    def may_have(self, piece: Column) -> Column:
+        """False only for pieces that no entry lies under; true by mistake for few others."""
+        bits = F.from_json(F.lit(json.dumps(self.words)), "array<bigint>")
+        at = _places(piece, len(self.words) * 64)
+        return reduce(lambda a, b: a & b, [F.getbit(bits[F.shiftright(x, 6)], x % 64) == 1 for x in at])
+
+
+def _places(piece: Column, n_bits: int) -> list[Column]:
+    """The two bits of a piece."""
+    h = F.xxhash64(piece)
+    return [F.pmod(x, F.lit(n_bits)).cast("int") for x in (h, F.shiftright(h, 32))]
 
 
 @dataclass(frozen=True)
@@ -36,6 +64,32 @@ class Dictionary:
     def inline(self) -> bool:
         return self.rows is not None
 
+    @cached_property
+    def anchors(self) -> Anchors:
+        """Built once, when a large dictionary is first used, and kept in the shared folder.
+
+        Every word lies under that piece of ``GRAM`` characters (all of it when it is shorter) which the fewest words
+        share, so a beginning common to a third of the words does not matter.
+        """
+        words = self.table.select(F.struct(*self.entry.names).alias("entry")).where("entry.word <> ''")
+        pieces = words.select("entry", F.explode(pieces_of(F.col("entry.word"))).alias("_gram"))
+        shared = pieces.groupBy("_gram").agg(F.count("*").alias("n"))
+        fewest = pieces.join(shared, "_gram").groupBy("entry").agg(F.min_by("_gram", F.struct("n", "_gram")).alias("_gram"))
+        shared_dir(self.table.sparkSession)
+        table = fewest.checkpoint()
+        used = table.select("_gram").distinct()
+        lengths = used.groupBy(F.length("_gram").alias("size")).agg(F.count("*").alias("n")).collect()
+        n_bits = LEAST_BITS
+        while n_bits < min(MOST_BITS, BITS_PER_PIECE * sum(r["n"] for r in lengths)):
+            n_bits *= 2
+        placed = used.select(F.explode(F.array(*_places(F.col("_gram"), n_bits))).alias("at"))
+        # one row per 64 bits of the filter at most
+        found = placed.groupBy(F.shiftright("at", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, at % 64))").alias("bits")).collect()
+        bits = [0] * (n_bits // 64)
+        for r in found:
+            bits[r["word"]] = r["bits"]
+        return Anchors(table, tuple(sorted(r["size"] for r in lengths)), tuple(bits))
+
     def hits(self, text: str, field: str = "word") -> Column:
         """Entries whose ``field`` occurs in the column named ``text``.
 
@@ -88,38 +142,57 @@ def _grams(text: Column, size: int) -> Column:
     return F.when(last >= 1, F.array_distinct(pieces)).otherwise(F.array().cast("array<string>"))
 
 
-def nominated(df: DataFrame, key: str, text: str, dictionary: Dictionary, out: str) -> DataFrame:
-    """(key, out): per text the entries that share their piece with it; whether they occur whole is tested by the caller.
+def grams_of(text: Column) -> Column:
+    """All distinct pieces of up to ``GRAM`` characters of a text."""
+    return F.flatten(F.array(*[_grams(text, n) for n in range(1, GRAM + 1)]))
+
+
+def pieces_of(word: Column) -> Column:
+    """The pieces that a word may lie under: those of ``GRAM`` characters, or all of a shorter word."""
+    size = F.least(F.length(word), F.lit(GRAM))
+    spots = F.sequence(F.lit(1), F.length(word) - size + 1)
+    return F.array_distinct(F.transform(spots, lambda p: F.substr(word, p, size)))
+
+
+def nominated(df: DataFrame, key: str, text: str, dictionaries: dict[str, Dictionary]) -> DataFrame:
+    """(key, one list per dictionary): per text the entries that lie under one of its pieces; whether they occur whole is tested by the caller.
 
-    Every word is keyed by that piece of ``GRAM`` characters (all of it when it
-    is shorter) which the fewest words share, so a beginning common to a third
-    of the words does not matter. A text sends its key and its pieces, never
-    itself. ``key`` must be unique. The join is a merge join by hint: exploded
-    pieces have no honest size estimate and must not be broadcast; AQE splits
-    pieces that many texts have.
+    A text sends its key and those of its pieces that an entry may lie under,
+    never itself, and once for all dictionaries. ``key`` must be unique. The
+    join is a merge join by hint: exploded pieces have no honest size estimate
+    and must not be broadcast; AQE splits pieces that many texts have.
     """
-    grams = F.array_distinct(F.flatten(F.array(*[_grams(F.col(text), n) for n in range(1, GRAM + 1)])))
-    left = df.select(key, F.explode(grams).alias("_gram"))
-    words = dictionary.table.select(F.struct(*dictionary.entry.names).alias("entry")).where("entry.word <> ''")
-    size = F.least(F.length("entry.word"), F.lit(GRAM))
-    spots = F.sequence(F.lit(1), F.length("entry.word") - size + 1)
-    pieces = words.select(
-        "entry", F.explode(F.array_distinct(F.transform(spots, lambda p: F.substr("entry.word", p, size)))).alias("_gram")
-    )
-    shared = pieces.groupBy("_gram").agg(F.count("*").alias("n"))
-    right = pieces.join(shared, "_gram").groupBy("entry").agg(F.min_by("_gram", F.struct("n", "_gram")).alias("_gram"))
-    return left.join(right.hint("merge"), "_gram").groupBy(key).agg(F.collect_list("entry").alias(out))
+    built = {out: d.anchors for out, d in dictionaries.items()}
+    sizes = sorted({n for a in built.values() for n in a.sizes}) or [GRAM]
+    grams = F.flatten(F.array(*[_grams(F.col(text), n) for n in sizes]))
+    wanted = lambda g: reduce(lambda a, b: a | b, [a.may_have(g) for a in built.values()])
+    left = df.select(key, F.explode(F.filter(grams, wanted)).alias("_gram"))
+    entry = lambda out, of: F.col("entry") if out == of else F.lit(None).cast(dictionaries[of].entry)
+    sides = [a.table.select("_gram", *[entry(out, of).alias(of) for of in built]) for out, a in built.items()]
+    right = reduce(DataFrame.unionByName, sides)
+    return left.join(right.hint("merge"), "_gram").groupBy(key).agg(*[F.collect_list(out).alias(out) for out in built])
 
 
 def with_contained(df: DataFrame, key: str, text: str, dictionary: Dictionary, out: str) -> DataFrame:
-    """Add ``out``: the dictionary entries whose word the text contains.
+    """Add ``out``: the dictionary entries whose word the text contains."""
+    return with_all_contained(df, key, text, {out: dictionary})
+
+
+def with_all_contained(df: DataFrame, key: str, text: str, dictionaries: dict[str, Dictionary]) -> DataFrame:
+    """Add one column per dictionary: its entries whose word the text contains.
 
     ``key`` must be unique. The number of words inside one text is bounded by
-    the text, so collecting them per key is bounded too.
+    the text, so collecting them per key is bounded too. Large dictionaries are
+    met together, in one join.
     """
-    if dictionary.inline:
-        return df.withColumn(out, dictionary.hits(text))
-    empty = F.array().cast(T.ArrayType(dictionary.entry))
-    some = df.join(nominated(df, key, text, dictionary, "_some"), key, "left")
-    whole = let(F.col(text), lambda t: F.filter(F.coalesce("_some", empty), lambda e: F.contains(t, e["word"])))
-    return some.withColumn(out, whole).drop("_some")
+    large = {out: d for out, d in dictionaries.items() if not d.inline}
+    if large:
+        df = df.join(nominated(df, key, text, {f"_some_{out}": d for out, d in large.items()}), key, "left")
+
+    def found(out: str, d: Dictionary) -> Column:
+        if d.inline:
+            return d.hits(text)
+        some = F.coalesce(f"_some_{out}", F.array().cast(T.ArrayType(d.entry)))
+        return let(F.col(text), lambda t: F.filter(some, lambda e: F.contains(t, e["word"])))
+
+    return df.withColumns({out: found(out, d) for out, d in dictionaries.items()}).drop(*[f"_some_{out}" for out in large])

@@ -24,9 +24,9 @@ def titled(title: Column) -> Column:
     return title.isNotNull() & (title != "")
 
 
-def _untagged_titles(reports: DataFrame) -> DataFrame:
+def _untagged_titles(reports: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return reports.where(untagged(F.col("tags")) & titled(F.col("article_title"))).select(
-        "report_id", "firm_nm", "article_title"
+        "report_id", "firm_nm", "article_title", *keep
     )
 
 
@@ -40,10 +40,14 @@ def not_yet_processed(reports: DataFrame, ledger: DataFrame, rule_version: str)
 
 
 def pending_reports(
-    reports: DataFrame, n: int | None = None, ledger: DataFrame | None = None, rule_version: str | None = None
+    reports: DataFrame,
+    n: int | None = None,
+    ledger: DataFrame | None = None,
+    rule_version: str | None = None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """All untagged titled reports, or with ``n`` the newest ones by id."""
-    rows = _untagged_titles(reports)
+    """All untagged titled reports, or with ``n`` the newest ones by id; ``keep`` names further columns to carry along."""
+    rows = _untagged_titles(reports, keep)
     if ledger is not None:
         rows = not_yet_processed(rows, ledger, rule_version)
     return rows if n is None else rows.orderBy(F.desc("report_id")).limit(n)

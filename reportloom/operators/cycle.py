@@ -5,25 +5,34 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
+from ..sources.snapshots import Snapshots, among, read_if_there
 from . import candidates as C
 from . import enrich as N
 from . import merging as U
+from . import quality as V
 
 LEDGER = "report_id bigint, rule_version string, enriched_at timestamp"
 MONTH = "reg_month"
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """The ledger, empty before the first cycle."""
-    try:
-        return spark.read.schema(LEDGER).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], LEDGER)
+    """The ledger, empty before the first cycle; a ledger that is there and cannot be read is a fault."""
+    return read_if_there(spark, path, LEDGER)
+
+
+def _updates(
+    reports: DataFrame, ledger: DataFrame, enrich: Callable[[DataFrame], DataFrame], rule_version: str, n: int | None, work: str
+) -> tuple[DataFrame, dict[str, int]]:
+    """The enrichment of what is pending, with the month of each report, written once; and its outcome counts."""
+    pending = C.pending_reports(reports, n, ledger, rule_version, keep=(MONTH,))
+    seen = Observation()
+    counted = U.observed_outcomes(enrich(pending), seen)
+    counted.select("report_id", MONTH, *[f"enriched.{c}" for c in N.TAG_COLUMNS + N.PREMIUM_COLUMNS]).write.parquet(f"{work}/updates")
+    return reports.sparkSession.read.parquet(f"{work}/updates"), dict(seen.get)
 
 
 def run_cycle(
@@ -45,17 +54,12 @@ def run_cycle(
     """
     work = f"{shared_dir(spark)}/cycle-{uuid.uuid4().hex}"
     reports = spark.read.parquet(reports_path)
-    months = reports.select("report_id", F.col(MONTH))
-    pending = C.pending_reports(reports, n, read_ledger(spark, ledger_path), rule_version)
-    N.flatten(enrich(pending)).join(months, "report_id").write.parquet(f"{work}/updates")
-    updates = spark.read.parquet(f"{work}/updates")
+    updates, _ = _updates(reports, read_ledger(spark, ledger_path), enrich, rule_version, n, work)
     # as many values as there are months
     touched = [r[MONTH] for r in updates.select(MONTH).distinct().collect()]
     if not touched:
         return 0
-    dated = [m for m in touched if m is not None]
-    within = F.col(MONTH).isin(dated) if len(dated) == len(touched) else F.col(MONTH).isNull() | F.col(MONTH).isin(dated)
-    merged = U.apply_enrichment(reports.where(within), updates.drop(MONTH))
+    merged = U.apply_enrichment(reports.where(among(F.col(MONTH), touched)), updates.drop(MONTH))
     merged.write.parquet(f"{work}/merged")
     merged = spark.read.schema(merged.schema).parquet(f"{work}/merged")
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(reports_path)
@@ -63,3 +67,46 @@ def run_cycle(
     stored = updates.join(merged.select("report_id"), "report_id", "left_semi")
     U.processed_ledger(stored, rule_version).write.mode("append").parquet(ledger_path)
     return stored.count()
+
+
+#: Tables of a published store, and the column that each is published by.
+STORE = {"reports": MONTH, "ledger": "cycle", "coverage": MONTH, "tag_counts": MONTH}
+
+
+def open_store(spark: SparkSession, path: str) -> Snapshots:
+    return Snapshots(spark, path, STORE)
+
+
+def _derived(reports: DataFrame) -> dict[str, DataFrame]:
+    return {"coverage": V.month_coverage(reports, MONTH), "tag_counts": V.month_tags(reports, MONTH)}
+
+
+def fill_store(store: Snapshots, reports: DataFrame) -> int:
+    """Publish reports that have ``reg_month``, their counts by month and an empty ledger."""
+    months = [r[MONTH] for r in reports.select(MONTH).distinct().collect()]
+    ledger = store.spark.createDataFrame([], f"{LEDGER}, cycle string")
+    return store.publish({"reports": (reports, months), "ledger": (ledger, [])} | {t: (df, months) for t, df in _derived(reports).items()})
+
+
+def publish_cycle(
+    store: Snapshots, enrich: Callable[[DataFrame], DataFrame], rule_version: str, n: int | None = None
+) -> dict[str, int]:
+    """``run_cycle`` over a published store; gives the counts of the batch, taken while it was written.
+
+    Touched months of the reports, their coverage and tag counts and the ledger
+    of this cycle come into force together with one manifest. Whatever happens
+    before that leaves the last version as it was, and the cycle is run again.
+    Counts of other months are not taken anew.
+    """
+    spark, work = store.spark, f"{shared_dir(store.spark)}/cycle-{uuid.uuid4().hex}"
+    reports, ledger = store.read("reports"), store.read("ledger").drop("cycle")
+    updates, counts = _updates(reports, ledger, enrich, rule_version, n, work)
+    touched = [r[MONTH] for r in updates.select(MONTH).distinct().collect()]
+    if touched:
+        merged = U.apply_enrichment(reports.where(among(F.col(MONTH), touched)), updates.drop(MONTH))
+        merged.write.parquet(f"{work}/merged")
+        merged = spark.read.schema(merged.schema).parquet(f"{work}/merged")
+        name = str(store.version() + 1)
+        processed = U.processed_ledger(updates, rule_version).withColumn("cycle", F.lit(name))
+        store.publish({"reports": (merged, touched), "ledger": (processed, [name])} | {t: (df, touched) for t, df in _derived(merged).items()})
+    return counts

@@ -36,14 +36,13 @@ def enrich_titles(
 
     With dictionaries that fit inline this is projections only: no shuffle, no
     join, no Python. A blank title gives the empty result with a note; a null
-    title gives status ``error``. ``compat`` keeps four known oddities of the
+    title gives status ``error``. ``compat`` keeps known oddities of the
     established rules (word edges after punctuation, short Latin sector words,
-    unseparated prices).
+    unseparated prices, tickers of the first five names only).
     """
     t = F.col("_t")
     work = df.withColumn("_t", F.coalesce(strip(F.col(title)), F.lit("")))
-    work = E.with_candidates(work, "_t", lex, "_lex", key)
-    work = D.with_contained(work, key, "_t", sector_words, "_words")
+    work = E.with_candidates(work, "_t", lex, "_lex", key, {"_words": sector_words})
     tag_pack = rules.tag_rules() if tag_pack is None else tag_pack
     action_pack = rules.action_rules() if action_pack is None else action_pack
     work = T.with_rule_text(work, "_t", tag_pack, action_pack)
@@ -64,7 +63,8 @@ def enrich_titles(
     tags = T.suppress_sector_overlap(tags, F.col("_sector"))
     tags = T.suppress_entity_overlap(tags, F.col("_all"))
     tags = T.default_company_tag(tags, F.col("_all"))
-    work = work.withColumns({"_tags": tags, "_tickers": P.tickers(t, F.col("_names"), F.col("_lex"))})
+    named = F.col("_names") if compat else F.col("_all")
+    work = work.withColumns({"_tags": tags, "_tickers": P.tickers(t, named, F.col("_lex"))})
 
     given = F.col(title).isNotNull()
     titled = t != ""

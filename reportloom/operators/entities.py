@@ -31,12 +31,17 @@ LEXICON_SCHEMA = "rank int, word string, code string, sector string, ticker_rank
 # ---- dictionaries -------------------------------------------------------------
 
 
-def lexicon(table: DataFrame, inline_rows: int = D.INLINE_ROWS) -> D.Dictionary:
+def lexicon(table: DataFrame, inline_rows: int = D.INLINE_ROWS, sector_words: DataFrame | None = None) -> D.Dictionary:
     """A name table (rank, word, code, sector, ticker_rank), one row per name.
 
     ``rank`` is null for names that are looked up but never searched for;
-    ``ticker_rank`` is null for names without a code.
+    ``ticker_rank`` is null for names without a code. A name without a sector
+    takes that of the sector word which it is: an alias is a name of a title
+    that does not hold it, so its sector word is not found there.
     """
+    if sector_words is not None:
+        words = sector_words.groupBy("word").agg(F.max("sector").alias("_of_word"))
+        table = table.join(words, "word", "left").withColumn("sector", F.coalesce("sector", "_of_word"))
     # whether a proper beginning of the name is also its end
     ends = F.sequence(F.lit(1), F.greatest(F.length("word") - 1, F.lit(1)))
     bordered = (F.length("word") > 1) & F.exists(ends, lambda n: F.left("word", n) == F.right("word", n))
@@ -62,26 +67,35 @@ def merge_lexicons(first: DataFrame, second: DataFrame) -> DataFrame:
     )
 
 
-def with_candidates(df: DataFrame, title: str, lex: D.Dictionary, out: str, key: str) -> DataFrame:
+def _probe(lex: D.Dictionary) -> D.Dictionary:
+    """A large lexicon by name and by code: a code is searched like a word, and its row carries the real name along."""
+    known = vars(lex)
+    if "probe" not in known:
+        row = F.struct(*lex.entry.names).alias("row")
+        coded = lex.table.where("code is not null").select(F.col("code").alias("word"), row)
+        both = lex.table.select("word", row).unionByName(coded)
+        known["probe"] = D.Dictionary(both, both.schema, None)
+    return known["probe"]
+
+
+def with_candidates(
+    df: DataFrame, title: str, lex: D.Dictionary, out: str, key: str, more: dict[str, D.Dictionary] | None = None
+) -> DataFrame:
     """Add the lexicon rows a title could need: its name or its code is in the title.
 
     Every later step works on this short array only, so it does not matter
-    whether it came from a literal or from a join.
+    whether it came from a literal or from a join. ``more`` names further
+    dictionaries whose entries the title contains; the large ones share a join.
     """
+    more = more or {}
     if lex.inline:
         # in name order, which decides aliases and the order of known names;
         # codes only count inside parentheses
         names, codes = lex.hits(title), lex.hits(title, "code")
         either = F.array_distinct(F.concat(names, codes))
         found = F.when(F.contains(F.col(title), F.lit("(")), either).otherwise(names)
-        return df.withColumn(out, F.array_sort(found))
-    # the code is searched like a word; its row carries the real name along
-    names = lex.entry.names
-    both = lex.table.select("word", F.struct(*names).alias("row")).unionByName(
-        lex.table.where("code is not null").select(F.col("code").alias("word"), F.struct(*names).alias("row"))
-    )
-    probe = D.Dictionary(both, both.schema, None)
-    hits = D.with_contained(df, key, title, probe, "_probed")
+        return D.with_all_contained(df, key, title, more).withColumn(out, F.array_sort(found))
+    hits = D.with_all_contained(df, key, title, {"_probed": _probe(lex)} | more)
     return hits.withColumn(out, F.array_sort(F.array_distinct(F.transform("_probed", lambda e: e["row"])))).drop("_probed")
 
 

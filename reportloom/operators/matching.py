@@ -6,6 +6,10 @@ the report's writers. All four tests are turned into equality: dates and author
 prefixes are expanded on the small summary side and reduced to the best summary
 per key *before* the join. Each report then meets at most one row per company
 in its title, so no day, firm or company can blow the join up.
+
+Companies are looked for in the titles of their own firms and days only: a day of
+few companies sends its titles the list, a day of many is met on short pieces of
+the titles.
 """
 
 from __future__ import annotations
@@ -21,6 +25,8 @@ from .candidates import summaries_missing_url
 LEAST_GAP, MOST_GAP = -3, 5
 BACKLOG_DAYS = 180
 KEYS = ["firm", "day", "company", "writer_key"]
+#: Companies of a firm and day up to which their list is sent to the titles of that day.
+LISTED = 256
 
 
 def day_number(text: Column, compat: bool) -> Column:
@@ -31,7 +37,8 @@ def day_number(text: Column, compat: bool) -> Column:
     return F.unix_date(F.try_to_date(digits, "yyyyMMdd"))
 
 
-def _report_side(reports: DataFrame, compat: bool) -> DataFrame:
+def report_side(reports: DataFrame, compat: bool = False) -> DataFrame:
+    """Unlinked titled reports as (report_id, firm, day, writer_key, article_title)."""
     writer = F.coalesce(F.col("writer"), F.lit(""))
     return reports.where(F.col("linked_summary_id").isNull() & ~is_blank(F.col("article_title"))).select(
         "report_id",
@@ -60,15 +67,33 @@ def _writer_keys(reports: DataFrame, authors: DataFrame) -> DataFrame:
     return named.unionByName(authors.select("firm", "author", F.lit("").alias("writer_key")))
 
 
-def _summary_side(summaries: DataFrame, reports: DataFrame, compat: bool) -> DataFrame:
-    """One row per (firm, day, company, writer_key): the best summary and how many fit."""
-    rows = summaries.where(~is_blank(F.col("company_name"))).select(
+def summary_rows(summaries: DataFrame, compat: bool = False) -> DataFrame:
+    """Dated summaries of a company as (firm, summary_day, company, author, summary_id)."""
+    return summaries.where(~is_blank(F.col("company_name"))).select(
         F.col("provider").alias("firm"),
         day_number(F.col("report_date"), compat).alias("summary_day"),
         F.col("company_name").alias("company"),
         F.coalesce("author", F.lit("")).alias("author"),
         "summary_id",
     ).where("summary_day is not null")
+
+
+def summary_days(summaries: DataFrame) -> DataFrame:
+    """Each summary under every day whose reports it may fit, with the distance in days."""
+    gaps = F.explode(F.sequence(F.lit(LEAST_GAP), F.lit(MOST_GAP)))
+    spread = summary_rows(summaries).select("firm", "company", "author", "summary_id", "summary_day", gaps.alias("_gap"))
+    return spread.select("firm", "company", "author", "summary_id", F.abs("_gap").alias("gap"), (F.col("summary_day") + F.col("_gap")).alias("day"))
+
+
+def best_pairs(pairs: DataFrame) -> DataFrame:
+    """(report_id, summary_id, gap, n_fitting) of fitting pairs (report_id, summary_id, gap): the nearest in time, then the lowest id."""
+    best = pairs.groupBy("report_id").agg(F.min(F.struct("gap", "summary_id")).alias("best"), F.count("*").alias("n_fitting"))
+    return best.select("report_id", "best.summary_id", "best.gap", "n_fitting")
+
+
+def _summary_side(summaries: DataFrame, reports: DataFrame, compat: bool) -> DataFrame:
+    """One row per (firm, day, company, writer_key): the best summary and how many fit."""
+    rows = summary_rows(summaries, compat)
     # copies that differ in id only: the lowest id stands for all
     rows = rows.groupBy("firm", "summary_day", "company", "author").agg(
         F.min("summary_id").alias("summary_id"), F.count("*").alias("n")
@@ -83,30 +108,56 @@ def _summary_side(summaries: DataFrame, reports: DataFrame, compat: bool) -> Dat
     )
 
 
+def _company_hits(side: DataFrame, fitting: DataFrame, listed: int) -> DataFrame:
+    """The report side with each company of its firm and day that its title contains, one row each."""
+    companies = fitting.select("firm", "day", "company").distinct()
+    days = companies.groupBy("firm", "day")
+    sizes = days.agg(F.count("*").alias("_n"))
+    few = companies.join(sizes.where(F.col("_n") <= listed).drop("_n"), ["firm", "day"])
+    lists = few.groupBy("firm", "day").agg(F.collect_list("company").alias("_companies"))
+    held = F.filter("_companies", lambda c: F.contains("article_title", c))
+    # outer, for otherwise a filter on the list is derived and it is computed twice
+    by_list = side.join(lists, ["firm", "day"]).select("report_id", "firm", "day", "writer_key", F.explode_outer(held).alias("company"))
+    many = sizes.where(F.col("_n") > listed).drop("_n")
+    by_piece = _hits_by_piece(side.join(many, ["firm", "day"], "left_semi"), companies.join(many, ["firm", "day"], "left_semi"))
+    return by_list.where("company is not null").unionByName(by_piece)
+
+
+def _hits_by_piece(side: DataFrame, companies: DataFrame) -> DataFrame:
+    """The same for days of many companies: each lies under that piece of its name which the fewest of its day share."""
+    day = ["firm", "day"]
+    pieces = companies.select(*day, "company", F.explode(D.pieces_of(F.col("company"))).alias("_gram"))
+    shared = pieces.groupBy(*day, "_gram").agg(F.count("*").alias("n"))
+    lying = pieces.join(shared, [*day, "_gram"]).groupBy(*day, "company").agg(F.min_by("_gram", F.struct("n", "_gram")).alias("_gram"))
+    titles = side.select("report_id", *day, F.explode(D.grams_of(F.col("article_title"))).alias("_gram"))
+    some = titles.join(lying.hint("merge"), [*day, "_gram"]).select("report_id", "company")
+    found = side.join(some, "report_id").where(F.contains("article_title", "company"))
+    return found.select("report_id", *day, "writer_key", "company")
+
+
 def match_summaries(
     reports: DataFrame,
     summaries: DataFrame,
     first_day: str | None = None,
     last_day: str | None = None,
     compat: bool = False,
-    inline_rows: int = D.INLINE_ROWS,
+    inline_rows: int = LISTED,
 ) -> DataFrame:
     """(report_id, summary_id, gap, n_fitting), one row per matched unlinked report.
 
     Of several fitting summaries the one nearest in time wins, then the lowest
     id. ``first_day``/``last_day`` (YYYYMMDD) bound the report date. ``compat``
-    subtracts YYYYMMDD numbers, which loses matches across month ends.
+    subtracts YYYYMMDD numbers, which loses matches across month ends. Nothing
+    runs before the result is asked for. Days of a firm with more companies than
+    ``inline_rows`` are met by pieces.
     """
     if first_day is not None:
         reports = reports.where(F.col("reg_dt") >= first_day)
     if last_day is not None:
         reports = reports.where(F.col("reg_dt") <= last_day)
-    side = _report_side(reports, compat)
-    companies = summaries.where(~is_blank(F.col("company_name"))).select(F.col("company_name").alias("word")).distinct()
-    hits = D.with_contained(side, "report_id", "article_title", D.load(companies, inline_rows), "hits")
-    # outer, for otherwise a filter on the hits is derived and they are computed twice
-    hits = hits.select("report_id", "firm", "day", "writer_key", F.explode_outer("hits.word").alias("company"))
-    joined = hits.join(_summary_side(summaries, side, compat), KEYS)
+    side = report_side(reports, compat)
+    fitting = _summary_side(summaries, side, compat)
+    joined = _company_hits(side, fitting, inline_rows).join(fitting, KEYS)
     return (
         joined.groupBy("report_id")
         .agg(F.min("best").alias("best"), F.sum("n").alias("n_fitting"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .enrich import PREMIUM_COLUMNS, TAG_COLUMNS
@@ -89,13 +89,22 @@ def outcome(column: str = "enriched"):
     return F.when(e["status"] != "success", "errors").when(something, "enriched").otherwise("skipped")
 
 
+OUTCOMES = ("total", "enriched", "skipped", "errors")
+
+
+def _outcome_counts(column: str):
+    state = outcome(column)
+    return F.count("*").alias("total"), *[F.count_if(state == s).alias(s) for s in OUTCOMES[1:]]
+
+
 def batch_outcomes(enriched: DataFrame, column: str = "enriched") -> DataFrame:
     """One row of counts."""
-    state = outcome(column)
-    return enriched.agg(
-        F.count("*").alias("total"),
-        *[F.count_if(state == s).alias(s) for s in ("enriched", "skipped", "errors")],
-    )
+    return enriched.agg(*_outcome_counts(column))
+
+
+def observed_outcomes(enriched: DataFrame, seen: Observation, column: str = "enriched") -> DataFrame:
+    """The same rows; the action that uses them up leaves the counts of ``batch_outcomes`` in ``seen``, without a second run."""
+    return enriched.observe(seen, *_outcome_counts(column))
 
 
 def processed_ledger(updates: DataFrame, rule_version: str) -> DataFrame:

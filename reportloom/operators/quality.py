@@ -48,16 +48,55 @@ def coverage_summary(reports: DataFrame) -> DataFrame:
         F.count_if(F.coalesce(F.size(tags), F.lit(0)) >= 3).alias("three_or_more"),
         F.count_if(untagged(tags)).alias("untagged"),
     )
+    return _with_ratios(counts)
+
+
+def _with_ratios(counts: DataFrame) -> DataFrame:
     pct = lambda c: F.round(F.try_divide(F.col(c) * 100.0, F.col("total")), 4)
     return counts.withColumns({"tagged_pct": pct("tagged"), "untagged_pct": pct("untagged")})
 
 
+# ---- counts by month: only touched months are counted again -----------------------
+
+
+def month_coverage(reports: DataFrame, month: str = "reg_month") -> DataFrame:
+    """One row of mergeable counts per month."""
+    tags = F.col("tags")
+    return reports.groupBy(month).agg(
+        F.count("*").alias("total"),
+        F.count_if(~untagged(tags)).alias("tagged"),
+        F.count_if(F.coalesce(F.size(tags), F.lit(0)) >= 3).alias("three_or_more"),
+        F.count_if(untagged(tags)).alias("untagged"),
+    )
+
+
+def month_tags(reports: DataFrame, month: str = "reg_month") -> DataFrame:
+    """(month, tag, n), exact counts."""
+    return reports.select(month, F.explode_outer("tags").alias("tag")).where("tag is not null").groupBy(month, "tag").agg(F.count("*").alias("n"))
+
+
+def coverage_of_months(counts: DataFrame) -> DataFrame:
+    """``coverage_summary`` from the counts of all months."""
+    sums = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", "tagged", "three_or_more", "untagged")])
+    return _with_ratios(sums)
+
+
+def tag_topk_of_months(before: DataFrame, after: DataFrame, k: int = 20) -> DataFrame:
+    """``tag_topk_delta`` from the tag counts of all months, as they were and as they are."""
+    total = lambda df, out: df.groupBy("tag").agg(F.sum("n").alias(out))
+    return _most_changed(total(before, "n_before"), total(after, "n_after"), k)
+
+
 def tag_topk_delta(before: DataFrame, after: DataFrame, k: int = 20) -> DataFrame:
     """The k most frequent tags with their counts before and after."""
     # outer, for otherwise a filter on the tags is derived and they are computed twice
     tags = lambda df: df.select(F.explode_outer("tags").alias("tag")).where("tag is not null")
     count = lambda df, out: tags(df).groupBy("tag").agg(F.count("*").alias(out))
-    both = count(before, "n_before").join(count(after, "n_after"), "tag", "full").fillna(0, ["n_before", "n_after"])
+    return _most_changed(count(before, "n_before"), count(after, "n_after"), k)
+
+
+def _most_changed(before: DataFrame, after: DataFrame, k: int) -> DataFrame:
+    both = before.join(after, "tag", "full").fillna(0, ["n_before", "n_after"])
     return (
         both.withColumn("change", F.col("n_after") - F.col("n_before"))
         .orderBy(F.desc("n_after"), F.desc("n_before"), "tag")

@@ -20,19 +20,23 @@ from ..sources import adapters as A
 class Tables:
     """The views of one scale factor, built when first asked for."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, inline_rows: int = D.INLINE_ROWS):
-        self.spark, self.sf_dir, self.inline_rows = spark, sf_dir, inline_rows
+    def __init__(self, spark: SparkSession, sf_dir: str, inline_rows: int = D.INLINE_ROWS, named: dict[str, str] | None = None):
+        self.spark, self.sf_dir, self.inline_rows, self.named = spark, sf_dir, inline_rows, named or {}
 
     def joined(self) -> Tables:
         """The same views with dictionaries that are joined, as those beyond ``INLINE_ROWS`` are."""
         return Tables(self.spark, self.sf_dir, 0)
 
+    def companies(self) -> Tables:
+        """Titles of customers and suppliers, and dictionaries of all of them, which grow with the tables; joined at any size."""
+        return Tables(self.spark, self.sf_dir, 0, COMPANIES)
+
     @property
     def cores(self) -> int:
         return self.spark.sparkContext.defaultParallelism
 
     def view(self, name: str) -> DataFrame:
-        return A.view(self.spark, self.sf_dir, name)
+        return A.view(self.spark, self.sf_dir, self.named.get(name, name))
 
     def base(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -51,7 +55,7 @@ class Tables:
         table = self.view("lexicon").select(
             searched.alias("rank"), "word", "code", "sector", F.col("pos").alias("ticker_rank")
         )
-        return E.lexicon(table, self.inline_rows)
+        return E.lexicon(table, self.inline_rows, self.view("sector_words"))
 
     @cached_property
     def sector_words(self) -> D.Dictionary:
@@ -66,6 +70,9 @@ class Tables:
         return N.enrich_titles(df, self.lexicon, self.sector_words, **options)
 
 
+#: The views of titles and dictionaries, and those that take their place for a company table of real size.
+COMPANIES = {"reports": "company_reports", "lexicon": "company_lexicon", "sector_words": "company_words"}
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -90,3 +97,8 @@ def oracle(text: str) -> str:
     if not views:
         return "with " + text[1:].strip() if text.startswith(",") else text
     return f"with {views} {text}"
+
+
+def of_companies(text: str) -> str:
+    """The same SQL over the company views."""
+    return re.sub(rf"\b({'|'.join(COMPANIES)})\b", lambda m: COMPANIES[m[1]], text)

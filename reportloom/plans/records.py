@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.lists import bar
@@ -15,6 +17,7 @@ from ..operators import matching as M
 from ..operators import merging as U
 from ..operators import pages as H
 from ..operators import quality as V
+from ..session import shared_dir
 from . import steps as Q
 from .catalog import Tables, query
 from .titles import SPLIT_SQL, UNTAGGED, flat_enriched, sources
@@ -266,11 +269,6 @@ def _(t: Tables):
     return t.view("report_pages").select("report_id", H.clean_markup(F.col("html")).alias("text"))
 
 
-@query("text_gates_published", "select doc_id as report_id, case when length(text) > 200 then left(text, 10000) end as text from documents")
-def _(t: Tables):
-    return t.base("documents").select(F.col("doc_id").alias("report_id"), H.text_gates(F.col("text"), 200, H.MOST).alias("text"))
-
-
 @query("text_gates", "select doc_id as report_id, case when length(text) > 200 then text end as text from documents")
 def _(t: Tables):
     return t.base("documents").select(F.col("doc_id").alias("report_id"), H.text_gates(F.col("text"), 200).alias("text"))
@@ -327,14 +325,24 @@ def updates(t: Tables) -> DataFrame:
     return N.flatten(t.enriched(spread(pending, "report_id", t.cores)))
 
 
-def applied_sql(new: list[str], base: str = f"select {_STORED} from reports") -> str:
+def _applied(new: list[str], base: str) -> tuple[str, str]:
     cols = ", ".join(
         f"case when e.report_id is not null then e.{c} else o.{c} end as {c}" if c in new else f"o.{c}" for c in _STORED_COLUMNS
     )
-    return Q.ENRICH_STEPS + (
+    steps = Q.ENRICH_STEPS + (
         f", upd as (select e.* from enriched e join reports r using (report_id) where {UNTAGGED.replace('tags', 'r.tags').replace('article_title', 'r.article_title')})"
-        f" select {cols} from ({base}) o left join upd e on e.report_id = o.report_id"
     )
+    return steps, f" select {cols} from ({base}) o left join upd e on e.report_id = o.report_id"
+
+
+def applied_sql(new: list[str], base: str = f"select {_STORED} from reports") -> str:
+    return "".join(_applied(new, base))
+
+
+def applied_steps(new: list[str], base: str = f"select {_STORED} from reports") -> str:
+    """The merged table as a step that more SQL can follow."""
+    steps, select = _applied(new, base)
+    return f"{steps}, applied as ({select}) "
 
 
 @query("apply_enrichment", applied_sql(N.TAG_COLUMNS + N.PREMIUM_COLUMNS))
@@ -589,3 +597,15 @@ def _(t: Tables):
         F.count("*").alias("n_rows"), (F.max(micros) - F.min(micros)).alias("micros")
     )
     return V.throughput_log(per_hour)
+
+
+@query("batch_outcomes_observed", Q.ENRICH_STEPS + """
+select count(*) as total, count(*) filter (status = 'success' and something) as enriched,
+ count(*) filter (status = 'success' and not something) as skipped, count(*) filter (status <> 'success') as errors
+from (select *, tags <> '' or stock_names <> '' or sector <> '' as something from enriched)""")
+def _(t: Tables):
+    """The counts that writing the enrichment leaves behind."""
+    seen = Observation()
+    staged_folder = f"{shared_dir(t.spark)}/observed-{uuid.uuid4().hex}"
+    N.flatten(U.observed_outcomes(t.enriched(), seen)).write.parquet(staged_folder)
+    return t.spark.createDataFrame([tuple(seen.get[c] for c in U.OUTCOMES)], ", ".join(f"{c} bigint" for c in U.OUTCOMES))

@@ -208,7 +208,7 @@ TICKERS = r"""
 )
 , from_names as (
  select n.report_id, l.code from names n join titles t using (report_id) join lexicon l on l.word = n.name
- where n.i <= 5 and not contains(t.title, n.name)
+ where not contains(t.title, n.name)
 )
 , ticker_lists as (
  select report_id, string_agg(code, '|' order by code) as tickers, count(*) as n from (

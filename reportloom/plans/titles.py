@@ -14,7 +14,7 @@ from ..operators import sectors as S
 from ..operators import structured as P
 from ..operators import tags as T
 from . import steps as Q
-from .catalog import Tables, query
+from .catalog import Tables, of_companies, query
 
 UNTAGGED = "(tags is null or len(tags) = 0) and article_title is not null and article_title <> ''"
 
@@ -422,12 +422,12 @@ def _(t: Tables):
 
 @query("tickers_from_entities", _TICKER_STEPS + "select distinct report_id, code as ticker from from_names")
 def _(t: Tables):
-    codes = P.entity_tickers(F.col("title"), T.clip(F.col("names"), E.MAX_NAMES), F.col("lex"))
+    codes = P.entity_tickers(F.col("title"), F.col("names"), F.col("lex"))
     return with_names(t).select("report_id", F.explode(F.array_distinct(codes)).alias("ticker"))
 
 
 def with_tickers(t: Tables) -> DataFrame:
-    codes = P.tickers(F.col("title"), T.clip(F.col("names"), E.MAX_NAMES), F.col("lex"))
+    codes = P.tickers(F.col("title"), F.col("names"), F.col("lex"))
     return with_names(t).withColumn("tickers", codes)
 
 
@@ -496,3 +496,31 @@ def _(t: Tables):
 @query("report_type", _TICKER_STEPS + Q.REPORT_TYPE + "select report_id, report_type from report_types")
 def _(t: Tables):
     return with_tickers(t).select("report_id", P.report_type(F.col("title"), F.col("tickers")).alias("report_type"))
+
+
+# ---- dictionaries that grow with the tables --------------------------------------------
+
+_MENTIONED = every_title("select report_id, string_agg(name, '|' order by i) as stock_names from names group by report_id", "stock_names")
+
+
+@query("entity_mentions_companies", of_companies(Q.ENTITY_STEPS + _MENTIONED))
+def _(t: Tables):
+    own = t.companies()
+    found = E.entity_mentions(own.titles.fillna("", ["article_title"]), own.lexicon)
+    return found.select("report_id", bar(F.col("stock_names")).alias("stock_names"))
+
+
+@query("sector_by_keyword_companies", of_companies(Q.TITLES + Q.word_sector() + every_title("select report_id, sector from word_sector", "sector", "null")))
+def _(t: Tables):
+    return _by_word(t.companies(), False)
+
+
+@query("tickers_companies", of_companies(_TICKER_STEPS + every_title("select report_id, tickers from ticker_lists", "tickers")))
+def _(t: Tables):
+    return with_tickers(t.companies()).select("report_id", bar(F.col("tickers")).alias("tickers"))
+
+
+@query("enrich_titles_companies", of_companies(Q.ENRICH_STEPS + f"select {ENRICHED_COLUMNS} from enriched"))
+def _(t: Tables):
+    own = t.companies()
+    return flat_enriched(own.enriched())

@@ -112,6 +112,46 @@ select word, max(sector) as sector from (
 ) w group by word
 """
 
+# A company table that grows with the data: customers, suppliers (names nested in longer ones) and products by key, with
+# ticker codes; and titles that name them.
+_COMPANY_LEXICON = """
+select cast(row_number() over (order by grp, word) as int) as pos, grp, word, code, sector from (
+ select 0 as grp, 'Cust' || lpad(cast(c_custkey as $text), 6, '0') as word, lpad(cast(c_custkey as $text), 6, '0') as code,
+  case when c_custkey % 3 = 0 then c_mktsegment end as sector from {customer}
+ union all
+ select 1 as grp, 'Supp ' || cast(s_suppkey as $text) as word, '9' || lpad(cast(s_suppkey as $text), 5, '0') as code, cast(null as $text) as sector from {supplier}
+ union all
+ select 2 as grp, 'PK' || lpad(cast(p_partkey as $text), 6, '0') as word, 'P' || lpad(cast(p_partkey as $text), 5, '0') as code, cast(null as $text) as sector from {part}
+) n
+"""
+
+_COMPANY_WORDS = """
+select word, max(sector) as sector from (
+ select 'Cust' || lpad(cast(c_custkey as $text), 6, '0') as word, 'SEG ' || c_mktsegment as sector from {customer} where c_custkey % 2 = 1
+ union all
+ select 'Supp ' || cast(s_suppkey as $text) as word, 'SUPPLY ' || cast(s_nationkey as $text) as sector from {supplier}
+) w group by word
+"""
+
+_COMPANY_REPORTS = """
+select report_id, 'FIRM' || lpad(cast(report_id % 23 as $text), 2, '0') as firm_nm,
+ case when report_id % 101 = 100 then null
+ else case cast(report_id % 6 as int)
+ when 0 then 'Cust' || c0 || ' (' || c0 || '): 목표가 ' || cast(100 + report_id % 800 as $text) || ',000원 상향, 투자의견 매수'
+ when 1 then 'Cust' || c0 || ' vs ' || supp || ' 산업 동향'
+ when 2 then 'Al' || c0 || '(' || c0 || '.KS) Al' || c1 || '(' || c1 || '.KS) Al' || c2 || '(' || c2 || '.KS) Al' || c3 || '(' || c3
+  || '.KS) Al' || c4 || '(' || c4 || '.KS) Al' || c5 || '(' || c5 || '.KS)'
+ when 3 then '[' || 'Cust' || c1 || '/Buy] PK' || c2 || ' Preview'
+ when 4 then 'Daily Brief ' || supp || 'x, Cust' || c0
+ else 'Cust' || c0 || ', Cust' || c1 || ', Cust' || c2 || ', Cust' || c3 || ', Cust' || c4 || ', Cust' || c5 || ' HOLD' end end as article_title
+from (
+ select o_orderkey as report_id, lpad(cast(o_custkey as $text), 6, '0') as c0, lpad(cast(o_custkey + 1 as $text), 6, '0') as c1, lpad(cast(o_custkey + 2 as $text), 6, '0') as c2,
+  lpad(cast(o_custkey + 5 as $text), 6, '0') as c3, lpad(cast(o_custkey + 7 as $text), 6, '0') as c4, lpad(cast(o_custkey + 9 as $text), 6, '0') as c5,
+  'Supp ' || cast(o_orderkey % 1009 as $text) as supp
+ from {orders}
+) o
+"""
+
 _FIRMS = """
 select 'FIRM' || lpad(cast(n_nationkey as $text), 2, '0') as firm_nm, cast(n_nationkey as int) as sec_firm_order
 from {nation}
@@ -137,6 +177,9 @@ VIEWS = {
     "answers": _ANSWERS,
     "lexicon": _LEXICON,
     "sector_words": _SECTOR_WORDS,
+    "company_lexicon": _COMPANY_LEXICON,
+    "company_words": _COMPANY_WORDS,
+    "company_reports": _COMPANY_REPORTS,
     "firms": _FIRMS,
     "raw_pages": _RAW_PAGES,
     "forecast_lines": _FORECASTS,

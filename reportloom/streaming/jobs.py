@@ -7,21 +7,29 @@ starts and stay fixed while it runs.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import candidates as C
 from ..operators import matching as M
+from ..operators import merging as U
+from ..sources.snapshots import among
 
 # Seconds between polls.
 POLL_SECONDS = 30
 
 Enrich = Callable[[DataFrame], DataFrame]
 
+#: Column of the text of a record that does not parse, and of the file it came from.
+CORRUPT, SOURCE = "corrupt_record", "source_file"
+LOG = "batch bigint, n_rows bigint, enriched bigint, skipped bigint, errors bigint, micros bigint"
+
 
 def file_stream(
     spark: SparkSession, path: str, schema, fmt: str = "parquet", name_glob: str | None = None, files_per_trigger: int | None = None
@@ -35,6 +43,21 @@ def file_stream(
     return reader.load(path)
 
 
+def with_corrupt(schema: str | T.StructType) -> T.StructType:
+    """The schema with the column that takes records which do not parse."""
+    known = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    return T.StructType([*known.fields, T.StructField(CORRUPT, T.StringType())])
+
+
+def record_stream(spark: SparkSession, path: str, schema: str | T.StructType, files_per_trigger: int | None = None) -> DataFrame:
+    """JSON lines that arrive in a folder; a line that does not parse is a row too, with its text and its file."""
+    reader = spark.readStream.schema(with_corrupt(schema)).format("json")
+    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.load(path).select("*", F.col("_metadata.file_path").alias(SOURCE))
+
+
 def _start(writer, checkpoint: str, every: int | None) -> StreamingQuery:
     """Poll every ``every`` seconds, or work off what is there and stop."""
     trigger = {"processingTime": f"{every} seconds"} if every else {"availableNow": True}
@@ -46,19 +69,33 @@ def _dealt(df: DataFrame, tasks: int | None, key: str = "report_id") -> DataFram
     return df.repartition(tasks, key) if tasks else df
 
 
-def _by_batch(stream: DataFrame, make: Callable[[DataFrame], DataFrame], path: str, partition_by: str | None = None):
+def _by_batch(
+    stream: DataFrame, make: Callable[[DataFrame], DataFrame], path: str, partition_by: str | None = None, log: str | None = None
+):
     """Each micro-batch writes what ``make`` gives for it to a folder of its own, and overwrites that when it is run again.
 
-    ``make`` sees a table, not a stream, so it may join and group freely: any form of a dictionary works.
+    ``make`` sees a table, not a stream, so it may join and group freely: any form of a dictionary works. With ``log``
+    the batch also leaves a row of outcome counts and its duration; they are taken by the write itself.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        writer = make(batch).write.mode("overwrite")
+        began, seen = time.monotonic(), Observation()
+        done = make(batch)
+        writer = (U.observed_outcomes(done, seen) if log else done).write.mode("overwrite")
         (writer.partitionBy(partition_by) if partition_by else writer).parquet(f"{path}/batch={number}")
+        if log:
+            counts = seen.get
+            row = (number, *[counts[c] for c in U.OUTCOMES], int((time.monotonic() - began) * 1_000_000))
+            batch.sparkSession.createDataFrame([row], LOG).coalesce(1).write.mode("overwrite").parquet(f"{log}/of={number}")
 
     return stream.writeStream.foreachBatch(write)
 
 
+def batch_log(spark: SparkSession, log: str) -> DataFrame:
+    """What the batches of a stream left in ``log``; the input of ``quality.throughput_log``."""
+    return spark.read.schema(f"{LOG}, of int").parquet(log).drop("of")
+
+
 def stream_enrich(
     reports: DataFrame,
     enrich: Enrich,
@@ -66,10 +103,11 @@ def stream_enrich(
     checkpoint: str,
     every: int | None = POLL_SECONDS,
     tasks: int | None = None,
+    log: str | None = None,
 ) -> StreamingQuery:
-    """Enrich the untagged titled reports of a stream, a folder per micro-batch."""
+    """Enrich the untagged titled reports of a stream, a folder per micro-batch; ``log`` names a folder for ``batch_log``."""
     pending = reports.where(C.untagged(F.col("tags")) & C.titled(F.col("article_title")))
-    return _start(_by_batch(pending, lambda batch: enrich(_dealt(batch, tasks)), path), checkpoint, every)
+    return _start(_by_batch(pending, lambda batch: enrich(_dealt(batch, tasks)), path, log=log), checkpoint, every)
 
 
 def stream_on_arrival(
@@ -85,11 +123,21 @@ def stream_on_arrival(
     """Enrich the stored reports whose keys arrive on a stream.
 
     With ``month``, a partition column that both sides have, a micro-batch reads
-    the months it names and no others (dynamic partition pruning).
+    the months it names and no others: the names, as many as there are months,
+    become a partition filter of the scan.
     """
     on = ["key", month] if month else ["key"]
     titled = reports.where(C.titled(F.col("article_title"))).select(*on, "report_id", "firm_nm", "article_title")
-    return _start(_by_batch(keys, lambda batch: enrich(_dealt(batch.join(titled, on), tasks)), path), checkpoint, every)
+
+    def arrived(batch: DataFrame) -> DataFrame:
+        stored = titled
+        if month:
+            stored = titled.where(among(F.col(month), [r[0] for r in batch.select(month).distinct().collect()]))
+            same = (F.col("k.key") == F.col("s.key")) & F.col(f"k.{month}").eqNullSafe(F.col(f"s.{month}"))
+            return enrich(_dealt(batch.select(*on).alias("k").join(stored.alias("s"), same).select("s.*"), tasks))
+        return enrich(_dealt(batch.join(stored, on), tasks))
+
+    return _start(_by_batch(keys, arrived, path), checkpoint, every)
 
 
 def stream_match(
@@ -119,6 +167,32 @@ def stream_match_late(
     return _start(_by_batch(summaries, lambda batch: M.match_summaries(reports, batch, **options), path), checkpoint, every)
 
 
+def stream_match_interval(
+    reports: DataFrame, summaries: DataFrame, path: str, checkpoint: str, every: int | None = POLL_SECONDS, late_days: int = 30
+) -> StreamingQuery:
+    """Join a stream of reports and a stream of summaries; every fitting pair is written once, whichever side comes first.
+
+    Nothing stored is read again: both sides wait in state under (firm, report
+    day), a summary under each of the nine days it may fit. A day leaves the
+    state once both streams have passed it by ``late_days``; rows that come later
+    than that are dropped here, counted in the progress of the query, and left
+    to ``matching.match_backlog``. ``matching.best_pairs`` makes matches of the pairs.
+    """
+    firm_day = lambda df: df.withColumn("day_at", F.date_from_unix_date("day").cast("timestamp"))
+    left = firm_day(M.report_side(reports).where("day is not null")).withWatermark("day_at", f"{late_days} days")
+    # the last of the days of a summary is ahead of the first by the whole interval
+    behind = late_days + M.MOST_GAP - M.LEAST_GAP
+    right = firm_day(M.summary_days(summaries)).withWatermark("day_at", f"{behind} days")
+    fits = (
+        (F.col("r.firm") == F.col("s.firm"))
+        & (F.col("r.day_at") == F.col("s.day_at"))
+        & F.contains("r.article_title", "s.company")
+        & F.startswith("s.author", "r.writer_key")
+    )
+    pairs = left.alias("r").join(right.alias("s"), fits).select("r.report_id", "s.summary_id", "s.gap")
+    return _start(pairs.writeStream.format("parquet").option("path", path), checkpoint, every)
+
+
 def stream_isolation(
     reports: DataFrame,
     enrich: Enrich,
@@ -127,7 +201,26 @@ def stream_isolation(
     every: int | None = POLL_SECONDS,
     tasks: int | None = None,
 ) -> StreamingQuery:
-    """Rows that cannot be processed go to ``route=quarantine`` of their batch, the others to ``route=good``."""
-    route = F.when(F.col("enriched.status") == "success", "good").otherwise("quarantine")
-    routed = lambda batch: enrich(_dealt(batch, tasks)).withColumn("route", route)
-    return _start(_by_batch(reports, routed, path, "route"), checkpoint, every)
+    """Rows that cannot be processed go to ``route=quarantine`` of their batch, the others to ``route=good``.
+
+    Over a ``record_stream`` these are also the records that do not parse. They
+    keep their text and their file, and ``replayed`` takes them up again.
+    """
+    return _start(_by_batch(reports, lambda batch: _routed(enrich(_dealt(batch, tasks))), path, "route"), checkpoint, every)
+
+
+def _routed(done: DataFrame) -> DataFrame:
+    good = F.col("enriched.status") == "success"
+    if CORRUPT in done.columns:
+        good = F.col(CORRUPT).isNull() & good
+        reason = F.when(F.col(CORRUPT).isNotNull(), "not a record").when(~good, F.col("enriched.note"))
+        done = done.withColumn("reason", reason)
+    return done.withColumn("route", F.when(good, "good").otherwise("quarantine"))
+
+
+def replayed(quarantine: DataFrame, schema: str | T.StructType, repair: Callable[[Column], Column], enrich: Enrich) -> DataFrame:
+    """Quarantined records of a ``record_stream`` after ``repair`` of their text, routed like new ones."""
+    torn = quarantine.where(F.col(CORRUPT).isNotNull()).select(repair(F.col(CORRUPT)).alias("text"), SOURCE)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    read = torn.select(F.from_json("text", with_corrupt(schema), options).alias("r"), SOURCE)
+    return _routed(enrich(read.select("r.*", SOURCE)))
