@@ -26,6 +26,8 @@ from .text import sql_text
 INLINE_ROWS = 4096
 PAIR = 2
 GRAM = 3
+#: Characters of the piece that a word of a large dictionary lies under; names that end in numbers share shorter ones.
+ANCHOR = 5
 #: Bits of the filter: so many per piece, a power of two, and never more than 512 KB of the plan.
 BITS_PER_PIECE = 16
 LEAST_BITS, MOST_BITS = 1 << 10, 1 << 22
@@ -68,11 +70,11 @@ class Dictionary:
     def anchors(self) -> Anchors:
         """Built once, when a large dictionary is first used, and kept in the shared folder.
 
-        Every word lies under that piece of ``GRAM`` characters (all of it when it is shorter) which the fewest words
+        Every word lies under that piece of ``ANCHOR`` characters (all of it when it is shorter) which the fewest words
         share, so a beginning common to a third of the words does not matter.
         """
         words = self.table.select(F.struct(*self.entry.names).alias("entry")).where("entry.word <> ''")
-        pieces = words.select("entry", F.explode(pieces_of(F.col("entry.word"))).alias("_gram"))
+        pieces = words.select("entry", F.explode(pieces_of(F.col("entry.word"), ANCHOR)).alias("_gram"))
         shared = pieces.groupBy("_gram").agg(F.count("*").alias("n"))
         fewest = pieces.join(shared, "_gram").groupBy("entry").agg(F.min_by("_gram", F.struct("n", "_gram")).alias("_gram"))
         shared_dir(self.table.sparkSession)
@@ -142,14 +144,14 @@ def _grams(text: Column, size: int) -> Column:
     return F.when(last >= 1, F.array_distinct(pieces)).otherwise(F.array().cast("array<string>"))
 
 
-def grams_of(text: Column) -> Column:
-    """All distinct pieces of up to ``GRAM`` characters of a text."""
-    return F.flatten(F.array(*[_grams(text, n) for n in range(1, GRAM + 1)]))
+def grams_of(text: Column, most: int = GRAM) -> Column:
+    """All distinct pieces of up to ``most`` characters of a text."""
+    return F.flatten(F.array(*[_grams(text, n) for n in range(1, most + 1)]))
 
 
-def pieces_of(word: Column) -> Column:
-    """The pieces that a word may lie under: those of ``GRAM`` characters, or all of a shorter word."""
-    size = F.least(F.length(word), F.lit(GRAM))
+def pieces_of(word: Column, size: int = GRAM) -> Column:
+    """The pieces that a word may lie under: those of ``size`` characters, or all of a shorter word."""
+    size = F.least(F.length(word), F.lit(size))
     spots = F.sequence(F.lit(1), F.length(word) - size + 1)
     return F.array_distinct(F.transform(spots, lambda p: F.substr(word, p, size)))
 
@@ -163,7 +165,7 @@ def nominated(df: DataFrame, key: str, text: str, dictionaries: dict[str, Dictio
     and must not be broadcast; AQE splits pieces that many texts have.
     """
     built = {out: d.anchors for out, d in dictionaries.items()}
-    sizes = sorted({n for a in built.values() for n in a.sizes}) or [GRAM]
+    sizes = sorted({n for a in built.values() for n in a.sizes}) or [ANCHOR]
     grams = F.flatten(F.array(*[_grams(F.col(text), n) for n in sizes]))
     wanted = lambda g: reduce(lambda a, b: a | b, [a.may_have(g) for a in built.values()])
     left = df.select(key, F.explode(F.filter(grams, wanted)).alias("_gram"))

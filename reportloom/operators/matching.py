@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ..functions import dictionaries as D
 from ..functions.text import is_blank
@@ -108,17 +109,21 @@ def _summary_side(summaries: DataFrame, reports: DataFrame, compat: bool) -> Dat
     )
 
 
-def _company_hits(side: DataFrame, fitting: DataFrame, listed: int) -> DataFrame:
+def _company_hits(side: DataFrame, summaries: DataFrame, compat: bool, listed: int) -> DataFrame:
     """The report side with each company of its firm and day that its title contains, one row each."""
-    companies = fitting.select("firm", "day", "company").distinct()
-    days = companies.groupBy("firm", "day")
-    sizes = days.agg(F.count("*").alias("_n"))
-    few = companies.join(sizes.where(F.col("_n") <= listed).drop("_n"), ["firm", "day"])
-    lists = few.groupBy("firm", "day").agg(F.collect_list("company").alias("_companies"))
+    rows = summary_rows(summaries, compat).select("firm", "company", "summary_day").distinct()
+    days = F.explode(F.sequence(F.lit(LEAST_GAP), F.lit(MOST_GAP)))
+    companies = rows.select("firm", "company", days.alias("_gap"), "summary_day")
+    companies = companies.select("firm", (F.col("summary_day") + F.col("_gap")).alias("day"), "company").distinct()
+    # no day collects more than one company beyond the limit: the rank filter runs before the shuffle
+    first = companies.withColumn("_rank", F.row_number().over(W.partitionBy("firm", "day").orderBy("company"))).where(F.col("_rank") <= listed + 1)
+    lists = first.groupBy("firm", "day").agg(F.collect_list("company").alias("_companies"))
     held = F.filter("_companies", lambda c: F.contains("article_title", c))
     # outer, for otherwise a filter on the list is derived and it is computed twice
-    by_list = side.join(lists, ["firm", "day"]).select("report_id", "firm", "day", "writer_key", F.explode_outer(held).alias("company"))
-    many = sizes.where(F.col("_n") > listed).drop("_n")
+    by_list = side.join(lists.where(F.size("_companies") <= listed), ["firm", "day"]).select(
+        "report_id", "firm", "day", "writer_key", F.explode_outer(held).alias("company")
+    )
+    many = lists.where(F.size("_companies") > listed).select("firm", "day")
     by_piece = _hits_by_piece(side.join(many, ["firm", "day"], "left_semi"), companies.join(many, ["firm", "day"], "left_semi"))
     return by_list.where("company is not null").unionByName(by_piece)
 
@@ -157,7 +162,7 @@ def match_summaries(
         reports = reports.where(F.col("reg_dt") <= last_day)
     side = report_side(reports, compat)
     fitting = _summary_side(summaries, side, compat)
-    joined = _company_hits(side, fitting, inline_rows).join(fitting, KEYS)
+    joined = _company_hits(side, summaries, compat, inline_rows).join(fitting, KEYS)
     return (
         joined.groupBy("report_id")
         .agg(F.min("best").alias("best"), F.sum("n").alias("n_fitting"))

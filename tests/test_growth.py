@@ -55,8 +55,8 @@ def test_pieces_that_leave_a_text(spark, monkeypatch, bits):
         assert sorted(e.word for e in r.found) == sorted(w for w in words if w in r.t)
     anchors = own.anchors
     used = {r["_gram"] for r in anchors.table.collect()}
-    assert anchors.sizes == (3,) and len(anchors.words) * 64 <= max(bits, 16 * 2 * len(used))
-    grams = sorted({t[k : k + 3] for t in texts for k in range(len(t) - 2)})
+    assert anchors.sizes == (5,) and len(anchors.words) * 64 <= max(bits, 16 * 2 * len(used))
+    grams = sorted({t[k : k + 5] for t in texts for k in range(len(t) - 4)})
     passed = {r.g for r in spark.createDataFrame([(g,) for g in grams], "g string").where(anchors.may_have(F.col("g"))).collect()}
     assert used & set(grams) <= passed
     if bits > 64:
