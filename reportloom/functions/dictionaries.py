@@ -48,6 +48,13 @@ class Anchors:
         return reduce(lambda a, b: a & b, [F.getbit(bits[F.shiftright(x, 6)], x % 64) == 1 for x in at])
 
 
+def _together(built: list[Anchors]) -> Anchors:
+    """One filter for several dictionaries: the smaller ones are repeated to the size of the largest, which keeps their bits."""
+    size = max(len(a.words) for a in built)
+    words = [reduce(lambda x, y: x | y, w) for w in zip(*[a.words * (size // len(a.words)) for a in built])]
+    return Anchors(built[0].table, tuple(sorted({n for a in built for n in a.sizes})), tuple(words))
+
+
 def _places(piece: Column, n_bits: int) -> list[Column]:
     """The two bits of a piece."""
     h = F.xxhash64(piece)
@@ -165,10 +172,9 @@ def nominated(df: DataFrame, key: str, text: str, dictionaries: dict[str, Dictio
     and must not be broadcast; AQE splits pieces that many texts have.
     """
     built = {out: d.anchors for out, d in dictionaries.items()}
-    sizes = sorted({n for a in built.values() for n in a.sizes}) or [ANCHOR]
-    grams = F.flatten(F.array(*[_grams(F.col(text), n) for n in sizes]))
-    wanted = lambda g: reduce(lambda a, b: a | b, [a.may_have(g) for a in built.values()])
-    left = df.select(key, F.explode(F.filter(grams, wanted)).alias("_gram"))
+    every = _together(list(built.values()))
+    grams = F.flatten(F.array(*[_grams(F.col(text), n) for n in every.sizes or (ANCHOR,)]))
+    left = df.select(key, F.explode(F.filter(grams, every.may_have)).alias("_gram"))
     entry = lambda out, of: F.col("entry") if out == of else F.lit(None).cast(dictionaries[of].entry)
     sides = [a.table.select("_gram", *[entry(out, of).alias(of) for of in built]) for out, a in built.items()]
     right = reduce(DataFrame.unionByName, sides)
