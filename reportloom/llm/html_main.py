@@ -5,13 +5,23 @@ from __future__ import annotations
 import html
 import re
 from pathlib import Path
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-#: Features of a block: words and link density of itself and its neighbours, and what its containers say.
-FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "in_article", "in_boilerplate", "heading")
+#: Features of a block: words and link density of itself and its neighbours, what the elements around it mean (article; menu,
+#: footer, form, ...), and of the nearest container whose class or id holds a word of ``_BOILER_WORDS``: words of text
+#: outside it, blocks inside it. Such a name is a hint and decides nothing alone: a wrapper named after what the page also
+#: has (``has-sidebar``) leaves no text outside.
+FEATURES = (
+    "words", "links", "words_before", "links_before", "words_after", "links_after", "in_article", "in_boilerplate", "heading", "text_outside", "blocks_inside"
+)
+#: Largest values of the last two; a block without named container has no text outside and the most blocks inside.
+MOST_OUTSIDE, MOST_INSIDE = 99, 9
+#: A block outside articles counts as text beside a named container from so many words and below this link density.
+PLAIN_WORDS, PLAIN_LINKS = 12, 0.34
 #: The labelled blocks; its size is part of this package.
 TABLE = Path(__file__).with_name("labelled_blocks.tsv")
 
@@ -43,38 +53,53 @@ _PARTS = re.compile(r"[a-z]+|[0-9]+")
 _HEAD = re.compile(r"<head(?=[\s>]).*?(?:</head\s*>|(?=<body)|\Z)", re.I | re.S)
 
 
-def _kind(name: str, attrs: str) -> int:
-    """What a container says about its text: 1 article, -1 boilerplate, 0 nothing."""
+def _kind(name: str, attrs: str) -> tuple[int, bool]:
+    """What a container means (1 article, -1 boilerplate, -2 a header, 0 nothing), and whether its class or id hints at boilerplate."""
     if name in _BOILER_TAGS:
-        return -1
-    said = 1 if name in ("article", "main") else -2 if name == "header" else 0
+        return -1, False
+    said, hint = 1 if name in ("article", "main") else -2 if name == "header" else 0, False
     if len(attrs) > 4:
         for key, value in _ATTR.findall(attrs):
             key, value = key.lower(), value.strip("\"'").lower()
             if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "role" and value in _BOILER_ROLES):
-                return -1
+                return -1, False
             if key == "role" and value in ("main", "article"):
                 said = 1
-            elif key in ("class", "id"):
-                seen = set(_PARTS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value)))
-                if seen & _BOILER_WORDS and name not in ("article", "main", "body"):
-                    return -1
-                if seen & _MAIN_WORDS and said == 0:
+            elif key in ("class", "id") and name != "header":  # the names of a header repeat what the element says
+                seen = set(_PARTS.findall(value))
+                hint = hint or not seen.isdisjoint(_BOILER_WORDS)
+                if said == 0 and not seen.isdisjoint(_MAIN_WORDS):
                     said = 1
-    return said
+    if hint and said == 1 and name not in ("article", "main"):
+        said = 0
+    return said, hint
 
 
-def text_blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
-    """(text, words, words inside links, in article, in boilerplate, heading) of each block, in page order.
+class Block(NamedTuple):
+    """The text between two tags that break a line, and where it stands."""
 
-    A block is the text between two tags that break a line; character references are decoded and white space is one space.
+    text: str
+    words: int
+    linked: int  # words inside links
+    article: bool
+    boilerplate: bool
+    heading: bool
+    named: int  # number of the nearest named container, 0 without one
+    marked: bool  # in an article element that is nearer than any named container
+
+
+def text_blocks(page: str) -> tuple[list[Block], list[int]]:
+    """The blocks of a page in page order, and for each named container the next one around it (number 0 stands for the page).
+
+    Character references are decoded and white space inside a block is one space.
     """
     page = _HEAD.sub(" ", page, count=1)
-    out: list = []
-    stack: list[tuple[str, int]] = []
-    article = boiler = page_header = link = 0
+    out: list[Block] = []
+    around = [0]
+    stack: list[tuple[str, int, int, int]] = []  # open containers: element, meaning, nearest named container before it and its articles
+    article = boiler = page_header = link = named = outer = 0
     heading = False
-    words: list[str] = []  # decoded pieces of the open block
+    words: list[str] = []  # pieces of the open block
     linked: list[str] = []
 
     def close():
@@ -83,9 +108,16 @@ def text_blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
             text = " ".join(html.unescape("".join(words)).split())
             if text:
                 inside = len(html.unescape(" ".join(linked)).split()) if linked else 0
-                out.append((text, len(text.split()), inside, article > 0, boiler > 0 or (page_header > 0 and article == 0), heading))
+                out.append(Block(text, len(text.split()), inside, article > 0, boiler > 0 or (page_header > 0 and article == 0), heading, named, article > outer))
         words, linked = [], []
 
+    def leave(k):
+        nonlocal article, boiler, page_header, named, outer
+        for _, said, *_ in stack[k:]:
+            article, boiler, page_header = article - (said == 1), boiler - (said == -1), page_header - (said == -2)
+        named, outer = stack[k][2:]
+        del stack[k:]
+
     at = 0
     for m in _TAG.finditer(page):
         if m.start() > at:
@@ -101,7 +133,7 @@ def text_blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
             continue
         name = name.lower()
         if name == "a":
-            link = max(0, link + (-1 if m["end"] else 1)) if m["end"] else 1
+            link = 0 if m["end"] else 1
             continue
         if name in _INLINE:
             if name == "br":
@@ -116,30 +148,41 @@ def text_blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
         if m["end"]:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
-                    for _, said in stack[k:]:
-                        article, boiler, page_header = article - (said == 1), boiler - (said == -1), page_header - (said == -2)
-                    del stack[k:]
+                    leave(k)
                     break
         else:
             if name == "p" and stack and stack[-1][0] == "p":  # an open paragraph ends at the next
-                _, said = stack.pop()
-                article, boiler, page_header = article - (said == 1), boiler - (said == -1), page_header - (said == -2)
-            said = _kind(name, m["attrs"] or "")
-            stack.append((name, said))
+                leave(len(stack) - 1)
+            said, hint = _kind(name, m["attrs"] or "")
+            stack.append((name, said, named, outer))
             article, boiler, page_header = article + (said == 1), boiler + (said == -1), page_header + (said == -2)
+            if hint:
+                around.append(named)
+                named, outer = len(around) - 1, article
     words.append(page[at:])
     close()
-    return out
+    return out, around
 
 
-def features(blocks: list[tuple]) -> np.ndarray:
+def features(blocks: list[Block], around: list[int]) -> np.ndarray:
     """One row of ``FEATURES`` per block; beyond the ends of a page there are no words."""
     n = len(blocks)
-    words = np.array([b[1] for b in blocks], float)
-    links = np.array([b[2] / max(1, b[1]) for b in blocks])
+    words = np.array([b.words for b in blocks], float)
+    links = np.minimum(np.array([b.linked / max(1, b.words) for b in blocks]), 1)
+    article, boiler, heading, marked = (np.array([b[k] for b in blocks], bool) for k in (3, 4, 5, 7))
+    named = np.array([b.named for b in blocks], np.int64)
+    first = np.array(around)[named] == 0  # no named container around the nearest one
+    plain = ~boiler & ~heading & (links < PLAIN_LINKS) & (marked | (article & first) | ((named == 0) & (words >= PLAIN_WORDS)))
+    text = np.bincount(named, weights=words * plain, minlength=len(around))
+    inside = np.bincount(named, minlength=len(around)).astype(float)
+    for k in range(len(around) - 1, 0, -1):  # a container stands after the one around it
+        text[around[k]] += text[k]
+        inside[around[k]] += inside[k]
+    outside = np.where(named > 0, text[0] - text[named], 0)
     pad = lambda v, k: np.concatenate(([0.0], v, [0.0]))[k : k + n]
-    flags = np.array([[b[3], b[4], b[5]] for b in blocks], float).reshape(n, 3)
-    return np.column_stack((words, np.minimum(links, 1), pad(words, 0), pad(links, 0), pad(words, 2), pad(links, 2), flags))
+    return np.column_stack(
+        (words, links, pad(words, 0), pad(links, 0), pad(words, 2), pad(links, 2), article, boiler, heading, np.minimum(outside, MOST_OUTSIDE), np.where(named > 0, np.minimum(inside[named], MOST_INSIDE), MOST_INSIDE))
+    )
 
 
 def read_table(path: Path = TABLE) -> tuple[np.ndarray, np.ndarray]:
@@ -149,7 +192,7 @@ def read_table(path: Path = TABLE) -> tuple[np.ndarray, np.ndarray]:
     return values[:, :-1], values[:, -1].astype(int)
 
 
-def grow(x: np.ndarray, y: np.ndarray, depth: int = 7, least: int = 1):
+def grow(x: np.ndarray, y: np.ndarray, depth: int = 12, least: int = 1):
     """A binary tree of Gini splits: (feature, threshold, left, right), or the share of ones at a leaf."""
     share = float(y.mean()) if len(y) else 0.0
     if depth == 0 or share in (0.0, 1.0) or len(y) < 2 * least:
@@ -198,9 +241,9 @@ def extract(pages: DataFrame, table: Path = TABLE, id_col: str = "page_id", url_
             for k in range(0, batch.num_rows, 500):
                 part, texts = batch.slice(k, 500), []
                 for page in part.column(2).to_pylist():
-                    blocks = text_blocks(page or "")
-                    kept = decide(tree, features(blocks)) >= 0.5 if blocks else []
-                    texts.append("\n".join(b[0] for b, keep in zip(blocks, kept) if keep))
+                    blocks, around = text_blocks(page or "")
+                    kept = decide(tree, features(blocks, around)) >= 0.5 if blocks else []
+                    texts.append("\n".join(b.text for b, keep in zip(blocks, kept) if keep))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], [id_col, url_col, "text", "n_chars"]
                 )

@@ -139,6 +139,21 @@ PAGES = [
 ]
 
 
+#: Names of containers and what they hold disagree: the text stands, whatever the wrapper is called.
+NAMED_PAGES = [
+    (f"<div class='layout has-sidebar'><article><h1>Name of it</h1><p>{PARA}</p></article><div class=sidebar><p>{PARA}</p></div></div>", f"Name of it\n{PARA}"),
+    (f"<div class='nav-closed'><main><p>{PARA}</p><p>Short.</p></main></div>", f"{PARA}\nShort."),
+    (f"<body class='with-comments'><div class='content no-ads'><p>{PARA}</p><p>{PARA}</p></div><div class=ad>{PARA}</div></body>", f"{PARA}\n{PARA}"),
+    (f"<div class='layout has-sidebar'><article><p>{PARA}</p></article></div><section class=comments><article class=comment><p>{PARA}</p></article><article class=comment><p>So true.</p></article></section>", PARA),
+    (f"<div class=cookie>{PARA}</div>", ""),
+    (f"<article><header class='entry-header'><h1>A title</h1></header><p>{PARA}</p><p>Yes.</p><ul class=share><li><a href=a>Post</a><li><a href=b>Mail</a></ul></article>", f"A title\n{PARA}\nYes."),
+    (f"<main><ul><li><a href=a>One</a><li><a href=b>Two</a><li><a href=c>Three</a></ul><p>{PARA}</p></main>", PARA),
+    (f"<article><p>{PARA}</p><div class=ad>Buy it now.</div><p>{PARA}</p><div class='sponsored'><p>{PARA}</p></div></article>", f"{PARA}\n{PARA}"),
+    (f"<div class='page-with-sidebar'><p>{PARA}</p><p>{PARA}</p><div class=related><p><a href=x>Other one</a></p></div></div>", f"{PARA}\n{PARA}"),
+    (f"<aside><article>{PARA}</article></aside><article class='has-comments'><p>{PARA} x</p><p>Short.</p></article>", f"{PARA} x\nShort."),
+]
+PAGES += NAMED_PAGES
+
 def test_html(spark):
     rows = [(i, f"u{i}", h, "x") for i, (h, _) in enumerate(PAGES)] + [(4, "u4", PAGES[4][0], "x")]
     got = html_main.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string, text string"))
@@ -148,6 +163,57 @@ def test_html(spark):
     assert html_main.extract(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
 
 
+def test_html_of_the_whole_table(spark, sf_dir):
+    """Every page against its article element, read by the parser of the standard library."""
+    from html.parser import HTMLParser
+
+    class Article(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.inside, self.skip, self.blocks = 0, 0, [[]]
+
+        def handle_starttag(self, tag, attrs):
+            named = any(k in ("class", "id") and v for k, v in attrs)
+            if tag == "article":
+                self.inside = 1
+            elif self.skip and tag == "div" or tag == "div" and named or tag in ("script", "style", "form", "aside", "footer", "nav"):
+                self.skip += 1
+            if tag in ("p", "h1", "h2", "h3", "li", "ul", "div", "article"):
+                self.blocks.append([])
+
+        def handle_endtag(self, tag):
+            if tag == "article":
+                self.inside = 0
+            elif self.skip and tag in ("div", "script", "style", "form", "aside", "footer", "nav"):
+                self.skip -= 1
+            if tag in ("p", "h1", "h2", "h3", "li", "ul", "div", "article"):
+                self.blocks.append([])
+
+        def handle_data(self, data):
+            if self.inside and not self.skip:
+                self.blocks[-1].append(data)
+
+    got = {r.page_id: r for r in html_main.extract(spark.read.parquet(f"{sf_dir}/pages.parquet")).collect()}
+    for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect():
+        reader = Article()
+        reader.feed(r.html or "")
+        want = "\n".join(t for t in (" ".join("".join(b).split()) for b in reader.blocks) if t)
+        assert (got[r.page_id].text, got[r.page_id].n_chars) == (want, len(want)), r.page_id
+
+
+def test_names_alone_decide_nothing():
+    """The same name leaves text in a wrapper and drops it beside an article."""
+    x, y = html_main.read_table()
+    tree = html_main.grow(x, y)
+    named = x[:, html_main.FEATURES.index("blocks_inside")] < html_main.MOST_INSIDE
+    assert 0.2 < y[named].mean() < 0.8
+    for name in ("has-sidebar", "ad", "comments"):
+        alone = html_main.text_blocks(f"<div class='{name}'><p>{PARA}</p><p>{PARA}</p></div>")
+        beside = html_main.text_blocks(f"<article><p>{PARA}</p></article><div class='{name}'><p>{PARA}</p><p>{PARA}</p></div>")
+        assert (html_main.decide(tree, html_main.features(*alone)) >= 0.5).tolist() == [True, True]
+        assert (html_main.decide(tree, html_main.features(*beside)) >= 0.5).tolist() == [True, False, False]
+
+
 def test_tree_learns_its_table():
     x, y = html_main.read_table()
     assert ((html_main.decide(html_main.grow(x, y), x) >= 0.5) == y).all()
