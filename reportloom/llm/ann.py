@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Projected dimensions (even, for the closed form of the chi-square distribution).
-DIMS = 8
+#: Projected dimensions (even, for the closed form of the chi-square distribution). More of them stop earlier and cost more per vector.
+DIMS = 24
 #: Vectors of a kd-tree leaf, and of one tree (a tree is what one task holds).
 LEAF, TREE = 64, 50_000
 #: Queries that one task takes to a tree.
 BATCH = 5_000
+#: Projected neighbours verified between two looks at the stopping test.
+ROUND = 256
 
 
 def chi_square(x: np.ndarray, dims: int = DIMS) -> np.ndarray:
@@ -27,6 +27,15 @@ def chi_square(x: np.ndarray, dims: int = DIMS) -> np.ndarray:
     return 1 - np.exp(-half) * total
 
 
+def chi_square_quantile(share: float, dims: int = DIMS) -> float:
+    """The value below which ``share`` of the distribution lies, by halving."""
+    low, high = 0.0, 10.0 * dims + 1000
+    for _ in range(80):
+        mid = (low + high) / 2
+        low, high = (mid, high) if chi_square(np.array([mid]), dims)[0] < share else (low, mid)
+    return high
+
+
 def _leaves(points: np.ndarray, order: np.ndarray) -> list[np.ndarray]:
     """kd-tree: halve at the median of the widest side down to leaves of ``LEAF`` points."""
     out, todo = [], [order]
@@ -44,38 +53,60 @@ def _leaves(points: np.ndarray, order: np.ndarray) -> list[np.ndarray]:
 
 
 class Tree:
-    """A kd-tree over projected vectors, searched leaf by leaf in the order of their distance from the query."""
+    """A kd-tree over projected vectors that gives a query its projected neighbours one after the other."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, matrix: np.ndarray, lift: float):
-        self.ids, self.vectors = ids, vectors
         norm = np.einsum("ij,ij->i", vectors, vectors)
-        self.points = np.hstack((vectors, np.sqrt(np.maximum(lift - norm, 0))[:, None])) @ matrix
-        self.leaves = _leaves(self.points, np.arange(len(ids)))
-        self.low = np.array([self.points[x].min(axis=0) for x in self.leaves])
-        self.high = np.array([self.points[x].max(axis=0) for x in self.leaves])
-
-    def search(self, query: np.ndarray, projected: np.ndarray, lift: float, k: int, own_id: int, stop: float):
-        """The ``k`` best found: (ids, scores), ties to the smaller id."""
+        points = np.hstack((vectors, np.sqrt(np.maximum(lift - norm, 0))[:, None])) @ matrix
+        leaves = _leaves(points, np.arange(len(ids)))
+        order = np.concatenate(leaves)  # a leaf is a slice
+        self.ids, self.vectors, self.points = ids[order], vectors[order], points[order]
+        self.ends = np.cumsum([0] + [len(x) for x in leaves])
+        self.low = np.minimum.reduceat(self.points, self.ends[:-1])
+        self.high = np.maximum.reduceat(self.points, self.ends[:-1])
+
+    def search(self, query: np.ndarray, projected: np.ndarray, lift: float, k: int, own_id: int, limit: float):
+        """The ``k`` best found: (ids, scores, vectors verified), ties to the smaller id.
+
+        Leaves are opened by their distance; a point comes up once no closed leaf can hold a nearer one, and its original
+        vector is verified. The search ends at the first point whose squared projected distance is ``limit`` times the
+        squared distance of the k-th best, as an unseen vector that near would have been projected closer with the chance
+        that ``limit`` is the quantile of.
+        """
         gap = np.maximum(np.maximum(self.low - projected, projected - self.high), 0)
-        near = (gap * gap).sum(axis=1)
+        near = np.einsum("ij,ij->i", gap, gap)
         order = np.argsort(near, kind="stable")
         ids, scores = np.zeros(0, np.int64), np.zeros(0)
-        both = float(query @ query) + lift
+        both, bound, seen = float(query @ query) + lift, np.inf, 0
+        rows, far = np.zeros(0, np.int64), np.zeros(0)  # opened, not yet up
         at, step = 0, 4
-        while at < len(order):
-            if len(ids) >= k:
-                worst = max(both - 2 * scores[k - 1], 1e-12)
-                # an unseen vector as near as the worst kept one would have been projected this far at most with this chance
-                if chi_square(np.array([near[order[at]] / worst]))[0] >= stop:
+        while (at < len(order) and near[order[at]] < bound) or len(rows):
+            if at < len(order) and near[order[at]] < bound:
+                opened = np.concatenate([np.arange(self.ends[x], self.ends[x + 1]) for x in order[at : at + step]])
+                off = self.points[opened] - projected
+                off = np.einsum("ij,ij->i", off, off)
+                use = (off < bound) & (self.ids[opened] != own_id)
+                rows, far = np.concatenate((rows, opened[use])), np.concatenate((far, off[use]))
+                at, step = at + step, min(step * 2, 64)
+            frontier = near[order[at]] if at < len(order) else np.inf
+            up = far <= frontier
+            turn, waits = np.flatnonzero(up), ~up
+            turn = turn[np.lexsort((self.ids[rows[turn]], far[turn]))]
+            for part in range(0, len(turn), ROUND):
+                some = turn[part : part + ROUND]
+                some = some[far[some] < bound]
+                if not len(some):
                     break
-            rows = np.concatenate([self.leaves[x] for x in order[at : at + step]])
-            rows = rows[self.ids[rows] != own_id]
-            got = self.vectors[rows] @ query
-            ids, scores = np.concatenate((ids, self.ids[rows])), np.concatenate((scores, got))
-            best = np.lexsort((ids, -scores))[:k]
-            ids, scores = ids[best], scores[best]
-            at, step = at + step, min(step * 2, 64)
-        return ids, scores
+                seen += len(some)
+                ids = np.concatenate((ids, self.ids[rows[some]]))
+                scores = np.concatenate((scores, self.vectors[rows[some]] @ query))
+                best = np.lexsort((ids, -scores))[:k]
+                ids, scores = ids[best], scores[best]
+                if len(ids) >= k:
+                    bound = limit * max(both - 2 * scores[k - 1], 1e-12)
+            waits &= far < bound
+            rows, far = rows[waits], far[waits]
+        return ids, scores, seen
 
 
 def neighbours(
@@ -85,15 +116,17 @@ def neighbours(
 
     ``queries`` are rows of the same table; a query is not its own candidate. Scores are inner products in double
     precision of the original vectors. Null or zero vectors, and such with null or non-finite components, take no part, nor
-    do those whose length is not the commonest, nor those without id. Rows of one id with the same vector count once. Other columns are not
-    read; empty tables give an empty result; with fewer candidates than ``k`` all are returned.
+    do those whose length is not the commonest, nor those without id. Rows of one id with the same vector count once; an id
+    with several vectors is a candidate by each of them and asks with the smallest. Other columns are not read; empty tables
+    give an empty result; with fewer candidates than ``k`` all are returned.
 
     1. A vector x becomes (x, sqrt(M - |x|^2)) and a query (q, 0), M being the largest |x|^2: larger inner products are
        then smaller distances. Both are multiplied by one Gaussian matrix into ``DIMS`` dimensions.
     2. Equal vectors are one entry: of their ids only the k + 1 smallest can be among a query's nearest.
     3. Entries are dealt by hash into kd-trees of about ``TREE`` vectors, queries into batches of about ``BATCH``; a task
-       has one of each, whatever the size of the table. Each query asks every tree and takes leaves by growing projected distance, verifying original vectors, until the chi-square probability that a
-       vector as near as the k-th found had been projected closer than the next leaf reaches ``stop``.
+       has one of each, whatever the size of the table. Each query asks every tree and verifies projected neighbours one
+       after the other, until the chi-square probability that a vector as near as the k-th found had been projected closer
+       than the next one reaches ``stop``: of the vectors at the k-th distance 1 - stop are missed, of nearer ones fewer.
     4. The trees' lists are cut to the best k of each query.
     """
     usable = F.expr(
@@ -112,13 +145,14 @@ def neighbours(
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     top = own.agg(F.max(norm).alias("m"), F.count("*").alias("n")).first()
     lift, trees = float(top["m"]), int(top["n"] // TREE + 1)
+    limit = chi_square_quantile(stop)
     matrix = np.random.default_rng(seed).standard_normal((dims + 1, DIMS))
 
     one_each = own.dropDuplicates(["id", "v"])
     by_vector = Window.partitionBy(F.xxhash64("v"), "v").orderBy("id")
     # the rank limit is applied before the shuffle too, so a vector that many rows share stays small
     entries = one_each.withColumn("r", F.row_number().over(by_vector)).filter(F.col("r") <= k + 1).select("id", "v")
-    asked = clean(queries).dropDuplicates(["id"]).select(F.col("id").alias("query_id"), F.col("v").alias("q"))
+    asked = clean(queries).groupBy(F.col("id").alias("query_id")).agg(F.min("v").alias("q"))
     batches = int(asked.count() // BATCH + 1)
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
     dealt = entries.withColumn("tree", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(trees))).withColumn("batch", every(batches))
@@ -135,7 +169,7 @@ def neighbours(
             q, q_ids = rows_of(right.column("q")), right.column("query_id").to_numpy()
             projected = q @ matrix[:-1]
             for i in range(len(q)):
-                ids, scores = tree.search(q[i], projected[i], lift, k, int(q_ids[i]), stop)
+                ids, scores, _ = tree.search(q[i], projected[i], lift, k, int(q_ids[i]), limit)
                 out[0].append(np.full(len(ids), q_ids[i]))
                 out[1].append(ids)
                 out[2].append(scores)

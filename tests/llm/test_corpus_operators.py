@@ -198,7 +198,11 @@ def brute_nearest(rows, q, k):
     return [(i, -s) for s, i in found]
 
 
-def test_neighbours(spark, monkeypatch):
+@pytest.mark.parametrize("tree, batch", [(ann.TREE, ann.BATCH), (400, 20)])
+def test_neighbours(spark, monkeypatch, tree, batch):
+    """In one tree and one batch, and in five trees and five batches."""
+    monkeypatch.setattr(ann, "TREE", tree)
+    monkeypatch.setattr(ann, "BATCH", batch)
     rnd = np.random.default_rng(6)
     centres = rnd.normal(size=(12, 16))
     rows = [(i, (centres[i % 12] + rnd.normal(size=16) * 0.6).astype(np.float32).tolist()) for i in range(1500)]
@@ -227,7 +231,35 @@ def test_neighbours_of_few_and_of_none(spark):
 
 
 def test_chi_square():
-    assert ann.chi_square(np.array([0.0, 7.344, 15.507, 20.090])).round(3).tolist() == [0, 0.5, 0.95, 0.99]
+    assert ann.chi_square(np.array([0.0, 7.344, 15.507, 20.090]), 8).round(3).tolist() == [0, 0.5, 0.95, 0.99]
+    assert math.isclose(ann.chi_square_quantile(0.95, 8), 15.507, abs_tol=1e-3) and math.isclose(ann.chi_square_quantile(0.95, 24), 36.415, abs_tol=1e-3)
+
+
+def test_search_stops():
+    """On clusters a small part of the vectors is verified; without a stop (an endless limit) the search is exact."""
+    rnd = np.random.default_rng(8)
+    centres = rnd.normal(size=(50, 64))
+    x = centres[np.arange(10_000) % 50] + 0.35 * rnd.normal(size=(10_000, 64))
+    lift = float((x * x).sum(axis=1).max())
+    matrix = rnd.standard_normal((65, ann.DIMS))
+    tree = ann.Tree(np.arange(len(x)), x, matrix, lift)
+    seen = hit = 0
+    for i in range(0, len(x), 200):
+        scores = x @ x[i]
+        scores[i] = -math.inf
+        want = np.lexsort((np.arange(len(x)), -scores))[:20]
+        ids, _, verified = tree.search(x[i], x[i] @ matrix[:-1], lift, 20, i, ann.chi_square_quantile(0.95))
+        hit, seen = hit + len(np.intersect1d(ids, want)), seen + verified
+        ids, got, verified = tree.search(x[i], x[i] @ matrix[:-1], lift, 20, i, math.inf)
+        assert ids.tolist() == want.tolist() and np.allclose(got, scores[want]) and verified == len(x) - 1
+    assert hit >= 0.95 * 20 * 50 and seen <= 0.2 * 50 * len(x)
+
+
+def test_an_id_with_two_vectors(spark):
+    """It is found by each of its vectors and asks with the smaller one."""
+    df = spark.createDataFrame([(20, [1.0, 0.0]), (20, [0.0, 1.0]), (3, [5.0, 0.0]), (3, [0.0, 4.0])], "vec_id bigint, embedding array<double>")
+    got = [tuple(r) for r in ann.neighbours(df, df.filter("vec_id = 20")).orderBy("rank").collect()]
+    assert got == [(20, 1, 3, 4.0), (20, 2, 3, 0.0)]
 
 
 def auc(y, s):
