@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 #: Projected dimensions (even, for the closed form of the chi-square distribution). More of them stop earlier and cost more per vector.
 DIMS = 24
 #: Vectors of a kd-tree leaf, and of one tree (a tree is what one task holds).
-LEAF, TREE = 64, 50_000
+LEAF, TREE = 512, 50_000
 #: Queries that one task takes to a tree.
 BATCH = 5_000
 #: Projected neighbours verified between two looks at the stopping test.
@@ -61,6 +61,7 @@ class Tree:
         leaves = _leaves(points, np.arange(len(ids)))
         order = np.concatenate(leaves)  # a leaf is a slice
         self.ids, self.vectors, self.points = ids[order], vectors[order], points[order]
+        self.square = np.einsum("ij,ij->i", self.points, self.points)
         self.ends = np.cumsum([0] + [len(x) for x in leaves])
         self.low = np.minimum.reduceat(self.points, self.ends[:-1])
         self.high = np.maximum.reduceat(self.points, self.ends[:-1])
@@ -80,31 +81,35 @@ class Tree:
         both, bound, seen = float(query @ query) + lift, np.inf, 0
         rows, far = np.zeros(0, np.int64), np.zeros(0)  # opened, not yet up
         at, step = 0, 4
+        own = float(projected @ projected)
         while (at < len(order) and near[order[at]] < bound) or len(rows):
             if at < len(order) and near[order[at]] < bound:
-                opened = np.concatenate([np.arange(self.ends[x], self.ends[x + 1]) for x in order[at : at + step]])
-                off = self.points[opened] - projected
-                off = np.einsum("ij,ij->i", off, off)
+                slices = [slice(self.ends[x], self.ends[x + 1]) for x in order[at : at + step]]
+                off = np.concatenate([self.square[x] - 2 * (self.points[x] @ projected) for x in slices]) + own
+                opened = np.concatenate([np.arange(x.start, x.stop) for x in slices])
                 use = (off < bound) & (self.ids[opened] != own_id)
                 rows, far = np.concatenate((rows, opened[use])), np.concatenate((far, off[use]))
                 at, step = at + step, min(step * 2, 64)
-            frontier = near[order[at]] if at < len(order) else np.inf
-            up = far <= frontier
-            turn, waits = np.flatnonzero(up), ~up
-            turn = turn[np.lexsort((self.ids[rows[turn]], far[turn]))]
+            up = far <= near[order[at]] if at < len(order) else np.ones(len(far), bool)
+            turn = rows[up][np.argsort(far[up], kind="stable")]
+            reach = np.sort(far[up])
             for part in range(0, len(turn), ROUND):
-                some = turn[part : part + ROUND]
-                some = some[far[some] < bound]
+                some = turn[part : part + ROUND][: np.searchsorted(reach[part : part + ROUND], bound)]
                 if not len(some):
                     break
                 seen += len(some)
-                ids = np.concatenate((ids, self.ids[rows[some]]))
-                scores = np.concatenate((scores, self.vectors[rows[some]] @ query))
+                got, got_ids = self.vectors[some] @ query, self.ids[some]
+                if len(ids) >= k:
+                    better = got >= scores[k - 1]
+                    got, got_ids = got[better], got_ids[better]
+                    if not len(got):
+                        continue
+                ids, scores = np.concatenate((ids, got_ids)), np.concatenate((scores, got))
                 best = np.lexsort((ids, -scores))[:k]
                 ids, scores = ids[best], scores[best]
                 if len(ids) >= k:
-                    bound = limit * max(both - 2 * scores[k - 1], 1e-12)
-            waits &= far < bound
+                    bound = limit * max(both - 2 * scores[k - 1], 1e-9 * both)
+            waits = ~up & (far < bound)
             rows, far = rows[waits], far[waits]
         return ids, scores, seen
 
