@@ -16,6 +16,7 @@ from reportloom.operators import matching as M
 from reportloom.operators import merging as U
 from reportloom.operators import quality as V
 from reportloom.operators import sectors as Z
+from reportloom.operators import tags as T
 from reportloom.operators.cycle import fill_store, open_store, publish_cycle, read_ledger
 from reportloom.session import shared_dir
 from reportloom.sources import clustered as K
@@ -95,6 +96,15 @@ def test_names_beyond_the_fifth_give_tickers_and_sectors(spark, inline_rows):
     assert run(False).sector == "FIRST"
 
 
+def test_rules_are_data_of_the_plan(spark):
+    """One test expression whatever the number of rules; a method of one test per rule is not compiled by the JVM."""
+    df = T.with_rule_text(spark.createDataFrame([(1, "주간 데일리 목표가 상향"), (2, None)], "i long, t string"), "t")
+    tagged = df.select("i", T.matching_labels("t").alias("tags"), T.first_label("t").alias("action"))
+    assert tagged._jdf.queryExecution().optimizedPlan().toString().lower().count("contains(") <= 2
+    got = {r.i: (r.tags, r.action) for r in tagged.collect()}
+    assert "목표주가 상향" in got[1][0] and got[1][1] == "목표주가 상향" and got[2] == ([], None)
+
+
 # ---- streams -------------------------------------------------------------------------
 
 
