@@ -96,6 +96,25 @@ def test_names_beyond_the_fifth_give_tickers_and_sectors(spark, inline_rows):
     assert run(False).sector == "FIRST"
 
 
+@pytest.mark.parametrize("most_bits", [D.MOST_BITS, 64], ids=["filter in the plan", "filter as a table"])
+def test_names_that_differ_in_their_last_signs(spark, monkeypatch, most_bits):
+    """No piece stands for many words, so a text meets about the words that it holds."""
+    monkeypatch.setattr(D, "MOST_BITS", most_bits)
+    monkeypatch.setattr(D, "LEAST_BITS", min(most_bits, D.LEAST_BITS))
+    words = [f"Cust{k:06d}" for k in range(3000)] + [f"PK{k:06d}" for k in range(3000)] + [f"{k:06d}" for k in range(3000)] + ["Supp 1", "Supp 12", "ab"]
+    own = D.load(spark.createDataFrame([(w, n) for w in words for n in range(2)], "word string, n int"), 0)
+    under = own.anchors.table.select("entry.word", "_gram").distinct().groupBy("_gram").count()
+    assert under.where(f"count > {D.FEW}").isEmpty()
+    texts = ["Cust000017, Cust002999x PK000005 (000017)", "Supp 12, ab Supp 3", "", None, "Cust00001", "0000170000170 ab ab"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k long, t string")
+    for limit in (10 * len(words), 0):
+        monkeypatch.setattr(D, "BROADCAST_ROWS", limit)
+        met = D.nominated(df, "k", "t", {"some": own}).selectExpr("sum(size(some))").first()[0]
+        assert met <= 4 * sum(w in (t or "") for w in words for t in texts)
+        for r in D.with_contained(df, "k", "t", own, "found").collect():
+            assert sorted((e.word, e.n) for e in r.found or []) == sorted((w, n) for w in words if w in (r.t or "") for n in range(2))
+
+
 def test_rules_are_data_of_the_plan(spark):
     """One test expression whatever the number of rules; a method of one test per rule is not compiled by the JVM."""
     df = T.with_rule_text(spark.createDataFrame([(1, "주간 데일리 목표가 상향"), (2, None)], "i long, t string"), "t")
