@@ -211,14 +211,14 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     edges = members.join(first_pivot, "key").filter("rep <> p").select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")).distinct()
     tested = staged(confirm(edges, sets, id_col, percent), "tested")
     # a representative is met with its label once, not once for each of its buckets
-    of_rep = staged(members.groupBy("rep", "n", "c").agg(F.collect_list("key").alias("keys")), "of_rep")
+    of_rep = staged(members.groupBy("rep", "n", "c").agg(F.collect_list(F.struct("key", "t")).alias("buckets")), "of_rep")
     halves, maps = reps.select("rep", "half"), sets.select(F.col(id_col).alias("rep"), "parity")
     done, pivots, left = 0, 4, None
     while True:
         if left is None:  # there are new links
             labels = components(tested.filter("linked"))
             named = of_rep.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-            placed = named.select(F.explode("keys").alias("key"), "rep", "n", "c", "label")
+            placed = named.select(F.inline("buckets"), "rep", "n", "c", "label")
             mixed = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
             ranked = placed.join(mixed, "key").withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(F.desc(F.expr("c / n")), "rep")))
             left = staged(ranked.join(halves, "rep").join(maps, "rep"), "mixed")
