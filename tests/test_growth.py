@@ -208,6 +208,32 @@ def test_records_that_do_not_parse_are_kept_and_replayed(spark):
     assert sorted((r.route, r.report_id or -1) for r in again) == [("good", 2), ("quarantine", -1), ("quarantine", -1)]
 
 
+def test_records_without_an_id_are_dealt_out_too(spark):
+    rows = [(None, f"torn {i}", "f") for i in range(400)]
+    torn = spark.createDataFrame(rows, f"report_id long, {J.CORRUPT} string, {J.SOURCE} string")
+    sizes = [len(p) for p in J._dealt(torn, 8).rdd.glom().collect()]
+    assert sum(sizes) == 400 and max(sizes) < 100
+    again = J.replayed(torn, "report_id long, article_title string", lambda text: text, _plain, tasks=8)
+    assert again.rdd.getNumPartitions() == 8 and again.where("route = 'quarantine'").count() == 400
+
+
+def test_tasks_of_title_work_grow_with_the_table(spark):
+    from reportloom.plans import catalog
+
+    base = folder(spark, "many")
+    spark.range(2 * catalog.TASK_ROWS * spark.sparkContext.defaultParallelism + 1).withColumnRenamed("id", "o_orderkey").write.parquet(f"{base}/orders.parquet")
+    assert catalog.Tables(spark, base).tasks == 2 * spark.sparkContext.defaultParallelism + 1
+
+
+def test_inline_words_are_met_without_a_walk_over_places(spark):
+    words = D.from_rows(spark, [("ab", 1), ("b", 2), ("bcd", 3), ("가나다", 4), ("\U0001f600x", 5), ("zz", 6)], "word string, n int")
+    titles = ["abcd", "b", "가나다 ab", "\U0001f600x", "", None, "x가나", "\U0001f600\U0001f600xb"]
+    df = D.with_contained(spark.createDataFrame(list(enumerate(titles)), "i long, t string"), "i", "t", words, "found")
+    want = {i: sorted(n for w, n in words.rows if t and w in t) for i, t in enumerate(titles)}
+    assert {r.i: sorted(e.n for e in r.found) for r in df.collect()} == want
+    assert "sequence(" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_batches_log_what_they_wrote(spark):
     from tests.test_golden_titles import lexicon
 
