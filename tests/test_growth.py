@@ -222,7 +222,7 @@ def test_tasks_of_title_work_grow_with_the_table(spark):
 
     base = folder(spark, "many")
     spark.range(2 * catalog.TASK_ROWS * spark.sparkContext.defaultParallelism + 1).withColumnRenamed("id", "o_orderkey").write.parquet(f"{base}/orders.parquet")
-    assert catalog.Tables(spark, base).tasks == 2 * spark.sparkContext.defaultParallelism + 1
+    assert catalog.Tables(spark, base).tasks == 3 * spark.sparkContext.defaultParallelism
 
 
 def test_inline_words_are_met_without_a_walk_over_places(spark):
