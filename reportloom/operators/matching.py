@@ -87,11 +87,54 @@ def summary_days(summaries: DataFrame) -> DataFrame:
 
 
 def best_pairs(pairs: DataFrame) -> DataFrame:
-    """(report_id, summary_id, gap, n_fitting) of fitting pairs (report_id, summary_id, gap): the nearest in time, then the lowest id."""
-    best = pairs.groupBy("report_id").agg(F.min(F.struct("gap", "summary_id")).alias("best"), F.count("*").alias("n_fitting"))
+    """(report_id, summary_id, gap, n_fitting) of fitting pairs (report_id, summary_id, gap): the nearest in time, then the lowest id.
+
+    A pair with ``n_fitting`` is the best of as many.
+    """
+    n = F.sum("n_fitting") if "n_fitting" in pairs.columns else F.count("*")
+    best = pairs.groupBy("report_id").agg(F.min(F.struct("gap", "summary_id")).alias("best"), n.alias("n_fitting"))
+    return best.select("report_id", "best.summary_id", "best.gap", "n_fitting")
+
+
+def best_of_meetings(meetings: DataFrame, listed: int = LISTED) -> DataFrame:
+    """(report_id, summary_id, gap, n_fitting) over blocks of reports and of summaries of one firm and day that meet.
+
+    ``meetings`` has a number ``meeting``, ``firm``, ``reports`` (report_id, writer_key, article_title) and
+    ``summaries`` (company, author, summary_id, gap); every report of a row is held against every summary of it. As
+    in ``match_summaries`` a report meets one row per company in its title. The table is read more than once, so it
+    should be a stored one.
+    """
+    by_company = meetings.select("meeting", "reports", F.array_distinct("summaries.company").alias("_companies"))
+    few = F.size("_companies") <= listed
+    held = F.filter("_companies", lambda c: F.contains("r.article_title", c))
+    by_list = by_company.where(few).select("meeting", "_companies", F.explode("reports").alias("r")).select(
+        "meeting", "r.report_id", "r.writer_key", F.explode_outer(held).alias("company")
+    )
+    many = by_company.where(~few)
+    titles = many.select("meeting", F.posexplode("reports").alias("_at", "r")).select("meeting", F.struct("meeting", "_at").alias("row"), "r.*")
+    by_piece = _hits_by_piece(titles, many.select("meeting", F.explode("_companies").alias("company")), ["meeting"], "row")
+    hits = by_list.where("company is not null").unionByName(by_piece)
+    rows = meetings.select("meeting", "firm", F.inline("summaries"))
+    writers = meetings.select("firm", F.explode("reports.writer_key").alias("writer_key"))
+    fitting = _under_writers(rows, writers).groupBy("meeting", "company", "writer_key").agg(
+        F.min(F.struct("gap", "summary_id")).alias("best"), F.count("*").alias("n")
+    )
+    # what comes out of blocks has no honest size estimate and must not be broadcast
+    return _best_of_hits(hits.join(fitting.hint("merge"), ["meeting", "company", "writer_key"]))
+
+
+def _best_of_hits(joined: DataFrame) -> DataFrame:
+    best = joined.groupBy("report_id").agg(F.min("best").alias("best"), F.sum("n").alias("n_fitting"))
     return best.select("report_id", "best.summary_id", "best.gap", "n_fitting")
 
 
+def _under_writers(rows: DataFrame, reports: DataFrame) -> DataFrame:
+    """Summaries under each writer text of their firm that begins their author, and under none."""
+    authors = rows.where("author <> ''").select("firm", "author").distinct()
+    keyed = rows.where("author <> ''").join(_writer_keys(reports, authors), ["firm", "author"])
+    return keyed.unionByName(rows.where("author = ''").withColumn("writer_key", F.lit("")))
+
+
 def _summary_side(summaries: DataFrame, reports: DataFrame, compat: bool) -> DataFrame:
     """One row per (firm, day, company, writer_key): the best summary and how many fit."""
     rows = summary_rows(summaries, compat)
@@ -99,11 +142,8 @@ def _summary_side(summaries: DataFrame, reports: DataFrame, compat: bool) -> Dat
     rows = rows.groupBy("firm", "summary_day", "company", "author").agg(
         F.min("summary_id").alias("summary_id"), F.count("*").alias("n")
     )
-    authors = rows.where("author <> ''").select("firm", "author").distinct()
-    keyed = rows.where("author <> ''").join(_writer_keys(reports, authors), ["firm", "author"])
-    keyed = keyed.unionByName(rows.where("author = ''").withColumn("writer_key", F.lit("")))
     gaps = F.explode(F.sequence(F.lit(LEAST_GAP), F.lit(MOST_GAP)))
-    spread = keyed.select("*", gaps.alias("gap")).withColumn("day", F.col("summary_day") + F.col("gap"))
+    spread = _under_writers(rows, reports).select("*", gaps.alias("gap")).withColumn("day", F.col("summary_day") + F.col("gap"))
     return spread.groupBy(*KEYS).agg(
         F.min(F.struct(F.abs("gap").alias("gap"), "summary_id")).alias("best"), F.sum("n").alias("n")
     )
@@ -124,19 +164,19 @@ def _company_hits(side: DataFrame, summaries: DataFrame, compat: bool, listed: i
         "report_id", "firm", "day", "writer_key", F.explode_outer(held).alias("company")
     )
     many = lists.where(F.size("_companies") > listed).select("firm", "day")
-    by_piece = _hits_by_piece(side.join(many, ["firm", "day"], "left_semi"), companies.join(many, ["firm", "day"], "left_semi"))
+    day = ["firm", "day"]
+    by_piece = _hits_by_piece(side.join(many, day, "left_semi"), companies.join(many, day, "left_semi"), day, "report_id")
     return by_list.where("company is not null").unionByName(by_piece)
 
 
-def _hits_by_piece(side: DataFrame, companies: DataFrame) -> DataFrame:
+def _hits_by_piece(side: DataFrame, companies: DataFrame, day: list[str], key: str) -> DataFrame:
     """The same for days of many companies: each lies under that piece of its name which the fewest of its day share."""
-    day = ["firm", "day"]
     pieces = companies.select(*day, "company", F.explode(D.pieces_of(F.col("company"))).alias("_gram"))
     shared = pieces.groupBy(*day, "_gram").agg(F.count("*").alias("n"))
     lying = pieces.join(shared, [*day, "_gram"]).groupBy(*day, "company").agg(F.min_by("_gram", F.struct("n", "_gram")).alias("_gram"))
-    titles = side.select("report_id", *day, F.explode(D.grams_of(F.col("article_title"))).alias("_gram"))
-    some = titles.join(lying.hint("merge"), [*day, "_gram"]).select("report_id", "company")
-    found = side.join(some, "report_id").where(F.contains("article_title", "company"))
+    titles = side.select(key, *day, F.explode(D.grams_of(F.col("article_title"))).alias("_gram"))
+    some = titles.join(lying.hint("merge"), [*day, "_gram"]).select(key, "company")
+    found = side.join(some, key).where(F.contains("article_title", "company"))
     return found.select("report_id", *day, "writer_key", "company")
 
 
@@ -162,12 +202,7 @@ def match_summaries(
         reports = reports.where(F.col("reg_dt") <= last_day)
     side = report_side(reports, compat)
     fitting = _summary_side(summaries, side, compat)
-    joined = _company_hits(side, summaries, compat, inline_rows).join(fitting, KEYS)
-    return (
-        joined.groupBy("report_id")
-        .agg(F.min("best").alias("best"), F.sum("n").alias("n_fitting"))
-        .select("report_id", "best.summary_id", "best.gap", "n_fitting")
-    )
+    return _best_of_hits(_company_hits(side, summaries, compat, inline_rows).join(fitting, KEYS))
 
 
 def match_backlog(reports: DataFrame, summaries: DataFrame, today: str, days: int = BACKLOG_DAYS, **options) -> DataFrame:

@@ -167,6 +167,65 @@ def test_either_side_of_a_match_may_come_late(spark):
     assert best[4] == (25, 0, 2)
 
 
+def _fitting(reports, summaries):
+    """(gap, summary_id) of every fitting pair, per report id; days are days of January 2026."""
+    pairs = {}
+    for i, firm, title, writer, day, linked in reports:
+        for j, provider, at, company, author in summaries:
+            wanted, author = (writer or "").replace(", ", "."), author or ""
+            if linked is None and title and company and firm is not None and firm == provider:
+                if -3 <= day - at <= 5 and company in title and author.startswith(wanted):
+                    pairs.setdefault(i, []).append((abs(day - at), j))
+    return {i: (min(p)[1], min(p)[0], len(p)) for i, p in pairs.items()}
+
+
+def _dated(rows, at, text):
+    return [(*r[:at], text.format(r[at]), *r[at + 1 :]) for r in rows]
+
+
+@pytest.mark.parametrize("listed", [M.LISTED, 1], ids=["listed", "by piece"])
+def test_blocks_of_two_streams_match_as_their_rows_would(spark, monkeypatch, listed):
+    """Rows that come twice, without firm, title, writer or author, in several micro-batches and in blocks of three rows."""
+    from reportloom.functions import blocks as B
+
+    folded, best = B.blocks, M.best_of_meetings
+    monkeypatch.setattr(B, "blocks", lambda rows, by, name: folded(rows, by, name, 3))
+    monkeypatch.setattr(M, "best_of_meetings", lambda met: best(met, listed))
+    rng, base = random.Random(11), folder(spark, "blocks")
+    names, people = ["Alpha", "Alph", "Beta One", "B", "감마", " ", "Delta Holdings", None], ["", "Kim", "Kim Lee", "Kim, Park", "Lee", None]
+    title = lambda: rng.choice([None, "  ", "misc", " ".join(rng.choice([n for n in names if n]) for _ in range(2))])
+    reports = [(k, rng.choice(["F", "F", "G", None]), title(), rng.choice(people), rng.randint(10, 18), rng.choice([None, None, None, 4])) for k in range(120)]
+    summaries = [(k, rng.choice(["F", "F", "G", None]), rng.randint(10, 18), rng.choice(names), rng.choice(["Kim", "Kim Lee", "Kim.Park team", "", None])) for k in range(120)]
+    reports, summaries = reports + reports[:20], summaries + summaries[:20]
+    read = {"r": [], "s": []}
+    for part in range(2):
+        read["r"] += reports[part::2]
+        read["s"] += summaries[part::2]
+        spark.createDataFrame(_dated(reports[part::2], 4, "202601{}"), REPORT).coalesce(1).write.mode("append").parquet(f"{base}/r")
+        spark.createDataFrame(_dated(summaries[part::2], 2, "2026.01.{}"), SUMMARY).coalesce(1).write.mode("append").parquet(f"{base}/s")
+        streams = [J.file_stream(spark, f"{base}/{n}", spark.createDataFrame([], s).schema) for n, s in (("r", REPORT), ("s", SUMMARY))]
+        J.stream_match_interval(*streams, f"{base}/out", f"{base}/ck", None).awaitTermination()
+        got = {r.report_id: (r.summary_id, r.gap, r.n_fitting) for r in M.best_pairs(spark.read.parquet(f"{base}/out")).collect()}
+        assert got == _fitting(read["r"], read["s"]) and got
+
+
+def test_a_full_day_is_neither_kept_nor_written_as_pairs(spark):
+    base, n = folder(spark, "full-day"), 200
+    reports = [(k, "F", f"Alpha {k}", "", 10, None) for k in range(n)]
+    summaries = [(k, "F", 10 + k % 3, "Alpha", f"Kim {k}") for k in range(n)]
+    spark.createDataFrame(_dated(reports, 4, "202601{}"), REPORT).coalesce(1).write.parquet(f"{base}/r")
+    spark.createDataFrame(_dated(summaries, 2, "2026.01.{}"), SUMMARY).coalesce(1).write.parquet(f"{base}/s")
+    streams = [J.file_stream(spark, f"{base}/{x}", spark.createDataFrame([], s).schema) for x, s in (("r", REPORT), ("s", SUMMARY))]
+    query = J.stream_match_interval(*streams, f"{base}/out", f"{base}/ck", None)
+    query.awaitTermination()
+    found = spark.read.parquet(f"{base}/out")
+    # one row a report, and a block per side, firm and day: a summary lies under nine days, those of three days under eleven
+    assert found.count() == n
+    assert max(s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]) <= 1 + 11
+    got = {r.report_id: (r.summary_id, r.gap, r.n_fitting) for r in M.best_pairs(found).collect()}
+    assert got == _fitting(reports, summaries) and got[5] == (0, 0, n)
+
+
 def test_an_arrival_reads_its_months_alone(spark):
     base = folder(spark, "arrivals")
     rows = [(k, f"K{k}", "F", f"title {k}", f"2026{1 + k % 12:02d}05") for k in range(48)] + [(50, "K50", "F", "undated", None)]
