@@ -61,11 +61,16 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_
     )
 
 
+def _met(side: DataFrame) -> DataFrame:
+    """The side of a join that grows with the documents, never broadcast: packed ids and exploded rows pass for a few MB."""
+    return side.hint("merge")
+
+
 def failing_ids(judged: DataFrame) -> DataFrame:
     """(filter, doc_id): the ids that fail each filter. E: an id that is not the smallest of its text, whoever else fails."""
     plain = judged.select(F.explode("failing").alias("filter"), "doc_id")
     # the smallest id of a text is met again by id, not by text: a text that fills a third of the table is no hot key
-    least = judged.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
+    least = _met(judged.groupBy("digest").agg(F.min("doc_id").alias("doc_id")))
     copies = judged.join(least, "doc_id", "left_anti")
     return plain.unionByName(copies.select(F.lit("E").alias("filter"), "doc_id"))
 
@@ -86,8 +91,8 @@ def counts(documents: DataFrame, failing: DataFrame) -> DataFrame:
 
     A document that fails j filters enters the joins with at most 32 (1 + j) small rows, one that fails none with none.
     """
-    known = failing.join(documents, "doc_id")
-    blocked = failing.select(F.explode(_prefixes(True)).alias("prefix"), "doc_id")
+    known = failing.join(_met(documents), "doc_id")
+    blocked = _met(failing.select(F.explode(_prefixes(True)).alias("prefix"), "doc_id"))
     tries = known.select("filter", "doc_id", "part", "good", "toxic", F.explode(_prefixes(False)).alias("prefix"))
     sums = [F.count("*").alias("n"), F.sum("good").alias("good"), F.sum("toxic").alias("toxic")]
     none = F.lit(0).cast("bigint")
@@ -95,7 +100,7 @@ def counts(documents: DataFrame, failing: DataFrame) -> DataFrame:
     removed = tries.join(blocked, ["prefix", "doc_id"], "left_anti").groupBy("part", key).agg(*sums).withColumn("redundant", none)
     again = tries.join(blocked, ["prefix", "doc_id"], "left_semi").groupBy("part", key).agg(F.count("*").alias("redundant"))
     again = again.select("part", "key", none.alias("n"), none.alias("good"), none.alias("toxic"), "redundant")
-    bad = documents.join(failing, "doc_id", "left_semi").select("doc_id", "part", F.explode(F.sequence(F.lit(0), F.lit((1 << len(FILTERS)) - 1))).alias("prefix"))
+    bad = documents.join(_met(failing), "doc_id", "left_semi").select("doc_id", "part", F.explode(F.sequence(F.lit(0), F.lit((1 << len(FILTERS)) - 1))).alias("prefix"))
     left = bad.join(blocked, ["prefix", "doc_id"], "left_anti").groupBy("part", F.expr(f"prefix * 8 + {_SURVIVORS}").alias("key"))
     left = left.agg(F.count("*").alias("n")).select("part", "key", "n", none.alias("good"), none.alias("toxic"), none.alias("redundant"))
     every = removed.unionByName(again).unionByName(left)
@@ -123,13 +128,13 @@ def audit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     judged = staged(one, "judged")
     flags = labels.groupBy(F.col("doc_id").alias("doc_id")).agg(F.max((F.col("quality") == 1).cast("bigint")).alias("good"), F.max((F.col("toxic") == 1).cast("bigint")).alias("toxic"))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
-    documents = staged(judged.select("doc_id", "part").join(flags, "doc_id", "left").select("doc_id", "part", zero("good"), zero("toxic")), "documents")
+    documents = staged(judged.select("doc_id", "part").join(_met(flags), "doc_id", "left").select("doc_id", "part", zero("good"), zero("toxic")), "documents")
     failing = staged(failing_ids(judged), "failing", by="filter")
 
     stats = counts(documents, failing)
     # at most 112 counts a part
     maps = stats.groupBy("part").agg(F.map_from_entries(F.collect_list(F.struct("key", F.struct("n", "good", "toxic", "redundant")))).alias("of"))
-    parts_ = documents.groupBy("part").agg(F.count("*").alias("total")).join(maps, "part", "left")
+    parts_ = documents.groupBy("part").agg(F.count("*").alias("total")).join(_met(maps), "part", "left")
     steps = (
         parts_.withColumn("of", F.coalesce("of", F.expr("cast(map() as map<int, struct<n: bigint, good: bigint, toxic: bigint, redundant: bigint>>)")))
         .withColumn("filter_order", F.explode(F.array(*[F.lit("".join(p)) for p in permutations(FILTERS)])))

@@ -154,6 +154,19 @@ def test_audit_takes_odd_rows(spark, odd_docs, no_docs):
     assert _audited(no_docs.withColumnRenamed("lang", "source"), none) == {}
 
 
+def test_audit_broadcasts_nothing_that_grows_with_the_documents(spark, monkeypatch):
+    """Ids pack well and exploded rows look small in files, so the optimizer would send them all through the driver."""
+    plans = []
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    real = filter_audit.staged
+    monkeypatch.setattr(filter_audit, "staged", lambda df, what, by=None: plans.append(plan(df)) or real(df, what, by))
+    df = spark.createDataFrame([(k, f"short # text {k % 3}", "s") for k in range(9)], "doc_id bigint, text string, source string")
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id bigint, quality int, toxic int")
+    plans.append(plan(filter_audit.audit(df, labels)))
+    assert len(plans) == 4
+    assert not [p for p in plans if "Broadcast" in p]
+
+
 def test_words_of_a_long_text_in_slices(monkeypatch):
     raw = b" ab cd\tab \x0bef " * 50 + b"y" * 40
     want = (len(raw.split()), len(set(raw.split())))
