@@ -115,6 +115,62 @@ def test_names_that_differ_in_their_last_signs(spark, monkeypatch, most_bits):
             assert sorted((e.word, e.n) for e in r.found or []) == sorted((w, n) for w in words if w in (r.t or "") for n in range(2))
 
 
+def _repeated_names(rng):
+    """(rank, word, code, sector, ticker_rank): few names and codes in many rows, some nested, some without rank, code or sector."""
+    some = lambda x: rng.choice([x, x, None])
+    words = ["Abc", "Abc Defg", "bcab", "abcabca", "K1", "Defg"]
+    return [(some(k), rng.choice(words), some(f"00012{rng.randint(0, 3)}"), some(rng.choice("xy")), some(k)) for k in range(60)]
+
+
+def _repeating_titles(rng):
+    bits = ["Abc", "Abc Defg", "abcabcabca", " (000121)", "000122", "[K1/Buy]", "Al(000123.KS)", ", ", "bcabcab", "Abc"]
+    return list(enumerate("".join(rng.choices(bits, k=rng.randint(1, 8))) for _ in range(150))) + [(900, None), (901, "")]
+
+
+@pytest.mark.parametrize("few", [D.BROADCAST_ROWS, 0])
+def test_rows_of_a_repeated_name_give_what_all_of_them_give(spark, monkeypatch, few):
+    monkeypatch.setattr(D, "BROADCAST_ROWS", few)
+    rng = random.Random(23)
+    rows, titles = _repeated_names(rng), _repeating_titles(rng)
+    words = spark.createDataFrame([("Abc", "of Abc"), ("Defg", "of Defg")], Z.WORD_SCHEMA.rpartition(",")[0])
+    df = spark.createDataFrame(titles, "report_id long, article_title string")
+    table = spark.createDataFrame(rows, E.LEXICON_SCHEMA)
+    got = {}
+    for size in (0, 1000):
+        lex, sectors = E.lexicon(table, size, words), Z.sector_dictionary(words, size)
+        names = E.entity_mentions(df, lex)
+        got[size] = (
+            {r.report_id: r.enriched for r in N.enrich_titles(df, lex, sectors).collect()},
+            {r.report_id: r.stock_names for r in names.collect()},
+        )
+    assert len(got[0][0]) == len(titles)
+    assert got[0] == got[1000]
+
+
+def test_a_repeated_name_does_not_send_all_its_rows(spark):
+    """A title gets as many rows of a name as it has places for the name, and rows of a code where it has a parenthesis."""
+    rows = [(k, "Company", "000123", None, k) for k in range(40)]
+    lex = E.lexicon(spark.createDataFrame(rows, E.LEXICON_SCHEMA), 0)
+    titles = [(0, "Company"), (1, "Company Company Company"), (2, "000123"), (3, "(000123)"), (4, "(000123) 000123")]
+    df = spark.createDataFrame(titles, "k long, t string")
+    met = D.nominated(df, "k", "t", {"some": E._probe(lex)})
+    assert {r.k: len(r.some) for r in met.collect()} == {0: 1, 1: 3, 3: 1, 4: 1}
+    assert sorted(x.k for x in E._needed(lex.table, E.NAME_FIELDS).withColumn("k", F.col("rank")).collect()) == [0]
+
+
+def test_titles_and_their_lists_are_not_moved_again(spark):
+    """Titles that are dealt out by key meet their entries there; entries travel one by one, titles once for both sides."""
+    rows = [(k, f"Company {k}", f"{k:06}", None, k) for k in range(50)]
+    lex = E.lexicon(spark.createDataFrame(rows, E.LEXICON_SCHEMA), 0)
+    df = spark.createDataFrame([(k, f"Company {k % 60} (0000{k % 60:02})") for k in range(90)], "report_id long, article_title string")
+    out = E.entity_mentions(df.repartition(3, "report_id"), lex, tasks=3)
+    assert out.count() == 90
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    moved = [x for x in plan.split("\n") if "Exchange hashpartitioning(report_id" in x]
+    assert moved and all("REPARTITION_BY_NUM" in x for x in moved), plan
+    assert "isnotnull(report_id" not in plan.split("Exchange hashpartitioning(report_id")[-1], plan
+
+
 def test_rules_are_data_of_the_plan(spark):
     """One test expression whatever the number of rules; a method of one test per rule is not compiled by the JVM."""
     df = T.with_rule_text(spark.createDataFrame([(1, "주간 데일리 목표가 상향"), (2, None)], "i long, t string"), "t")
