@@ -158,6 +158,13 @@ def test_a_repeated_name_does_not_send_all_its_rows(spark):
     assert sorted(x.k for x in E._needed(lex.table, E.NAME_FIELDS).withColumn("k", F.col("rank")).collect()) == [0]
 
 
+def test_no_side_of_the_build_of_a_dictionary_is_broadcast(spark):
+    words = spark.createDataFrame([("Company", "x")], "word string, sector string")
+    lex = E.lexicon(spark.createDataFrame([(1, "Company", "000123", None, 1)], E.LEXICON_SCHEMA), 0, words)
+    for own in (E._probe(lex), Z.sector_dictionary(words, 0)):
+        assert "Broadcast" not in own.under_pieces()._jdf.queryExecution().executedPlan().toString()
+
+
 def test_titles_and_their_lists_are_not_moved_again(spark):
     """Titles that are dealt out by key meet their entries there; entries travel one by one, titles once for both sides."""
     rows = [(k, f"Company {k}", f"{k:06}", None, k) for k in range(50)]
