@@ -127,9 +127,12 @@ def _repeating_titles(rng):
     return list(enumerate("".join(rng.choices(bits, k=rng.randint(1, 8))) for _ in range(150))) + [(900, None), (901, "")]
 
 
-@pytest.mark.parametrize("few", [D.BROADCAST_ROWS, 0])
-def test_rows_of_a_repeated_name_give_what_all_of_them_give(spark, monkeypatch, few):
+@pytest.mark.parametrize("few, bits", [(D.BROADCAST_ROWS, D.LEAST_BITS), (0, D.LEAST_BITS), (0, 64)])
+def test_rows_of_a_repeated_name_give_what_all_of_them_give(spark, monkeypatch, few, bits):
+    """Under a dictionary that is broadcast, and under a filter in the plan and one as a table."""
     monkeypatch.setattr(D, "BROADCAST_ROWS", few)
+    monkeypatch.setattr(D, "LEAST_BITS", bits)
+    monkeypatch.setattr(D, "MOST_BITS", min(bits, D.MOST_BITS))
     rng = random.Random(23)
     rows, titles = _repeated_names(rng), _repeating_titles(rng)
     words = spark.createDataFrame([("Abc", "of Abc"), ("Defg", "of Defg")], Z.WORD_SCHEMA.rpartition(",")[0])
